@@ -70,10 +70,14 @@ def keep_best(df: DataFrame, key: str, ranking: Sequence[tuple[str, str]],
     """
     w = Window.partitionBy(key).orderBy(*total_order(df, key, ranking))
     winners = df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
-    a, b = df.alias("_all"), winners.alias("_win")
-    cond = [F.col(f"_all.`{c}`").eqNullSafe(F.col(f"_win.`{c}`")) for c in df.columns]
-    losers = a.join(b, cond, "left_anti").withColumn(REASON, F.lit(reason))
-    return Split(winners, losers)
+    return Split(winners, rows_not_in(df, winners, reason))
+
+
+def rows_not_in(df: DataFrame, kept: DataFrame, reason: str) -> DataFrame:
+    """Rows of ``df`` absent from ``kept`` (null-safe on every column), tagged."""
+    a, b = df.alias("_all"), kept.alias("_kept")
+    cond = [F.col(f"_all.`{c}`").eqNullSafe(F.col(f"_kept.`{c}`")) for c in df.columns]
+    return a.join(b, cond, "left_anti").withColumn(REASON, F.lit(reason))
 
 
 def _union_rejects(*frames: DataFrame) -> DataFrame:

@@ -114,9 +114,11 @@ def _checks_from(profile: DataFrame, total_col: str, names: Sequence[str]) -> Da
 
 def dq_checks(raw_txns: DataFrame, raw_accounts: DataFrame, raw_customers: DataFrame,
               txn_types: Sequence[str] = S.TXN_TYPES,
-              account_types: Sequence[str] = S.ACCOUNT_TYPES) -> DataFrame:
+              account_types: Sequence[str] = S.ACCOUNT_TYPES,
+              txn_profile: DataFrame | None = None) -> DataFrame:
     """The 12 checks: category, check_name, total_records, failed_records, pass_rate_pct."""
-    txn = transaction_profile(raw_txns, raw_accounts, txn_types)
+    txn = (txn_profile if txn_profile is not None
+           else transaction_profile(raw_txns, raw_accounts, txn_types))
     acc = account_profile(raw_accounts, raw_customers, account_types)
     parts = [
         _checks_from(txn, "total", ["missing_txn_id", "missing_account_id", "missing_amount",
@@ -145,9 +147,11 @@ def _dup_with_total(df: DataFrame, key: str, name: str) -> DataFrame:
 
 def dq_scorecard(raw_txns: DataFrame, raw_accounts: DataFrame,
                  txn_types: Sequence[str] = S.TXN_TYPES,
-                 threshold: float = S.QUALITY_GATE_THRESHOLD) -> DataFrame:
+                 threshold: float = S.QUALITY_GATE_THRESHOLD,
+                 txn_profile: DataFrame | None = None) -> DataFrame:
     """One row: total, valid, rejected, score % (0 when empty) and the gate."""
-    p = transaction_profile(raw_txns, raw_accounts, txn_types)
+    p = (txn_profile if txn_profile is not None
+         else transaction_profile(raw_txns, raw_accounts, txn_types))
     score = F.when(F.col("total") > 0,
                    X.round2(F.col("valid_ids").cast("double") / F.col("total") * 100)
                    ).otherwise(F.lit(0.0))
