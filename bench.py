@@ -2,7 +2,8 @@
 
     BENCH_SF_DIR=/root/testdata/sf0.1 BENCH_CPUS=8 python bench.py
 
-Stages: session start; clean zone (dimensions, transactions, enriched fact,
+Stages: session start; ingestion of the CSV drops into the landing zone;
+clean zone (dimensions, transactions, enriched fact,
 risk mart and roll-ups, each written as parquet); quality checks + gate
 (recorded, not enforced: the test data is dirtier than the 90% gate on
 purpose); warehouse load; then each question collected once. Prints one JSON
@@ -29,14 +30,25 @@ def main() -> None:
     from ledgerline.plans import measures as M
     from ledgerline.plans import queries as Q
     from ledgerline.plans.pipeline import run_pipeline
-    from ledgerline.sources.bridge import bridge_raw
+    from ledgerline.sources.bridge import RawTables, bridge_raw
+    from ledgerline.sources.ingest import ingest_all, read_landing, write_raw_csv
 
     spark = local_session(cores=cpus, shuffle_partitions=int(cpus) * 2, app="ledgerline-bench")
     timings: dict[str, float] = {"session_start": round(time.perf_counter() - t0, 3)}
     out_root = f"{spark.conf.get('spark.checkpoint.dir').rstrip('/')}/bench-{uuid.uuid4().hex}"
 
-    raw = bridge_raw(spark, sf_dir)
+    # upstream systems drop CSV files (not timed)
+    drop_dir, landing = f"{out_root}/raw", f"{out_root}/landing"
+    for name, df in bridge_raw(spark, sf_dir).as_dict().items():
+        write_raw_csv(df, drop_dir, name)
+    day = "2026-01-01"
     t = time.perf_counter()
+    report = ingest_all(spark, drop_dir, landing, day)
+    if not report.ok:
+        raise RuntimeError(f"ingestion failed: {report.results}")
+    raw = RawTables(**{n: read_landing(spark, landing, n, day)
+                       for n in ("customers", "branches", "accounts", "transactions", "loans")})
+    timings["ingest"] = round(time.perf_counter() - t, 3)
     result = run_pipeline(spark, raw, out_root, enforce_gate=False)
     timings.update(result.timings)
     pipeline_sec = time.perf_counter() - t
@@ -62,7 +74,7 @@ def main() -> None:
         fn(wh).collect()
         timings[name] = round(time.perf_counter() - tq, 3)
     query_sec = time.perf_counter() - t
-    total = time.perf_counter() - t0
+    total = timings["session_start"] + pipeline_sec + query_sec  # excludes the upstream drop
     raw_txns = result.scorecard["total_records"]
     print(json.dumps({
         "metric": "end_to_end_sec", "value": round(total, 3), "unit": "sec",
