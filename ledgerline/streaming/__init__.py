@@ -1,0 +1,4 @@
+"""Intentionally empty: the pipeline is batch only, like the system it
+re-implements (no watermark, window, state or late-data handling exists
+there). Incremental runs are handled by the landing zone's ``ingest_date``
+partitions and partition pruning (``sources.ingest.read_landing``)."""
