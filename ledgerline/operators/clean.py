@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from ledgerline import schemas as S
 from ledgerline.functions import exprs as X
-from ledgerline.operators.median import exact_median
+from ledgerline.operators.median import exact_medians
 
 REASON = "reject_reason"
 
@@ -31,6 +31,17 @@ REASON = "reject_reason"
 class Split:
     valid: DataFrame
     rejected: DataFrame
+    # For a staged write: rows that passed the checks before the one-per-key
+    # ranking, the rows that failed them, and the reason given to ranking losers.
+    candidates: DataFrame | None = None
+    invalid: DataFrame | None = None
+    loser_reason: str | None = None
+
+    def rejects_given(self, written_valid: DataFrame) -> DataFrame:
+        """Rejected rows computed against the *written* winners, so the ranking
+        window is not evaluated a second time."""
+        losers = rows_not_in(self.candidates, written_valid, self.loser_reason)
+        return self.invalid.unionByName(losers, allowMissingColumns=True)
 
 
 def first_failure(checks: Sequence[tuple[Column, str]]) -> Column:
@@ -105,8 +116,8 @@ def customer_medians(std: DataFrame) -> tuple[float | None, int]:
     Income with no known value stays NULL; credit score falls back to 650.
     The credit median is truncated to an integer.
     """
-    income = exact_median(std, "customer_income")
-    credit = exact_median(std, "credit_score")
+    med = exact_medians(std, ["customer_income", "credit_score"])
+    income, credit = med["customer_income"], med["credit_score"]
     return income, (int(credit) if credit is not None else S.DEFAULT_CREDIT_SCORE)
 
 
@@ -121,7 +132,8 @@ def clean_customers(raw: DataFrame, medians: tuple[float | None, int] | None = N
                            F.coalesce("credit_score", F.lit(credit_median).cast("int"))))
     checked = split_on(imputed, [(F.col("customer_id").isNotNull(), "missing_customer_id")])
     best = keep_best(checked.valid, "customer_id", [], "duplicate_customer_id")
-    return Split(best.valid, _union_rejects(checked.rejected, best.rejected))
+    return Split(best.valid, _union_rejects(checked.rejected, best.rejected),
+                 checked.valid, checked.rejected, "duplicate_customer_id")
 
 
 # ---------------------------------------------------------------------------
@@ -144,7 +156,8 @@ def clean_accounts(raw: DataFrame, account_types: Sequence[str] = S.ACCOUNT_TYPE
         (F.col("account_type").isin(*account_types), "invalid_account_type"),
     ])
     best = keep_best(checked.valid, "account_id", [], "duplicate_account_id")
-    return Split(best.valid, _union_rejects(checked.rejected, best.rejected))
+    return Split(best.valid, _union_rejects(checked.rejected, best.rejected),
+                 checked.valid, checked.rejected, "duplicate_account_id")
 
 
 # ---------------------------------------------------------------------------
@@ -183,7 +196,8 @@ def clean_transactions(raw: DataFrame, txn_types: Sequence[str] = S.TXN_TYPES) -
     checked = split_on(std, transaction_checks(txn_types))
     best = keep_best(checked.valid, "transaction_id",
                      [("transaction_amount", "desc")], "duplicate_id_conflict")
-    return Split(best.valid, _union_rejects(checked.rejected, best.rejected))
+    return Split(best.valid, _union_rejects(checked.rejected, best.rejected),
+                 checked.valid, checked.rejected, "duplicate_id_conflict")
 
 
 def split_orphans(txns: DataFrame, accounts: DataFrame) -> Split:
@@ -213,4 +227,5 @@ def clean_loans(raw: DataFrame) -> Split:
         (F.col("loan_amount") > 0, "non_positive_amount"),
     ])
     best = keep_best(checked.valid, "loan_id", [], "duplicate_loan_id")
-    return Split(best.valid, _union_rejects(checked.rejected, best.rejected))
+    return Split(best.valid, _union_rejects(checked.rejected, best.rejected),
+                 checked.valid, checked.rejected, "duplicate_loan_id")

@@ -96,36 +96,41 @@ def run_clean_zone(spark: SparkSession, raw: RawTables, clean_root: str,
     and the results of ``side_jobs`` (run alongside the first wave)."""
     rd = lambda root, name: sinks.read_table(spark, root, name)
     w = sinks.write_table
-    customers = C.clean_customers(raw.customers)          # computes the medians
-    accounts = C.clean_accounts(raw.accounts)
-    loans = C.clean_loans(raw.loans)
-    std = C.standardise_transactions(raw.transactions).dropDuplicates()
-    checked = C.split_on(std, C.transaction_checks())
-    best = C.keep_best(checked.valid, "transaction_id", [("transaction_amount", "desc")],
-                       "duplicate_id_conflict")
+
+    def entity(make_split, valid_name: str, reject_name: str):
+        """valid -> written; rejects computed against the written winners."""
+        def chain() -> dict[str, int]:
+            split = make_split()        # customers: the medians are computed here
+            n_valid = w(split.valid, clean_root, valid_name)
+            n_rej = w(split.rejects_given(rd(clean_root, valid_name)), reject_root, reject_name)
+            return {valid_name: n_valid, reject_name: n_rej}
+        return chain
+
+    txns = C.clean_transactions(raw.transactions)         # lazy: ranked winners + parts
     wave1 = {
-        "dim_customer": lambda: w(customers.valid, clean_root, "dim_customer"),
-        "dim_branch": lambda: w(C.clean_branches(raw.branches), clean_root, "dim_branch"),
-        "dim_account": lambda: w(accounts.valid, clean_root, "dim_account"),
-        "fact_loan": lambda: w(loans.valid, clean_root, "fact_loan"),
-        "customers_rejected": lambda: w(customers.rejected, reject_root, "customers_rejected"),
-        "accounts_rejected": lambda: w(accounts.rejected, reject_root, "accounts_rejected"),
-        "loans_rejected": lambda: w(loans.rejected, reject_root, "loans_rejected"),
+        "customers": entity(lambda: C.clean_customers(raw.customers), "dim_customer",
+                            "customers_rejected"),
+        "accounts": entity(lambda: C.clean_accounts(raw.accounts), "dim_account",
+                           "accounts_rejected"),
+        "loans": entity(lambda: C.clean_loans(raw.loans), "fact_loan", "loans_rejected"),
+        "branches": lambda: {"dim_branch": w(C.clean_branches(raw.branches), clean_root,
+                                             "dim_branch")},
         # transactions: rank once, stage the winners
-        "transactions_ranked": lambda: w(best.valid, staging_root, "transactions_best"),
+        "transactions": lambda: {"transactions_ranked": w(txns.valid, staging_root,
+                                                          "transactions_best")},
     }
     side_jobs = side_jobs or {}
     done = run_parallel({**wave1, **side_jobs})
-    counts.update({k: v for k, v in done.items() if k in wave1})
+    for k in wave1:
+        counts.update(done[k])
     clock.lap("clean_wave1")
 
     dims = {n: rd(clean_root, n) for n in ("dim_customer", "dim_branch", "dim_account",
                                            "fact_loan")}
     winners = rd(staging_root, "transactions_best")
-    conflicts = C.rows_not_in(checked.valid, winners, "duplicate_id_conflict")
     orphans = C.split_orphans(winners, dims["dim_account"])
-    rejects = (checked.rejected.unionByName(conflicts, allowMissingColumns=True)
-               .unionByName(orphans.rejected, allowMissingColumns=True))
+    rejects = txns.rejects_given(winners).unionByName(orphans.rejected,
+                                                       allowMissingColumns=True)
     enriched = build_enriched_transactions(orphans.valid, dims["dim_account"],
                                            dims["dim_customer"], dims["dim_branch"])
     counts.update(run_parallel({

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict, dataclass, field
 
 from pyspark.errors import AnalysisException
@@ -121,10 +122,13 @@ def ingest_all(spark: SparkSession, raw_dir: str, landing_root: str,
     """Attempt every source; failures are recorded, not raised."""
     ingest_date = ingest_date or dt.date.today().isoformat()
     sources = sources or S.REQUIRED_COLUMNS
-    results = [ingest_source(spark, name, f"{raw_dir.rstrip('/')}/{S.SOURCE_FILES[name]}",
-                             landing_root, ingest_date, required)
-               for name, required in sources.items()]
-    return IngestReport(results)
+    # sources are independent: their small jobs are submitted side by side
+    with ThreadPoolExecutor(max_workers=len(sources)) as pool:
+        futures = [pool.submit(ingest_source, spark, name,
+                               f"{raw_dir.rstrip('/')}/{S.SOURCE_FILES[name]}",
+                               landing_root, ingest_date, required)
+                   for name, required in sources.items()]
+        return IngestReport([f.result() for f in futures])
 
 
 def write_manifest(spark: SparkSession, report: IngestReport, path: str) -> None:
