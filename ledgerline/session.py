@@ -30,6 +30,27 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     return spark
 
 
+def cluster_conf(total_cores: int, fact_bytes: int) -> dict[str, str]:
+    """Suggested settings for a cluster run, sized from the core count and the
+    size of the transaction input.
+
+    Shuffle partitions target ~128 MB each (never fewer than 3 per core) so a
+    partition fits an executor's memory share without spilling; AQE coalesces
+    small ones and splits skewed join partitions at run time.
+    """
+    target = 128 * 1024 * 1024
+    partitions = max(3 * total_cores, fact_bytes // target + 1)
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(target),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+    }
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the checkpoint folder, creating a scratch one only when unset."""
     current = spark.conf.get("spark.checkpoint.dir", None)

@@ -176,3 +176,15 @@ def roundtrip_transactions(spark: SparkSession, raw) -> DataFrame:
     if not report.ok:
         raise IngestionError(str(report.results))
     return read_landing(spark, f"{run}/landing", "transactions", day)
+
+
+def read_latest_landing(spark: SparkSession, landing_root: str, ingest_date: str | None = None):
+    """The five landed sources of one ingest date, as ``RawTables``.
+
+    Without a date, the newest *transactions* partition is used for all five
+    sources, as the reference does.
+    """
+    from ledgerline.sources.bridge import RawTables
+    day = ingest_date or latest_ingest_date(spark, landing_root, "transactions")
+    return RawTables(**{n: read_landing(spark, landing_root, n, day)
+                        for n in ("customers", "branches", "accounts", "transactions", "loans")})

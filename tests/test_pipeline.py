@@ -82,3 +82,31 @@ def test_gate_stops_the_load(spark):
     out = f"{spark.conf.get('spark.checkpoint.dir')}/gate-{uuid.uuid4().hex}"
     with pytest.raises(QualityGateError):
         run_pipeline(spark, bridge_raw(spark, SMOKE), out)
+
+
+def test_quality_log_accumulates_runs(spark):
+    """A second run appends; the trend is newest first."""
+    from ledgerline.plans import measures as M
+    out = f"{spark.conf.get('spark.checkpoint.dir')}/log-{uuid.uuid4().hex}"
+    raw = bridge_raw(spark, SMOKE)
+    run_pipeline(spark, raw, out, run_at="2026-01-01T00:00:00", enforce_gate=False)
+    second = run_pipeline(spark, raw, out, run_at="2026-02-01T00:00:00", enforce_gate=False,
+                          threshold=50.0)
+    trend = Q.dq_log_trend(second.warehouse).collect()
+    assert [r.run_at for r in trend] == ["2026-02-01T00:00:00", "2026-01-01T00:00:00"]
+    assert [r.passed_quality_gate for r in trend] == [1, 0]
+    kpi = M.data_quality_kpi(second.warehouse).first()
+    assert kpi.data_quality_score_max == kpi.data_quality_score_latest
+    assert kpi.data_quality_score_max.endswith("%")
+
+
+def test_landing_read_uses_latest_transactions_partition(spark, scratch):
+    from ledgerline.sources.ingest import ingest_all, read_latest_landing, write_raw_csv
+    raw = bridge_raw(spark, SMOKE)
+    for name, df in raw.as_dict().items():
+        write_raw_csv(df, f"{scratch}/raw", name)
+    assert ingest_all(spark, f"{scratch}/raw", f"{scratch}/landing", "2026-01-01").ok
+    assert ingest_all(spark, f"{scratch}/raw", f"{scratch}/landing", "2026-01-02").ok
+    landed = read_latest_landing(spark, f"{scratch}/landing")
+    assert landed.transactions.count() == raw.transactions.count()   # one partition only
+    assert "ingest_date" not in landed.customers.columns
