@@ -61,32 +61,37 @@ def _with_master_flag(raw_txns: DataFrame, raw_accounts: DataFrame) -> DataFrame
     return raw_txns.join(master, "account_id", "left")
 
 
-def _row_is_valid(txn_types: Sequence[str]) -> Column:
-    amount = X.to_double("transaction_amount")
-    return X.ok(F.col("transaction_id").isNotNull() & F.col("account_id").isNotNull()
-                & (amount > 0) & X.parse_date("transaction_date").isNotNull()
-                & F.col("transaction_type").isin(*txn_types)
-                & F.col("_in_master").isNotNull())
-
-
 def transaction_profile(raw_txns: DataFrame, raw_accounts: DataFrame,
                         txn_types: Sequence[str] = S.TXN_TYPES) -> DataFrame:
-    """One row: raw total, D1-D7 and D11 failure counts, valid distinct ids."""
-    amount = X.to_double("transaction_amount")
-    flagged = _with_master_flag(raw_txns, raw_accounts)
+    """One row: raw total, D1-D7 and D11 failure counts, valid distinct ids.
+
+    Each row's flags are computed once in a projection (the date parse and the
+    amount cast feed several counts) and the aggregate only counts them.
+    """
+    flagged = _with_master_flag(raw_txns, raw_accounts).select(
+        F.col("transaction_id").isNull().alias("no_id"),
+        F.col("account_id").isNull().alias("no_account"),
+        F.col("transaction_amount").isNull().alias("no_amount"),
+        F.col("transaction_type").isNull().alias("no_type"),
+        (~X.ok(X.to_double("transaction_amount") > 0)).alias("bad_amount"),
+        X.parse_date("transaction_date").isNull().alias("bad_date"),
+        # no trim here, unlike the cleaner: the check sees the raw text
+        (~X.ok(F.col("transaction_type").isin(*txn_types))).alias("bad_type"),
+        F.col("_in_master").isNull().alias("orphan"),
+        F.col("transaction_id"))
+    valid = ~(F.col("no_id") | F.col("no_account") | F.col("bad_amount") | F.col("bad_date")
+              | F.col("bad_type") | F.col("orphan"))
     return flagged.agg(
         F.count(F.lit(1)).alias("total"),
-        F.count_if(F.col("transaction_id").isNull()).alias("missing_txn_id"),
-        F.count_if(F.col("account_id").isNull()).alias("missing_account_id"),
-        F.count_if(F.col("transaction_amount").isNull()).alias("missing_amount"),
-        F.count_if(F.col("transaction_type").isNull()).alias("missing_type"),
-        F.count_if(~X.ok(amount > 0)).alias("invalid_amount"),
-        F.count_if(X.parse_date("transaction_date").isNull()).alias("invalid_date"),
-        # no trim here, unlike the cleaner: the check sees the raw text
-        F.count_if(~X.ok(F.col("transaction_type").isin(*txn_types))).alias("invalid_txn_type"),
-        F.count_if(F.col("_in_master").isNull()).alias("orphan_txn_account"),
-        F.count_distinct(F.when(_row_is_valid(txn_types), F.col("transaction_id")))
-        .alias("valid_ids"),
+        F.count_if("no_id").alias("missing_txn_id"),
+        F.count_if("no_account").alias("missing_account_id"),
+        F.count_if("no_amount").alias("missing_amount"),
+        F.count_if("no_type").alias("missing_type"),
+        F.count_if("bad_amount").alias("invalid_amount"),
+        F.count_if("bad_date").alias("invalid_date"),
+        F.count_if("bad_type").alias("invalid_txn_type"),
+        F.count_if("orphan").alias("orphan_txn_account"),
+        F.count_distinct(F.when(valid, F.col("transaction_id"))).alias("valid_ids"),
     )
 
 

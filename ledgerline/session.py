@@ -15,7 +15,12 @@ from pyspark.sql import SparkSession
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "ledgerline") -> SparkSession:
-    spark = (SparkSession.builder.master(f"local[{cores}]").appName(app)
+    builder = SparkSession.builder
+    event_dir = os.environ.get("LEDGERLINE_EVENT_LOG_DIR")
+    if event_dir:  # stage/task timings for profiling, read from files (no UI)
+        builder = (builder.config("spark.eventLog.enabled", "true")
+                   .config("spark.eventLog.dir", event_dir))
+    spark = (builder.master(f"local[{cores}]").appName(app)
              .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
              .config("spark.sql.adaptive.enabled", "true")
              .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
