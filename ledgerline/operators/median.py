@@ -103,9 +103,9 @@ def _finish(vals: DataFrame, cols: list[str], state: dict[str, _Window]) -> dict
     out = {}
     for c in cols:
         mine = sorted((r["v"], r["count"]) for r in rows if r["col"] == c)
-        if len(mine) > MAX_CANDIDATES:
-            continue                       # estimate was off: keep narrowing
         st = state[c]
+        if len(mine) > MAX_CANDIDATES or sum(n for _, n in mine) != st.m:
+            continue                       # too many values or cut by the limit: narrow
         out[c] = _pick_ranks(mine, st.offset, (st.n - 1) // 2, st.n // 2)
     return out
 

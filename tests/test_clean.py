@@ -170,3 +170,17 @@ def test_exact_median_matches_numpy_through_narrowing(spark, monkeypatch):
         assert exact_median(df, "x") == float(np.median(vals))
     df = spark.createDataFrame([(None,)], "x double")
     assert exact_median(df, "x") is None
+
+
+def test_exact_medians_two_columns_with_one_crowded(spark, monkeypatch):
+    """A column with many distinct values must not crowd out another's candidates."""
+    import numpy as np
+    from ledgerline.operators import median as med
+    from ledgerline.operators.median import exact_medians
+    monkeypatch.setattr(med, "MAX_CANDIDATES", 60)
+    rng = np.random.default_rng(3)
+    a = rng.integers(0, 10_000, size=501).astype(float)
+    b = rng.integers(0, 5, size=501).astype(float)
+    df = spark.createDataFrame([(float(x), float(y)) for x, y in zip(a, b)], "a double, b double")
+    got = exact_medians(df, ["a", "b"])
+    assert got == {"a": float(np.median(a)), "b": float(np.median(b))}
