@@ -131,8 +131,8 @@ def run_clean_zone(spark: SparkSession, raw: RawTables, clean_root: str,
     orphans = C.split_orphans(winners, dims["dim_account"])
     rejects = txns.rejects_given(winners).unionByName(orphans.rejected,
                                                        allowMissingColumns=True)
-    enriched = build_enriched_transactions(orphans.valid, dims["dim_account"],
-                                           dims["dim_customer"], dims["dim_branch"])
+    enriched = build_enriched_transactions(winners, dims["dim_account"], dims["dim_customer"],
+                                           dims["dim_branch"], how="inner")
     counts.update(run_parallel({
         "transactions_rejected": lambda: w(rejects, reject_root, "transactions_rejected"),
         "fact_transaction": lambda: write_fact(enriched, clean_root),
