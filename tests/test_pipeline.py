@@ -130,3 +130,12 @@ def test_rejects_match_the_lazy_path(spark, result):
     written = sinks.read_table(spark, result.clean_root.replace("/clean", "/rejected"),
                                "transactions_rejected").select(*lazy.columns)
     assert written.exceptAll(lazy).count() == 0 and lazy.exceptAll(written).count() == 0
+
+
+def test_year_slicer_prunes_fact_partitions(result):
+    from ledgerline.plans import measures as M
+    f = M.sliced_fact(result.warehouse, year=2024)
+    plan = f._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(txn_year_month" in plan and "StartsWith" in plan
+    assert f.where("txn_year <> 2024").count() == 0
+    assert f.count() == result.warehouse.fact_transaction.where("txn_year = 2024").count()
