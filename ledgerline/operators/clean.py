@@ -184,6 +184,22 @@ def transaction_checks(txn_types: Sequence[str] = S.TXN_TYPES) -> list[tuple[Col
     ]
 
 
+def tag_transactions(raw: DataFrame, txn_types: Sequence[str] = S.TXN_TYPES) -> DataFrame:
+    """Standardised rows without exact re-sends, each with the reason of its
+    first failed check (NULL when it passes them all)."""
+    std = standardise_transactions(raw).dropDuplicates()
+    return std.withColumn(REASON, first_failure(transaction_checks(txn_types)))
+
+
+def split_tagged(tagged: DataFrame, key: str, ranking: Sequence[tuple[str, str]],
+                 loser_reason: str) -> Split:
+    candidates = tagged.where(F.col(REASON).isNull()).drop(REASON)
+    invalid = tagged.where(F.col(REASON).isNotNull())
+    best = keep_best(candidates, key, ranking, loser_reason)
+    return Split(best.valid, _union_rejects(invalid, best.rejected), candidates, invalid,
+                 loser_reason)
+
+
 def clean_transactions(raw: DataFrame, txn_types: Sequence[str] = S.TXN_TYPES) -> Split:
     """Standardise, drop exact re-sends, validate, keep the highest amount per id.
 
@@ -192,12 +208,8 @@ def clean_transactions(raw: DataFrame, txn_types: Sequence[str] = S.TXN_TYPES) -
     ``duplicate_id_conflict``. The ranking happens before orphan removal
     (T11), as in the reference.
     """
-    std = standardise_transactions(raw).dropDuplicates()
-    checked = split_on(std, transaction_checks(txn_types))
-    best = keep_best(checked.valid, "transaction_id",
-                     [("transaction_amount", "desc")], "duplicate_id_conflict")
-    return Split(best.valid, _union_rejects(checked.rejected, best.rejected),
-                 checked.valid, checked.rejected, "duplicate_id_conflict")
+    return split_tagged(tag_transactions(raw, txn_types), "transaction_id",
+                        [("transaction_amount", "desc")], "duplicate_id_conflict")
 
 
 def split_orphans(txns: DataFrame, accounts: DataFrame) -> Split:

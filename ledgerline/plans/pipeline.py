@@ -29,6 +29,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from typing import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
@@ -106,7 +107,12 @@ def run_clean_zone(spark: SparkSession, raw: RawTables, clean_root: str,
             return {valid_name: n_valid, reject_name: n_rej}
         return chain
 
-    txns = C.clean_transactions(raw.transactions)         # lazy: ranked winners + parts
+    # the standardised, de-duplicated, tagged transactions feed both the ranking
+    # (wave 1) and the rejects (wave 2): kept once instead of recomputed from the
+    # landing zone; lost blocks are recomputed from lineage
+    tagged = C.tag_transactions(raw.transactions).persist(StorageLevel.MEMORY_AND_DISK)
+    txns = C.split_tagged(tagged, "transaction_id", [("transaction_amount", "desc")],
+                          "duplicate_id_conflict")
     wave1 = {
         "customers": entity(lambda: C.clean_customers(raw.customers), "dim_customer",
                             "customers_rejected"),
@@ -138,6 +144,7 @@ def run_clean_zone(spark: SparkSession, raw: RawTables, clean_root: str,
         "fact_transaction": lambda: write_fact(enriched, clean_root),
     }))
     fact = rd(clean_root, "fact_transaction")
+    tagged.unpersist()
     clock.lap("clean_wave2_fact")
 
     risk = customer_risk_from_totals(transaction_totals_from_fact(fact), dims["fact_loan"],
