@@ -5,7 +5,8 @@ so the same rows can be rebuilt in plain SQL for the oracle. Dirt is injected
 by key arithmetic at roughly the rates the reference's generator uses: NULL
 and orphan accounts, negative and missing amounts, NULL and unknown types,
 bad date text, exact re-sent rows, and conflicting ids (lineitem repeats
-``(l_orderkey, l_linenumber)`` with different payloads).
+``(l_orderkey, l_linenumber)`` with different payloads; a few customers are
+re-sent with another city and income).
 
 Dates are shifted by ``DATE_SHIFT_DAYS`` so the 1995-2001 test dates land in
 2020-2026, inside the warehouse calendar.
@@ -113,8 +114,12 @@ def bridge_customers(customer: DataFrame) -> DataFrame:
             F.date_add(F.lit("2015-01-01").cast("date"), ((key * 13) % 4000).cast("int"))
             .cast("string"), key).alias("customer_since"),
     )
-    # 0.5%-style exact re-sends
-    return base.unionByName(base.where(F.col("customer_id") % 199 == 0))
+    # 0.5%-style exact re-sends, and a few same-id rows with another payload
+    resent = base.where(F.col("customer_id") % 199 == 0)
+    moved = (base.where(F.col("customer_id") % 211 == 5)
+             .withColumn("city", F.lit(" relocated "))
+             .withColumn("customer_income", F.col("customer_income") + 1000))
+    return base.unionByName(resent).unionByName(moved)
 
 
 def bridge_branches(nation: DataFrame, region: DataFrame) -> DataFrame:

@@ -96,7 +96,9 @@ raw_customers_base AS (
   FROM customer),
 raw_customers AS (
   SELECT * FROM raw_customers_base
-  UNION ALL SELECT * FROM raw_customers_base WHERE customer_id % 199 = 0),
+  UNION ALL SELECT * FROM raw_customers_base WHERE customer_id % 199 = 0
+  UNION ALL SELECT * REPLACE (' relocated ' AS city, customer_income + 1000 AS customer_income)
+            FROM raw_customers_base WHERE customer_id % 211 = 5),
 raw_branches AS (
   SELECT CAST(n_nationkey AS BIGINT) AS branch_id, n_name AS branch_name, r_name AS city,
          r_name AS country
@@ -298,6 +300,44 @@ customer_risk_metrics AS (
          CASE WHEN risk_score >= 60 THEN 'High' WHEN risk_score >= 30 THEN 'Medium'
               ELSE 'Low' END AS risk_tier
   FROM risk_scored),
+-- entity rejects: failed checks first, then ranking losers
+cust_rejected AS (
+  SELECT *, 'missing_customer_id' AS reject_reason FROM cust_imputed WHERE customer_id IS NULL
+  UNION ALL
+  SELECT * EXCLUDE (rn), 'duplicate_customer_id' AS reject_reason FROM (
+    SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY
+      {asc("first_name", "last_name", "dob", "gender", "email", "phone", "city", "country",
+           "customer_income", "credit_score", "customer_since")}) AS rn
+    FROM cust_imputed WHERE customer_id IS NOT NULL) WHERE rn > 1),
+acc_rejected AS (
+  SELECT * FROM (
+    SELECT *, CASE WHEN account_id IS NULL THEN 'missing_account_id'
+                   WHEN customer_id IS NULL THEN 'missing_customer_id'
+                   WHEN NOT COALESCE(account_type IN {ACCOUNT_TYPES}, false)
+                     THEN 'invalid_account_type' END AS reject_reason
+    FROM acc_std) WHERE reject_reason IS NOT NULL
+  UNION ALL
+  SELECT * EXCLUDE (rn), 'duplicate_account_id' AS reject_reason FROM (
+    SELECT *, row_number() OVER (PARTITION BY account_id ORDER BY
+      {asc("customer_id", "account_type", "branch_id", "account_opened_date", "account_status")}
+    ) AS rn
+    FROM acc_std WHERE account_id IS NOT NULL AND customer_id IS NOT NULL
+                   AND COALESCE(account_type IN {ACCOUNT_TYPES}, false)) WHERE rn > 1),
+loan_rejected AS (
+  SELECT * FROM (
+    SELECT *, CASE WHEN loan_id IS NULL THEN 'missing_loan_id'
+                   WHEN customer_id IS NULL THEN 'missing_customer_id'
+                   WHEN loan_amount IS NULL THEN 'missing_amount'
+                   WHEN NOT COALESCE(loan_amount > 0, false) THEN 'non_positive_amount'
+              END AS reject_reason
+    FROM loan_std) WHERE reject_reason IS NOT NULL
+  UNION ALL
+  SELECT * EXCLUDE (rn), 'duplicate_loan_id' AS reject_reason FROM (
+    SELECT *, row_number() OVER (PARTITION BY loan_id ORDER BY
+      {asc("customer_id", "loan_type", "loan_amount", "interest_rate", "tenure_months",
+           "loan_start_date", "loan_status", "emi_payment_status")}) AS rn
+    FROM loan_std WHERE loan_id IS NOT NULL AND customer_id IS NOT NULL
+                    AND COALESCE(loan_amount > 0, false)) WHERE rn > 1),
 -- calendar
 dim_date AS (
   SELECT CAST(d AS DATE) AS date_key, CAST(day(d) AS INTEGER) AS day,
@@ -603,6 +643,9 @@ def queries() -> dict[str, str]:
         "clean_loans": _q("SELECT * FROM clean_loans"),
         "clean_transactions": _q("SELECT * FROM clean_txns"),
         "rejected_transactions": _q("SELECT * FROM rejected_txns"),
+        "rejected_customers": _q("SELECT * FROM cust_rejected"),
+        "rejected_accounts": _q("SELECT * FROM acc_rejected"),
+        "rejected_loans": _q("SELECT * FROM loan_rejected"),
         "orphan_transactions": _q("SELECT * FROM orphan_txns"),
         "parsed_dates": _q(
             f"SELECT transaction_id, CAST(transaction_date AS VARCHAR) AS date_text, "
