@@ -66,15 +66,14 @@ def build_customer_risk_metrics(clean_txns: DataFrame, accounts: DataFrame, loan
                                      loans, customers)
 
 
-def transaction_totals_from_fact(enriched: DataFrame) -> DataFrame:
-    """A1 over an already materialised enriched fact (customer_id is on it):
-    one partial aggregate, no join."""
-    per_customer = (enriched.where(F.col("customer_id").isNotNull()).groupBy("customer_id")
-                    .agg(F.count("transaction_id").alias("total_transactions"),
-                         F.sum(X.cents("transaction_amount")).alias("cents"),
-                         F.count("transaction_amount").alias("n_amount"),
-                         F.sum("is_failed").alias("failed_transactions"),
-                         F.sum("is_high_value").alias("high_value_transactions")))
+def transaction_totals_from_grain(grain: DataFrame) -> DataFrame:
+    """A1 from the (branch, customer) grain of the fact (``aggregates.customer_grain``):
+    counts and cents add up exactly across a customer's branches."""
+    per_customer = (grain.where(F.col("customer_id").isNotNull()).groupBy("customer_id")
+                    .agg(F.sum("n").alias("total_transactions"), F.sum("cents").alias("cents"),
+                         F.sum("n_amount").alias("n_amount"),
+                         F.sum("failed").alias("failed_transactions"),
+                         F.sum("high").alias("high_value_transactions")))
     value = F.col("cents").cast("double") / 100.0
     return per_customer.select(
         "customer_id", "total_transactions",

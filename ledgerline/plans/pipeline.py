@@ -9,9 +9,10 @@ each expensive step runs once instead of once per consumer:
    table (the window runs once; the enriched fact, the orphans and the
    conflict rejects all read the staged winners), and the quality checks run;
 2. independent writes of a wave are submitted together from driver threads;
-3. the enriched fact is written partitioned by ``txn_year_month``; the risk
-   mart and the three roll-ups read it back (the risk mart needs no join to
-   accounts because customer_id is on the fact);
+3. the enriched fact is written partitioned by ``txn_year_month`` and read
+   back twice, once per grain (day x branch x account type; branch x
+   customer); the risk mart and the three roll-ups are roll-ups of those small
+   grains (the risk mart needs no join to accounts: customer_id is on the fact);
 4. the quality checks run over the raw sources and gate the warehouse load;
 5. the warehouse is the clean zone conformed to the star-schema columns
    (a projection over the written tables, not a second copy), plus the
@@ -39,7 +40,7 @@ from ledgerline.operators import clean as C
 from ledgerline.operators import quality as DQ
 from ledgerline.operators.calendar import build_dim_date
 from ledgerline.operators.enrich import build_enriched_transactions, conform, fact_transaction
-from ledgerline.operators.risk import customer_risk_from_totals, transaction_totals_from_fact
+from ledgerline.operators.risk import customer_risk_from_totals, transaction_totals_from_grain
 from ledgerline.plans.warehouse import Warehouse
 from ledgerline.sources import sinks
 from ledgerline.sources.bridge import RawTables
@@ -147,15 +148,22 @@ def run_clean_zone(spark: SparkSession, raw: RawTables, clean_root: str,
     tagged.unpersist()
     clock.lap("clean_wave2_fact")
 
-    risk = customer_risk_from_totals(transaction_totals_from_fact(fact), dims["fact_loan"],
-                                     dims["dim_customer"])
+    # two scans of the fact, one per grain; the four outputs roll the grains up
+    counts.update(run_parallel({
+        "grain_day": lambda: w(A.day_grain(fact), staging_root, "grain_day"),
+        "grain_customer": lambda: w(A.customer_grain(fact), staging_root, "grain_customer"),
+    }))
+    by_day, by_customer = rd(staging_root, "grain_day"), rd(staging_root, "grain_customer")
+    risk = customer_risk_from_totals(transaction_totals_from_grain(by_customer),
+                                     dims["fact_loan"], dims["dim_customer"])
     counts.update(run_parallel({
         "customer_risk_metrics": lambda: w(risk, clean_root, "customer_risk_metrics"),
-        "daily_aggregation": lambda: w(A.build_daily_aggregations(fact), clean_root,
+        "daily_aggregation": lambda: w(A.daily_from_grain(by_day), clean_root,
                                        "daily_aggregation"),
-        "monthly_aggregation": lambda: w(A.build_monthly_aggregations(fact), clean_root,
+        "monthly_aggregation": lambda: w(A.monthly_from_grain(by_day), clean_root,
                                          "monthly_aggregation"),
-        "branch_performance": lambda: w(A.build_branch_performance(fact, dims["dim_branch"]),
+        "branch_performance": lambda: w(A.branch_performance_from_grain(by_customer,
+                                                                        dims["dim_branch"]),
                                         clean_root, "branch_performance"),
     }))
     clock.lap("clean_wave3_rollups")
