@@ -58,3 +58,19 @@ def test_ingest_roundtrip_keeps_every_row(spark):
     from ledgerline.plans.warehouse import from_testdata
     landed = E.queries()["ingest_roundtrip"](spark, SMOKE)
     assert landed.count() == from_testdata(spark, SMOKE)[0].transactions.count()
+
+
+SPARK_TO_DUCKDB = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+                   "date": "DATE", "boolean": "BOOLEAN", "timestamp": "TIMESTAMP"}
+
+
+def test_column_types_match_the_oracle(spark, con):
+    bad = {}
+    for name, sql in E.oracle_sql().items():
+        spark_types = {f.name: SPARK_TO_DUCKDB.get(f.dataType.simpleString(),
+                                                   f.dataType.simpleString())
+                       for f in E.queries()[name](spark, SMOKE).schema.fields}
+        duck_types = {r[0]: r[1] for r in con.execute(f"DESCRIBE {sql}").fetchall()}
+        if spark_types != duck_types:
+            bad[name] = (spark_types, duck_types)
+    assert bad == {}
