@@ -32,7 +32,6 @@ from typing import Callable
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Row, SparkSession
-from pyspark.sql import functions as F
 
 from ledgerline import schemas as S
 from ledgerline.operators import aggregates as A

@@ -1,7 +1,6 @@
 """Cleaners on micro-frames: T1, T4, T5, T11, imputation, conservation, determinism."""
 import datetime as dt
 
-from pyspark.sql import functions as F
 
 from ledgerline.operators import clean as C
 from ledgerline.operators.median import exact_median
