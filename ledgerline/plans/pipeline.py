@@ -69,9 +69,8 @@ class _Clock:
 def run_parallel(jobs: dict[str, Callable[[], object]], max_workers: int = 8) -> dict[str, object]:
     """Submit independent Spark jobs from driver threads; the scheduler runs
     their tasks side by side instead of leaving slots idle between small jobs."""
-    if len(jobs) == 1:
-        (name, fn), = jobs.items()
-        return {name: fn()}
+    if len(jobs) <= 1:
+        return {name: fn() for name, fn in jobs.items()}
     with ThreadPoolExecutor(max_workers=min(max_workers, len(jobs))) as pool:
         futures = {name: pool.submit(fn) for name, fn in jobs.items()}
         return {name: f.result() for name, f in futures.items()}

@@ -123,7 +123,7 @@ def ingest_all(spark: SparkSession, raw_dir: str, landing_root: str,
     ingest_date = ingest_date or dt.date.today().isoformat()
     sources = sources or S.REQUIRED_COLUMNS
     # sources are independent: their small jobs are submitted side by side
-    with ThreadPoolExecutor(max_workers=len(sources)) as pool:
+    with ThreadPoolExecutor(max_workers=max(1, len(sources))) as pool:
         futures = [pool.submit(ingest_source, spark, name,
                                f"{raw_dir.rstrip('/')}/{S.SOURCE_FILES[name]}",
                                landing_root, ingest_date, required)
