@@ -45,6 +45,13 @@ from ledgerline.sources import sinks
 from ledgerline.sources.bridge import RawTables
 
 
+CLEAN_TABLES = ("dim_customer", "dim_branch", "dim_account", "fact_loan", "fact_transaction",
+                "customer_risk_metrics", "daily_aggregation", "monthly_aggregation",
+                "branch_performance")
+REJECT_TABLES = ("customers_rejected", "accounts_rejected", "loans_rejected",
+                 "transactions_rejected")
+
+
 @dataclass
 class PipelineResult:
     warehouse: Warehouse
@@ -53,6 +60,8 @@ class PipelineResult:
     timings: dict[str, float] = field(default_factory=dict)
     scorecard: Row | None = None
     checks: list[Row] = field(default_factory=list)
+    # every table the run wrote, read back: clean zone, rejects, staged winners
+    written: dict[str, DataFrame] = field(default_factory=dict)
 
 
 class _Clock:
@@ -197,7 +206,8 @@ def run_quality(raw: RawTables, threshold: float, enforce: bool, report_root: st
 
 def run_pipeline(spark: SparkSession, raw: RawTables, out_root: str,
                  run_at: str | None = None, threshold: float = S.QUALITY_GATE_THRESHOLD,
-                 enforce_gate: bool = True, export_dir: str | None = None) -> PipelineResult:
+                 enforce_gate: bool = True, export_dir: str | None = None,
+                 register_views: bool = True) -> PipelineResult:
     """Run E1-E3 and return the warehouse as DataFrames over the written tables.
 
     With ``enforce_gate`` a failed quality gate raises ``QualityGateError``
@@ -244,11 +254,15 @@ def run_pipeline(spark: SparkSession, raw: RawTables, out_root: str,
         customer_risk_metrics=conform(tables["customer_risk_metrics"], S.RISK_COLUMNS),
         data_quality_log=sinks.read_table(spark, wh_root, "data_quality_log"),
     )
-    for name, df in wh.tables().items():
-        df.createOrReplaceTempView(name)
+    if register_views:
+        for name, df in wh.tables().items():
+            df.createOrReplaceTempView(name)
     clock.lap("warehouse_load")
     if export_dir:
         counts.update({f"export_{k}": v for k, v in sinks.export_csv(wh.tables(),
                                                                      export_dir).items()})
         clock.lap("export")
-    return PipelineResult(wh, clean_root, counts, clock.timings, score, check_rows)
+    written = {n: sinks.read_table(spark, clean_root, n) for n in CLEAN_TABLES}
+    written.update({n: sinks.read_table(spark, reject_root, n) for n in REJECT_TABLES})
+    written["transactions_best"] = sinks.read_table(spark, staging_root, "transactions_best")
+    return PipelineResult(wh, clean_root, counts, clock.timings, score, check_rows, written)

@@ -2,14 +2,17 @@
 
 ``build_clean_zone`` runs the cleaners and the orphan split;
 ``build_warehouse`` adds the enriched fact, risk mart, calendar and DQ log and
-conforms every table to the warehouse column list. Nothing here writes or
-collects (apart from the imputation medians, two scalars); the pipeline in
-``plans.pipeline`` decides what to materialise.
+conforms every table to the warehouse column list. These builders neither
+write nor collect (apart from the imputation medians, two scalars); the
+pipeline in ``plans.pipeline`` decides what to materialise, and
+``from_testdata`` runs that pipeline on the driver's test tables.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, fields
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -117,38 +120,39 @@ def build_warehouse(spark: SparkSession, cz: CleanZone, data_quality_log: DataFr
 
 
 # ---------------------------------------------------------------------------
-# Construction straight from the driver's test tables (used by
-# __spark_entry__ and the tests). The clean zone, enriched fact, risk mart and
-# DQ log are cut from their lineage once with reliable ``checkpoint()`` into
+# The driver's test tables through the production pipeline (used by
+# __spark_entry__ and the tests): the bridge's raw sources go through
+# ``plans.pipeline.run_pipeline`` into a fresh folder under
 # ``spark.checkpoint.dir`` (set only when the session left it unset), so every
-# registered query reads the Spark-derived tables instead of re-running the
-# cleaning. Cached per (session, dir).
+# registered query reads the tables the real run writes. Cached per
+# (session, dir).
 # ---------------------------------------------------------------------------
-_CACHE: dict[tuple[int, str], tuple[RawTables, CleanZone, Warehouse]] = {}
+class TestData(NamedTuple):
+    raw: RawTables
+    cz: CleanZone
+    wh: Warehouse
+    zone: dict[str, DataFrame]     # every written table (clean, rejected, staged)
 
 
-def _cut(df: DataFrame) -> DataFrame:
-    return df.checkpoint(eager=True)
+_CACHE: dict[tuple[int, str], TestData] = {}
 
 
-def from_testdata(spark: SparkSession, sf_dir: str, materialize: bool = True
-                  ) -> tuple[RawTables, CleanZone, Warehouse]:
+def from_testdata(spark: SparkSession, sf_dir: str) -> TestData:
     key = (id(spark), sf_dir)
     if key not in _CACHE:
+        from ledgerline.plans.pipeline import run_pipeline
+        from ledgerline.session import ensure_checkpoint_dir
         raw = bridge_raw(spark, sf_dir)
-        cz = build_clean_zone(raw)
-        log = dq_log(raw)
-        enriched = risk = None
-        if materialize:
-            from ledgerline.session import ensure_checkpoint_dir
-            ensure_checkpoint_dir(spark)
-            from ledgerline.plans.pipeline import run_parallel
-            cut = run_parallel({f.name: (lambda d=getattr(cz, f.name): _cut(d))
-                                for f in fields(cz)})
-            cz = CleanZone(**cut)
-            cut = run_parallel({"enriched": lambda: _cut(enriched_transactions(cz)),
-                                "risk": lambda: _cut(risk_metrics(cz)),
-                                "log": lambda: _cut(log)})
-            enriched, risk, log = cut["enriched"], cut["risk"], cut["log"]
-        _CACHE[key] = (raw, cz, build_warehouse(spark, cz, log, enriched, risk))
+        out_root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/testdata-{uuid.uuid4().hex}"
+        run = run_pipeline(spark, raw, out_root, run_at=DEFAULT_RUN_AT, enforce_gate=False,
+                           register_views=False)
+        z = run.written
+        clean_txns = z["transactions_best"].join(z["dim_account"].select("account_id"),
+                                                 "account_id", "left_semi")
+        cz = CleanZone(customers=z["dim_customer"], customers_rejected=z["customers_rejected"],
+                       branches=z["dim_branch"], accounts=z["dim_account"],
+                       accounts_rejected=z["accounts_rejected"], transactions=clean_txns,
+                       transactions_rejected=z["transactions_rejected"], loans=z["fact_loan"],
+                       loans_rejected=z["loans_rejected"])
+        _CACHE[key] = TestData(raw, cz, run.warehouse, z)
     return _CACHE[key]
