@@ -207,7 +207,7 @@ def run_quality(raw: RawTables, threshold: float, enforce: bool, report_root: st
 def run_pipeline(spark: SparkSession, raw: RawTables, out_root: str,
                  run_at: str | None = None, threshold: float = S.QUALITY_GATE_THRESHOLD,
                  enforce_gate: bool = True, export_dir: str | None = None,
-                 register_views: bool = True) -> PipelineResult:
+                 register_views: bool = True, read_back: bool = False) -> PipelineResult:
     """Run E1-E3 and return the warehouse as DataFrames over the written tables.
 
     With ``enforce_gate`` a failed quality gate raises ``QualityGateError``
@@ -262,7 +262,10 @@ def run_pipeline(spark: SparkSession, raw: RawTables, out_root: str,
         counts.update({f"export_{k}": v for k, v in sinks.export_csv(wh.tables(),
                                                                      export_dir).items()})
         clock.lap("export")
-    written = {n: sinks.read_table(spark, clean_root, n) for n in CLEAN_TABLES}
-    written.update({n: sinks.read_table(spark, reject_root, n) for n in REJECT_TABLES})
-    written["transactions_best"] = sinks.read_table(spark, staging_root, "transactions_best")
+    written: dict[str, DataFrame] = {}
+    if read_back:  # every written table as a DataFrame (``PipelineResult.written``)
+        written = {n: sinks.read_table(spark, clean_root, n) for n in CLEAN_TABLES}
+        written.update({n: sinks.read_table(spark, reject_root, n) for n in REJECT_TABLES})
+        written["transactions_best"] = sinks.read_table(spark, staging_root,
+                                                        "transactions_best")
     return PipelineResult(wh, clean_root, counts, clock.timings, score, check_rows, written)

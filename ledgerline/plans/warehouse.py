@@ -145,7 +145,7 @@ def from_testdata(spark: SparkSession, sf_dir: str) -> TestData:
         raw = bridge_raw(spark, sf_dir)
         out_root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/testdata-{uuid.uuid4().hex}"
         run = run_pipeline(spark, raw, out_root, run_at=DEFAULT_RUN_AT, enforce_gate=False,
-                           register_views=False)
+                           register_views=False, read_back=True)
         z = run.written
         clean_txns = z["transactions_best"].join(z["dim_account"].select("account_id"),
                                                  "account_id", "left_semi")

@@ -17,7 +17,7 @@ SMOKE = "/root/testdata/sf0.001"
 def result(spark):
     out = f"{spark.conf.get('spark.checkpoint.dir')}/pipeline-{uuid.uuid4().hex}"
     return run_pipeline(spark, bridge_raw(spark, SMOKE), out, run_at="2026-01-01T00:00:00",
-                        enforce_gate=False, export_dir=f"{out}/extracts")
+                        enforce_gate=False, export_dir=f"{out}/extracts", read_back=True)
 
 
 @pytest.mark.parametrize("table", ["dim_date", "dim_branch", "dim_customer", "dim_account",
