@@ -1,21 +1,23 @@
-"""End-to-end run: clean zone -> quality gate -> warehouse -> questions.
+"""End-to-end run: clean zone -> quality gate -> warehouse.
 
 Every stage writes its output and the next stage reads it back, so lineage
 is cut at each table (an executor lost later never replays the cleaning), and
-each expensive step runs once instead of once per consumer:
+each expensive step runs once instead of once per consumer. Within a wave,
+independent writes are submitted together from driver threads.
 
-1. dimensions, loans and their rejects are written; the fact stage reads them;
-   in the same wave the ranked transaction winners are written to a staging
-   table (the window runs once; the enriched fact, the orphans and the
-   conflict rejects all read the staged winners); the quality checks run in
-   the background through all waves;
-2. independent writes of a wave are submitted together from driver threads;
-3. the enriched fact is written partitioned by ``txn_year_month`` and read
-   back twice, once per grain (day x branch x account type; branch x
-   customer); the risk mart and the three roll-ups are roll-ups of those small
-   grains (the risk mart needs no join to accounts: customer_id is on the fact);
-4. the quality checks run over the raw sources and gate the warehouse load;
-5. the warehouse is the clean zone conformed to the star-schema columns
+1. Wave 1: customers, accounts, loans and branches with their rejects, and
+   the ranked transaction winners, written to a staging table (the ranking
+   window runs once). The de-duplicated, tagged transactions are persisted
+   for wave 2.
+2. Wave 2: the transaction rejects (invalid rows, id conflicts, orphans) and
+   the enriched fact (one inner join of the staged winners to the account
+   dimension), written partitioned by ``txn_year_month``.
+3. Wave 3: two small grains of the fact (day x branch x account type;
+   branch x customer), then the risk mart and the three roll-ups from them.
+4. The quality checks read only the raw sources: they run in the background
+   from the start and are joined before the gate, which stops the warehouse
+   load when enforced.
+5. The warehouse is the clean zone conformed to the star-schema columns
    (a projection over the written tables, not a second copy), plus the
    calendar and the appended quality log.
 
