@@ -539,7 +539,49 @@ TXN_COLS = ("transaction_id, account_id, transaction_date, transaction_amount, t
             "payment_status, channel")
 
 
+# DATE output columns per query: presented as ISO text on both sides.
+DATE_COLUMNS = {
+    "high_value_detail": ["transaction_date"],
+    "clean_customers": ["dob", "customer_since"],
+    "clean_accounts": ["account_opened_date"],
+    "clean_loans": ["loan_start_date"],
+    "clean_transactions": ["transaction_date"],
+    "rejected_transactions": ["transaction_date"],
+    "rejected_customers": ["dob", "customer_since"],
+    "rejected_accounts": ["account_opened_date"],
+    "rejected_loans": ["loan_start_date"],
+    "orphan_transactions": ["transaction_date"],
+    "parsed_dates": ["parsed_date"],
+    "enriched_transactions": ["transaction_date", "customer_since"],
+    "fact_transaction": ["transaction_date"],
+    "daily_aggregation": ["transaction_date"],
+    "dim_date": ["date_key"],
+}
+
+
+# Key columns of the reject audit tables (raw rows, keys may be NULL):
+# presented as text, as the source files carry them.
+AUDIT_KEY_COLUMNS = {
+    "rejected_transactions": ["transaction_id", "account_id"],
+    "orphan_transactions": ["transaction_id", "account_id"],
+    "rejected_customers": ["customer_id"],
+    "rejected_accounts": ["account_id", "customer_id", "branch_id"],
+    "rejected_loans": ["loan_id", "customer_id"],
+}
+
+
 def queries() -> dict[str, str]:
+    out = {}
+    for name, sql in _queries().items():
+        cols = DATE_COLUMNS.get(name, []) + AUDIT_KEY_COLUMNS.get(name, [])
+        if cols:
+            cast = ", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in cols)
+            sql = f"SELECT * REPLACE ({cast}) FROM ({sql})"
+        out[name] = sql
+    return out
+
+
+def _queries() -> dict[str, str]:
     kpi_text = ("CAST(CAST(round(CAST({} AS DECIMAL(18,6)), 1) AS DECIMAL(18,1)) AS VARCHAR) "
                 "|| '%'")
     return {
