@@ -1,0 +1,135 @@
+import random
+import re
+
+import numpy as np
+import pytest
+
+from ledgerline.llm import ngrams as NG
+from ledgerline.llm import pu_quality as PU
+from ledgerline.llm import quality_rules as QR
+
+BLANK = r"[\x20\x09-\x0D]+"
+
+
+def brute_statistics(text):
+    text = text or ""
+    words = [w for w in re.split(BLANK, text) if w]
+    seen, dup = set(), 0
+    for line in text.split("\n"):
+        if [w for w in re.split(BLANK, line) if w]:
+            dup += line in seen
+            seen.add(line)
+    windows = [tuple(words[i:i + 3]) for i in range(len(words) - 2)]
+    covered = {i + s for i, w in enumerate(windows) if windows.count(w) > 1 for s in range(3)}
+    return {"n_words": len(words), "word_chars": sum(map(len, words)),
+            "n_symbols": sum(c in "#*$%&|<>" for c in text), "n_dup_lines": dup,
+            "n_repeat_words": len(covered)}
+
+
+@pytest.mark.parametrize("text", [None, "", " \n\t", "a", "a b c a b c", "a\nb\n\na\n \na \n",
+                                  "# é ß *|<> x\x85y\u00a0z", "x " * 300, "ab cd\x1cef " * 5])
+def test_statistics_of_odd_texts(text):
+    assert QR.statistics(text) == brute_statistics(text)
+
+
+def test_statistics_of_random_texts():
+    rng = random.Random(3)
+    for _ in range(60):
+        text = "".join(rng.choices(["a", "b", "É ", "#", " ", "\n", "ab ", "\t"], k=rng.randint(0, 120)))
+        assert QR.statistics(text) == brute_statistics(text)
+
+
+def corpus(n, seed=5):
+    rng = random.Random(seed)
+    words = ["house", "tree", "river", "stone", "walk", "light", "green", "after", "before", "under"]
+    rows, labels = [], []
+    for i in range(n):
+        w = [rng.choice(words) + rng.choice(["s", "ed", ""]) for _ in range(rng.randint(60, 120))]
+        good = rng.random() < 0.7
+        if not good:
+            w = [x.upper() + "!!" for x in w] if rng.random() < 0.5 else [x + "$$$" for x in w]
+        rows.append((i, " ".join(w)))
+        if i % 2 == 0:
+            labels.append((i, int(good)))
+    return rows, labels, {i: int("!!" not in t and "$" not in t) for i, t in rows}
+
+
+def test_features_agree_with_scores():
+    texts = ["one two two three", "", None, "x" * 50, "É é É é", "a"]
+    rng = np.random.default_rng(2)
+    model = NG.LinearModel(rng.normal(size=NG.WIDTH), 0.25)
+    assert np.allclose(model.logits(texts), NG.vectors(texts) @ model.weights + 0.25, atol=1e-5)
+    assert model.logits(["", None]).tolist() == [0.25, 0.25]
+
+
+def test_long_texts_are_cut_into_pieces(monkeypatch):
+    text = " ".join(f"word{i}" for i in range(3000))
+    whole = NG.vectors([text])
+    monkeypatch.setattr(NG, "PIECE", 1000)
+    assert np.abs(NG.vectors([text]) - whole).sum() < 0.1
+    assert sum(len(x) for held in NG.pieces([text, "é" * 900]) for _, x in held) == len(text) + 1800
+
+
+def test_word_hash_is_the_same_at_every_place():
+    _, _, _, one = NG.hashed([(0, b"alpha beta alpha beta")])
+    words, pairs = one[:4], one[4:]
+    assert words[0] == words[2] and words[1] == words[3] and pairs[0] == pairs[2] != pairs[1]
+    _, _, _, two = NG.hashed([(0, b"beta beta")])
+    assert two.tolist() == [words[1], words[1], NG.REPEATED_PAIR]
+
+
+def test_rules_judge_whole_texts(spark):
+    rows, labels, truth = corpus(400)
+    docs = spark.createDataFrame(rows + [(900, None), (901, ""), (902, "too short"), (903, "a b c " * 40)],
+                                 "doc_id long, text string")
+    model = QR.fit(docs, spark.createDataFrame(labels, "doc_id long, quality int"))
+    got = {r.doc_id: r.judged for r in QR.judge(docs, model).collect()}
+    assert np.mean([got[i].kept == bool(truth[i]) for i in truth]) > 0.97
+    for i in (900, 901, 902, 903):
+        assert got[i].base_failed and not got[i].kept
+    for i, text in rows[:20]:
+        have = got[i].asDict()
+        assert {k: have[k] for k in brute_statistics(text)} == brute_statistics(text)
+    p = np.array([got[i].probability for i in truth])
+    assert abs(p.mean() - np.mean(list(truth.values()))) < 0.1      # calibrated
+
+
+def test_rules_without_labels_or_rows(spark):
+    docs = spark.createDataFrame([(1, "a b " * 10 + " ".join(map(str, range(60))), "j", 2)],
+                                 "doc_id long, text string, judged string, label long")
+    none = spark.createDataFrame([], "doc_id long, quality int")
+    assert QR.keep_good(docs, none).columns == docs.columns
+    assert QR.judge(docs, QR.fit(docs, none), judged_col="j2").first().j2.probability == 0.5
+    some = spark.createDataFrame([(1, 1), (1, 1), (None, 0), (1, None)], "doc_id long, quality int")
+    assert QR.keep_good(docs, some).collect() == docs.collect()
+    assert QR.keep_good(docs.limit(0), some).count() == 0
+
+
+def test_nnpu_finds_the_negatives_among_unlabelled(spark):
+    rows, labels, truth = corpus(800, seed=9)
+    docs = spark.createDataFrame(rows + [(2000, None), (None, "x y")], "doc_id long, text string")
+    got = PU.classify(docs, spark.createDataFrame(labels, "doc_id long, quality int")).collect()
+    assert len(got) == 802
+    known = [r for r in got if r.doc_id in truth and r.held_out]
+    assert len(known) > 100
+    assert np.mean([r.predicted == truth[r.doc_id] for r in known]) > 0.95
+    assert all(r.predicted == int(r.score >= 0.3) and 0 <= r.score <= 1 for r in got)
+    assert {r.held_out for r in got if r.doc_id is None} == {True}
+
+
+def test_pu_without_labels(spark):
+    docs = spark.createDataFrame([(1, "a"), (1, "a"), (2, None)], "doc_id long, text string")
+    none = spark.createDataFrame([], "doc_id long, quality int")
+    assert [r.score for r in PU.classify(docs, none).collect()] == [0.5] * 3
+    assert PU.classify(docs.limit(0), none).count() == 0
+
+
+def test_risk_is_held_at_zero():
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(60, NG.WIDTH)).astype(np.float32)      # separable by chance: would overfit
+    positive = np.r_[np.ones(30), np.zeros(30)]
+    model = PU.fit_nnpu(x, positive, 0.6)
+    z = x @ model.weights + model.bias
+    low = np.logaddexp(0, z)
+    # an unbounded risk would run far below zero here
+    assert low[30:].mean() - 0.6 * low[:30].mean() > -0.25
