@@ -6,7 +6,7 @@ from ledgerline.llm import line_dedup as LD
 
 
 def normal(line):
-    return line.lower().strip(" \t\r\x0b\x0c")
+    return line.strip(" \t\r\x0b\x0c")
 
 
 def shingles(line, k=LD.SHINGLE):
@@ -51,7 +51,7 @@ def make(seed):
         w = x.split()
         w[rng.randrange(len(w))] = rng.choice(vocab)
         lines.append(" ".join(w))
-    lines += [lines[0].upper(), "  " + lines[1] + "\t", "", " ", "x", "X"]
+    lines += [lines[0][:-1], "  " + lines[1] + "\t", "", " ", "x", "X"]
     rows = [(i, "\n".join(rng.choices(lines, k=rng.randint(1, 8)))) for i in range(80)]
     return rows + [(100, None), (101, ""), (102, "\n\n"), (None, lines[3] + "\nonly here at all"),
                    (5, rows[5][1]), (103, "long " * 4000)]
@@ -65,7 +65,7 @@ def test_matches_brute_force(spark, monkeypatch, seed, small):
     have = sorted(((str(r.doc_id), r.text) for r in got), key=str)
     want = brute(rows)
     differ = sum(a != b for a, b in zip(have, want))
-    # bands miss a pair of similarity 0.8 with probability 0.003
+    # bands miss a pair of similarity 0.8 with probability below 0.02
     assert len(have) == len(want) and differ <= 1, [x for x in zip(have, want) if x[0] != x[1]][:3]
 
 
