@@ -35,13 +35,14 @@ class Split:
     # ranking, the rows that failed them, and the reason given to ranking losers.
     candidates: DataFrame | None = None
     invalid: DataFrame | None = None
+    key: str | None = None
     loser_reason: str | None = None
 
     def rejects_given(self, written_valid: DataFrame) -> DataFrame:
         """Rejected rows computed against the *written* winners, so the ranking
         window is not evaluated a second time."""
-        losers = rows_not_in(self.candidates, written_valid, self.loser_reason)
-        return self.invalid.unionByName(losers, allowMissingColumns=True)
+        lost = losers(self.candidates, written_valid, self.key, self.loser_reason)
+        return self.invalid.unionByName(lost, allowMissingColumns=True)
 
 
 def first_failure(checks: Sequence[tuple[Column, str]]) -> Column:
@@ -75,20 +76,33 @@ def keep_best(df: DataFrame, key: str, ranking: Sequence[tuple[str, str]],
 
     The winner is ``row_number() == 1``: the planner adds a partial
     WindowGroupLimit before the shuffle, so even a key holding a third of all
-    rows sends at most one row per map task across the network. Losers are
-    found with an anti-join on *every* column (null-safe); rows are distinct
-    after exact de-duplication, so that join key has no hot value.
+    rows sends at most one row per map task across the network. Rows that are
+    equal (raw rows can become equal when they are standardised) are rejected
+    too, all copies but the winner.
     """
     w = Window.partitionBy(key).orderBy(*total_order(df, key, ranking))
     winners = df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
-    return Split(winners, rows_not_in(df, winners, reason))
+    return Split(winners, losers(df, winners, key, reason))
 
 
-def rows_not_in(df: DataFrame, kept: DataFrame, reason: str) -> DataFrame:
-    """Rows of ``df`` absent from ``kept`` (null-safe on every column), tagged."""
-    a, b = df.alias("_all"), kept.alias("_kept")
-    cond = [F.col(f"_all.`{c}`").eqNullSafe(F.col(f"_kept.`{c}`")) for c in df.columns]
-    return a.join(b, cond, "left_anti").withColumn(REASON, F.lit(reason))
+def losers(df: DataFrame, kept: DataFrame, key: str, reason: str) -> DataFrame:
+    """Every row of ``df`` but one copy of each row in ``kept``, tagged.
+
+    Only keys that occur more than once can have losers. They are found by a
+    count that is combined map-side, so the rows of all other keys are neither
+    ranked nor compared. Of the rest, copies are counted and the winner's row
+    (equal on every column, null-safe) counts one less.
+    """
+    repeated = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(key)
+    counted = (df.join(repeated, key, "left_semi").select(df.columns)
+               .groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies")))
+    a, b = counted.alias("_all"), kept.withColumn("_won", F.lit(1)).alias("_kept")
+    same = [F.col(f"_all.`{c}`").eqNullSafe(F.col(f"_kept.`{c}`")) for c in df.columns]
+    left = F.col("_copies") - F.coalesce("_won", F.lit(0))
+    return (a.join(b, same, "left").withColumn("_left", left).where("_left > 0")
+            .select(*[F.col(f"_all.`{c}`") for c in df.columns],
+                    F.explode(F.sequence(F.lit(1).cast("long"), "_left")).alias("_copy"))
+            .drop("_copy").withColumn(REASON, F.lit(reason)))
 
 
 def _union_rejects(*frames: DataFrame) -> DataFrame:
@@ -121,9 +135,11 @@ def customer_medians(std: DataFrame) -> tuple[float | None, int]:
     return income, (int(credit) if credit is not None else S.DEFAULT_CREDIT_SCORE)
 
 
-def clean_customers(raw: DataFrame, medians: tuple[float | None, int] | None = None) -> Split:
-    """Exact de-dup *before* standardising, impute, reject NULL ids, one row per id."""
-    std = standardise_customers(raw.dropDuplicates())
+def clean_customers(raw: DataFrame, medians: tuple[float | None, int] | None = None,
+                    standardised: DataFrame | None = None) -> Split:
+    """Exact de-dup *before* standardising, impute, reject NULL ids, one row per id.
+    ``standardised``: the first two steps' result where it is already written."""
+    std = standardised if standardised is not None else standardise_customers(raw.dropDuplicates())
     income_median, credit_median = medians if medians is not None else customer_medians(std)
     imputed = (std.withColumn("customer_income",
                               F.coalesce("customer_income",
@@ -133,7 +149,7 @@ def clean_customers(raw: DataFrame, medians: tuple[float | None, int] | None = N
     checked = split_on(imputed, [(F.col("customer_id").isNotNull(), "missing_customer_id")])
     best = keep_best(checked.valid, "customer_id", [], "duplicate_customer_id")
     return Split(best.valid, _union_rejects(checked.rejected, best.rejected),
-                 checked.valid, checked.rejected, "duplicate_customer_id")
+                 checked.valid, checked.rejected, "customer_id", "duplicate_customer_id")
 
 
 # ---------------------------------------------------------------------------
@@ -157,7 +173,7 @@ def clean_accounts(raw: DataFrame, account_types: Sequence[str] = S.ACCOUNT_TYPE
     ])
     best = keep_best(checked.valid, "account_id", [], "duplicate_account_id")
     return Split(best.valid, _union_rejects(checked.rejected, best.rejected),
-                 checked.valid, checked.rejected, "duplicate_account_id")
+                 checked.valid, checked.rejected, "account_id", "duplicate_account_id")
 
 
 # ---------------------------------------------------------------------------
@@ -197,7 +213,7 @@ def split_tagged(tagged: DataFrame, key: str, ranking: Sequence[tuple[str, str]]
     invalid = tagged.where(F.col(REASON).isNotNull())
     best = keep_best(candidates, key, ranking, loser_reason)
     return Split(best.valid, _union_rejects(invalid, best.rejected), candidates, invalid,
-                 loser_reason)
+                 key, loser_reason)
 
 
 def clean_transactions(raw: DataFrame, txn_types: Sequence[str] = S.TXN_TYPES) -> Split:
@@ -240,4 +256,4 @@ def clean_loans(raw: DataFrame) -> Split:
     ])
     best = keep_best(checked.valid, "loan_id", [], "duplicate_loan_id")
     return Split(best.valid, _union_rejects(checked.rejected, best.rejected),
-                 checked.valid, checked.rejected, "duplicate_loan_id")
+                 checked.valid, checked.rejected, "loan_id", "duplicate_loan_id")

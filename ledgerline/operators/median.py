@@ -1,11 +1,11 @@
-"""Exact medians without gathering a column in one place.
+"""Exact medians as one DataFrame plan (P8), the same at every size.
 
 ``percentile(c, 0.5)`` is exact but merges a value->count map of *every*
 distinct value into one task; ``percentile_approx`` is bounded but not exact.
-This is an exact selection in a few passes: approximate quantiles (a bounded
-sketch per task) bracket the middle ranks, counts verify the bracket, and the
-window shrinks until its distinct values fit a small constant, which are then
-the only rows that leave the executors. Several columns share each pass.
+Here values are counted (combined map-side, so a value that a third of the rows
+have is one row), the distinct values are laid out in order over many
+partitions and written, and only the one or two partitions in which the middle
+ranks fall are looked into. Several columns share the pass.
 
 The median of ``n`` values is ``(v[(n-1)//2] + v[n//2]) / 2`` over the sorted
 non-NULL values (0-based ranks), i.e. the usual linear interpolation at 0.5.
@@ -13,38 +13,10 @@ non-NULL values (0-based ranks), i.e. the usual linear interpolation at 0.5.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-MAX_CANDIDATES = 50_000     # distinct values per column allowed to reach the driver
-ACCURACY = 10_000           # percentile_approx accuracy (rank error <= n / ACCURACY)
-MAX_ROUNDS = 12
-
-
-@dataclass
-class _Window:
-    lo: float | None = None     # value window [lo, hi]; None = open
-    hi: float | None = None
-    offset: int = 0             # values strictly below the window
-    m: int | None = None        # values inside the window
-    n: int | None = None        # all non-NULL values
-    accuracy: int = ACCURACY
-
-    def condition(self, v):
-        cond = v.isNotNull()
-        if self.lo is not None:
-            cond = cond & (v >= self.lo)
-        if self.hi is not None:
-            cond = cond & (v <= self.hi)
-        return cond
-
-    def targets(self) -> tuple[float, float]:
-        if self.n is None:
-            return 0.5, 0.5
-        k1, k2 = (self.n - 1) // 2, self.n // 2
-        return (k1 - self.offset) / self.m, (k2 - self.offset) / self.m
+from ledgerline.sources.sinks import staged
 
 
 def exact_median(df: DataFrame, column: str) -> float | None:
@@ -52,95 +24,27 @@ def exact_median(df: DataFrame, column: str) -> float | None:
 
 
 def exact_medians(df: DataFrame, columns: list[str]) -> dict[str, float | None]:
-    vals = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    state = {c: _Window() for c in columns}
-    result: dict[str, float | None] = {}
-    for _ in range(MAX_ROUNDS):
-        open_cols = [c for c in columns if c not in result]
-        if not open_cols:
-            return result
-        # one aggregate: size, distinct estimate and a bracket per column
-        aggs = []
-        for c in open_cols:
-            st, v = state[c], F.col(c)
-            inside = F.when(st.condition(v), v)
-            lo_q, hi_q = st.targets()
-            margin = 4.0 / st.accuracy
-            aggs += [F.count(inside).alias(f"{c}__m"),
-                     F.approx_count_distinct(inside, 0.05).alias(f"{c}__d"),
-                     F.percentile_approx(inside, [max(0.0, lo_q - margin),
-                                                  min(1.0, hi_q + margin)],
-                                         st.accuracy).alias(f"{c}__q")]
-        row = vals.agg(*aggs).first()
-        small = []
-        for c in open_cols:
-            st = state[c]
-            if st.n is None:
-                st.n = st.m = row[f"{c}__m"]
-                if st.n == 0:
-                    result[c] = None
-                    continue
-            if row[f"{c}__d"] <= MAX_CANDIDATES // 2:
-                small.append(c)
-        if small:
-            picked = _finish(vals, small, state)
-            result.update(picked)
-        narrow = [c for c in open_cols if c not in result]
-        if narrow:
-            _narrow(vals, narrow, state, row)
-    raise RuntimeError(f"exact_medians({columns}) did not converge")
-
-
-def _finish(vals: DataFrame, cols: list[str], state: dict[str, _Window]) -> dict[str, float]:
-    """Collect (value, count) inside each window — bounded — and read the ranks."""
-    pairs = F.array(*[F.struct(F.lit(c).alias("col"),
-                               F.when(state[c].condition(F.col(c)), F.col(c)).alias("v"))
-                      for c in cols])
-    counted = (vals.select(F.explode(pairs).alias("p")).select("p.*")
-               .where(F.col("v").isNotNull()).groupBy("col", "v").count())
-    # at most MAX_CANDIDATES + 1 rows per column can arrive
-    rows = counted.limit(len(cols) * (MAX_CANDIDATES + 1)).collect()
-    out = {}
-    for c in cols:
-        mine = sorted((r["v"], r["count"]) for r in rows if r["col"] == c)
-        st = state[c]
-        if len(mine) > MAX_CANDIDATES or sum(n for _, n in mine) != st.m:
-            continue                       # too many values or cut by the limit: narrow
-        out[c] = _pick_ranks(mine, st.offset, (st.n - 1) // 2, st.n // 2)
-    return out
-
-
-def _narrow(vals: DataFrame, cols: list[str], state: dict[str, _Window], row) -> None:
-    aggs = []
-    for c in cols:
-        v = F.col(c)
-        new_lo, new_hi = row[f"{c}__q"]
-        inside = state[c].condition(v)
-        aggs += [F.count_if(inside & (v < new_lo)).alias(f"{c}__below"),
-                 F.count_if(inside & (v > new_hi)).alias(f"{c}__above")]
-    cnt = vals.agg(*aggs).first()
-    for c in cols:
-        st = state[c]
-        new_lo, new_hi = row[f"{c}__q"]
-        below, above = cnt[f"{c}__below"], cnt[f"{c}__above"]
-        k1, k2 = (st.n - 1) // 2, st.n // 2
-        moved = False
-        if below > 0 and st.offset + below <= k1:
-            st.lo, st.offset, st.m, moved = new_lo, st.offset + below, st.m - below, True
-        if above > 0 and (st.offset + st.m - above) > k2:
-            st.hi, st.m, moved = new_hi, st.m - above, True
-        if not moved:
-            st.accuracy *= 10
-
-
-def _pick_ranks(pairs: list[tuple[float, int]], offset: int, k1: int, k2: int) -> float:
-    found: dict[int, float] = {}
-    pos = offset
-    for value, count in pairs:
-        for k in (k1, k2):
-            if k not in found and pos <= k < pos + count:
-                found[k] = value
-        pos += count
-        if k1 in found and k2 in found:
-            break
-    return (found[k1] + found[k2]) / 2
+    """One value per column, None where it has no value. NULL and NaN don't count."""
+    pairs = F.array(*[F.struct(F.lit(c).alias("col"), F.col(c).cast("double").alias("v"))
+                      for c in columns])
+    counted = (df.select(F.explode(pairs).alias("p")).select("p.*")
+               .where(F.col("v").isNotNull() & ~F.isnan("v")).groupBy("col", "v")
+               .agg(F.count(F.lit(1)).alias("n")))
+    laid = staged(counted.repartitionByRange("col", "v")
+                  .withColumn("part", F.spark_partition_id()), "median-values")
+    column = Window.partitionBy("col")
+    parts = (laid.groupBy("col", "part").agg(F.sum("n").alias("n"))
+             .withColumn("upto", F.sum("n").over(column.orderBy("part")))
+             .withColumn("total", F.sum("n").over(column))
+             .withColumn("k1", F.expr("(total - 1) DIV 2")).withColumn("k2", F.expr("total DIV 2"))
+             # the partitions that hold the ranks k1 and k2: two at most
+             .where("upto - n <= k2 AND k1 < upto")
+             .select("col", "part", (F.col("upto") - F.col("n")).alias("before"), "k1", "k2"))
+    inside = (laid.join(F.broadcast(parts), ["col", "part"])
+              .withColumn("upto", F.col("before") + F.sum("n").over(
+                  Window.partitionBy("col", "part").orderBy("v"))))
+    at = lambda k: F.max(F.when((F.col("upto") - F.col("n") <= F.col(k))
+                                & (F.col(k) < F.col("upto")), F.col("v")))
+    rows = inside.groupBy("col").agg(((at("k1") + at("k2")) / 2).alias("median")).collect()
+    found = {r["col"]: r["median"] for r in rows}          # one row per column
+    return {c: found.get(c) for c in columns}
