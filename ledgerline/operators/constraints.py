@@ -9,12 +9,15 @@ them. Semantics:
 * FK: rows with a non-NULL key that is absent from the parent (SQL semantics;
   the DQ consistency checks count NULL keys as failures instead).
 
-Each check is an aggregate (PK, NOT NULL) or an anti-join (FK) -- a
-shuffle on the key, never a collect.
+A table is scanned once for its PK and NOT NULL rows (counts per key, combined
+map-side) and once for all its foreign keys: their values are counted, again
+combined map-side, and only the distinct values meet the parents' keys.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -47,34 +50,48 @@ CONSTRAINTS = (
 )
 
 
-def _pk_violations(df: DataFrame, col: str) -> DataFrame:
-    per_key = df.groupBy(col).agg(F.count(F.lit(1)).alias("n"))
-    bad = F.when(F.col(col).isNull() | (F.col("n") > 1), F.col("n"))
-    return per_key.agg(F.coalesce(F.sum(bad), F.lit(0)).cast("long").alias("violations"))
-
-
-def _not_null_violations(df: DataFrame, col: str) -> DataFrame:
-    return df.agg(F.count_if(F.col(col).isNull()).cast("long").alias("violations"))
+def _own(df: DataFrame, table: str) -> DataFrame:
+    """PK and NOT NULL rows of one table from one aggregate per key."""
+    mine = [c for c in CONSTRAINTS if c[0] == table and c[1] != "FK"]
+    key = next(c[2] for c in mine if c[1] == "PK")
+    nulls = [c[2] for c in mine if c[1] == "NOT NULL"]
+    per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"),
+                                  *[F.count_if(F.col(c).isNull()).alias(f"_null_{c}") for c in nulls])
+    bad = F.when(F.col(key).isNull() | (F.col("_n") > 1), F.col("_n"))
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("long")
+    sums = per_key.agg(total(bad).alias("pk"), *[total(f"_null_{c}").alias(c) for c in nulls])
+    rows = [F.struct(F.lit(kind).alias("constraint_kind"), F.lit(col).alias("column_name"),
+                     F.col("pk" if kind == "PK" else col).alias("violations"))
+            for _, kind, col, _, _ in mine]
+    return sums.select(F.lit(table).alias("table_name"), F.explode(F.array(*rows)).alias("r")).select(
+        "table_name", "r.*")
 
 
-def _fk_violations(df: DataFrame, col: str, parent: DataFrame, parent_col: str) -> DataFrame:
-    keys = parent.select(F.col(parent_col).alias(col))
-    return (df.select(col).where(F.col(col).isNotNull()).join(keys, col, "left_anti")
-            .agg(F.count(F.lit(1)).cast("long").alias("violations")))
+def _foreign(tables: dict[str, DataFrame], table: str) -> DataFrame:
+    """FK rows of one table from one scan: non-NULL values by column, counted,
+    without those that the parent has."""
+    keys = [(col, tables[parent], parent_col) for t, kind, col, parent, parent_col in CONSTRAINTS
+            if t == table and kind == "FK"]
+    values = F.explode(F.array(*[F.struct(F.lit(col).alias("column_name"),
+                                          F.col(col).cast("string").alias("key")) for col, _, _ in keys]))
+    counted = (tables[table].select(values.alias("v")).select("v.*").where(F.col("key").isNotNull())
+               .groupBy("column_name", "key").agg(F.count(F.lit(1)).alias("n")))
+    known = reduce(DataFrame.unionByName, [
+        parent.select(F.lit(col).alias("column_name"), F.col(parent_col).cast("string").alias("key"))
+        for col, parent, parent_col in keys])
+    lost = (counted.join(known, ["column_name", "key"], "left_anti").groupBy("column_name")
+            .agg(F.sum("n").alias("n")).groupBy().pivot("column_name", [c for c, _, _ in keys])
+            .agg(F.sum("n")))
+    rows = [F.struct(F.lit("FK").alias("constraint_kind"), F.lit(col).alias("column_name"),
+                     F.coalesce(F.col(col), F.lit(0)).cast("long").alias("violations"))
+            for col, _, _ in keys]
+    return lost.select(F.lit(table).alias("table_name"), F.explode(F.array(*rows)).alias("r")).select(
+        "table_name", "r.*")
 
 
 def check_constraints(tables: dict[str, DataFrame]) -> DataFrame:
     """One row per constraint: table_name, constraint_kind, column_name, violations."""
-    out = None
-    for table, kind, col, parent, parent_col in CONSTRAINTS:
-        df = tables[table]
-        if kind == "PK":
-            v = _pk_violations(df, col)
-        elif kind == "NOT NULL":
-            v = _not_null_violations(df, col)
-        else:
-            v = _fk_violations(df, col, tables[parent], parent_col)
-        row = v.select(F.lit(table).alias("table_name"), F.lit(kind).alias("constraint_kind"),
-                       F.lit(col).alias("column_name"), "violations")
-        out = row if out is None else out.unionByName(row)
-    return out
+    names = list(dict.fromkeys(c[0] for c in CONSTRAINTS))
+    with_keys = [n for n in names if any(c[0] == n and c[1] == "FK" for c in CONSTRAINTS)]
+    parts = [_own(tables[n], n) for n in names] + [_foreign(tables, n) for n in with_keys]
+    return reduce(DataFrame.unionByName, parts)

@@ -70,4 +70,27 @@ def test_gate_boundary_and_empty_table(spark):
 def test_report_text(spark):
     t, a, c = frames(spark)
     text = DQ.format_scorecard(DQ.dq_scorecard(t, a).first(), DQ.dq_checks(t, a, c).collect())
-    assert "FAILED" in text and "Consistency:" in text
+    assert "not passed" in text and text.count("| Consistency |") == 2 and text.count("\n| ") == 14
+
+
+def test_a_hot_account_is_split_in_the_profile(spark):
+    """A third of the rows on one account: AQE cuts that partition (broadcast off)."""
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        t = spark.range(200_000, numPartitions=8).selectExpr(
+            "cast(id as string) transaction_id",
+            "if(id % 3 = 0, 'HOT', cast(id as string)) account_id", "'2024-01-05' transaction_date",
+            "'10' transaction_amount", "'Deposit' transaction_type")
+        a = spark.range(200_000).selectExpr("if(id = 0, 'HOT', cast(id as string)) account_id")
+        joined = DQ.transaction_profile(t, a)
+        joined.collect()
+        assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
