@@ -53,8 +53,14 @@ def parse_iso_date(c: str | Column) -> Column:
 
 
 def to_double(c: str | Column) -> Column:
-    """Text or number -> DOUBLE, NULL on garbage."""
-    return col(c).try_cast("double")
+    """Text or number -> DOUBLE, NULL on garbage.
+
+    Only usable numbers pass: NaN, the infinities and anything from
+    ``S.LARGEST_NUMBER`` on become NULL (NaN would sort above every number and
+    so pass as a positive amount).
+    """
+    x = col(c).try_cast("double")
+    return F.when(F.abs(x) < S.LARGEST_NUMBER, x)
 
 
 def to_int(c: str | Column) -> Column:
@@ -74,24 +80,29 @@ def ok(predicate: Column) -> Column:
 def round2(x: Column) -> Column:
     """Round half away from zero to 2 decimals on the decimal value.
 
-    Only for bounded quantities (rates, averages, scores); money totals are
-    summed exactly in cents and need no rounding.
+    Holds up to 1e32, so large averages and rates of change pass too.
     """
-    return F.round(x.cast("decimal(18,6)"), 2).cast("double")
+    return F.round(x.try_cast("decimal(38,6)"), 2).cast("double")
 
 
 def round0(x: Column) -> Column:
-    return F.round(x.cast("decimal(18,6)"), 0).cast("double")
+    return F.round(x.try_cast("decimal(38,6)"), 0).cast("double")
+
+
+def exact(amount: str | Column) -> Column:
+    """A number as a decimal of 6 places, so sums are exact and order independent
+    (T7). Amounts below 1e22 fit, and 1e10 of them add up without overflow."""
+    return col(amount).cast("decimal(28,6)")
 
 
-def cents(amount: str | Column) -> Column:
-    """Money -> integer cents, so sums are exact and order independent."""
-    return F.rint(col(amount) * 100).cast("long")
+def sum_exact(amount: str | Column) -> Column:
+    """Exact sum as a decimal, for sums that are summed again."""
+    return F.sum(exact(amount)).cast("decimal(38,6)")
 
 
 def sum_money(amount: str | Column) -> Column:
-    """Exact sum of a 2-decimal money column, as DOUBLE."""
-    return F.sum(cents(amount)).cast("double") / 100.0
+    """Exact sum, as DOUBLE; nothing is rounded before it is added up."""
+    return sum_exact(amount).cast("double")
 
 
 def avg_money(amount: str | Column) -> Column:
@@ -124,9 +135,9 @@ def risk_score(credit_score: str | Column, failed_txn_rate: str | Column,
     credit 0-28 pts + failed-rate 0-12 pts + 32 per defaulted loan + 16 per
     overdue loan; ``least`` skips NULL, so a NULL score would read as 100 (T9).
     """
-    credit_pts = (F.lit(900) - col(credit_score)) / 600 * 28
-    raw = (credit_pts + col(failed_txn_rate) * 12 + col(defaulted) * 32
-           + col(overdue) * 16)
+    credit_pts = (F.lit(S.RISK_BEST_CREDIT) - col(credit_score)) / S.RISK_CREDIT_SPAN * S.RISK_CREDIT_POINTS
+    raw = (credit_pts + col(failed_txn_rate) * S.RISK_FAILED_POINTS
+           + col(defaulted) * S.RISK_DEFAULT_POINTS + col(overdue) * S.RISK_OVERDUE_POINTS)
     return round2(F.least(F.lit(100.0), raw))
 
 
@@ -150,4 +161,4 @@ def credit_band(score: str | Column) -> Column:
 
 def pct(part: Column, whole: Column) -> Column:
     """round(part * 100.0 / whole, 2) as in the SQL questions."""
-    return round2(part.cast("double") * 100.0 / whole)
+    return round2(F.try_divide(part.cast("double") * 100.0, whole))

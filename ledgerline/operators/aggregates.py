@@ -4,7 +4,7 @@ The fact is scanned once per *grain*, not once per output: a day grain
 (date, branch, account type) feeds the daily and monthly tables, and a
 customer grain (branch, customer) feeds branch performance here and the
 customer totals of the risk mart. Both grains are far smaller than the fact,
-and every count and cents sum composes exactly when rolled up. All are hash
+and every count and exact sum composes exactly when rolled up. All are hash
 aggregates with a partial (map-side) phase, so a hot group is combined before
 the shuffle. The sorts are the reference's output order, on small results.
 """
@@ -19,24 +19,24 @@ from ledgerline.functions import exprs as X
 
 def _grain_aggs() -> list[Column]:
     return [F.count("transaction_id").alias("n"),
-            F.sum(X.cents("transaction_amount")).alias("cents"),
+            X.sum_exact("transaction_amount").alias("value"),
             F.count("transaction_amount").alias("n_amount"),
             F.sum("is_failed").alias("failed"),
             F.sum("is_high_value").alias("high")]
 
 
 def day_grain(enriched: DataFrame) -> DataFrame:
-    """(transaction_date, branch_id, account_type) -> counts and cents."""
+    """(transaction_date, branch_id, account_type) -> counts and exact sums."""
     return enriched.groupBy("transaction_date", "branch_id", "account_type").agg(*_grain_aggs())
 
 
 def customer_grain(enriched: DataFrame) -> DataFrame:
-    """(branch_id, customer_id) -> counts and cents."""
+    """(branch_id, customer_id) -> counts and exact sums."""
     return enriched.groupBy("branch_id", "customer_id").agg(*_grain_aggs())
 
 
-def _money(cents: str = "cents") -> Column:
-    return F.sum(cents).cast("double") / 100.0
+def _money(value: str = "value") -> Column:
+    return X.sum_money(value)
 
 
 def daily_from_grain(grain: DataFrame) -> DataFrame:

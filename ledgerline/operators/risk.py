@@ -3,7 +3,7 @@
 Transactions are aggregated to the **account** first (partial aggregation on
 the map side, no join needed because account_id is on the clean fact), then
 rolled up to the customer through the account->customer map. Only one row per
-account crosses the join, instead of one per transaction. Sums are exact cents,
+account crosses the join, instead of one per transaction. Sums are exact decimals,
 so the two-level roll-up equals a one-level sum. Loans are aggregated before
 their join too, so neither join can fan out (J5).
 
@@ -29,7 +29,7 @@ def transaction_totals_by_customer(clean_txns: DataFrame, accounts: DataFrame) -
     """A1: count, exact value, avg, failed and high-value counts per customer."""
     per_account = clean_txns.groupBy("account_id").agg(
         F.count("transaction_id").alias("n"),
-        F.sum(X.cents("transaction_amount")).alias("cents"),
+        X.sum_exact("transaction_amount").alias("value"),
         F.count("transaction_amount").alias("n_amount"),
         F.sum(X.flag(F.col("payment_status") == "Failed")).alias("failed"),
         F.sum(X.flag(F.col("transaction_amount") > S.HIGH_VALUE_AMOUNT)).alias("high"),
@@ -37,12 +37,12 @@ def transaction_totals_by_customer(clean_txns: DataFrame, accounts: DataFrame) -
     owners = accounts.select("account_id", "customer_id").where(F.col("customer_id").isNotNull())
     per_customer = per_account.join(owners, "account_id").groupBy("customer_id").agg(
         F.sum("n").alias("total_transactions"),
-        F.sum("cents").alias("cents"),
+        X.sum_exact("value").alias("value"),
         F.sum("n_amount").alias("n_amount"),
         F.sum("failed").alias("failed_transactions"),
         F.sum("high").alias("high_value_transactions"),
     )
-    value = F.col("cents").cast("double") / 100.0
+    value = F.col("value").cast("double")
     return per_customer.select(
         "customer_id", "total_transactions",
         value.alias("total_transaction_value"),
@@ -68,13 +68,13 @@ def build_customer_risk_metrics(clean_txns: DataFrame, accounts: DataFrame, loan
 
 def transaction_totals_from_grain(grain: DataFrame) -> DataFrame:
     """A1 from the (branch, customer) grain of the fact (``aggregates.customer_grain``):
-    counts and cents add up exactly across a customer's branches."""
+    counts and exact sums add up exactly across a customer's branches."""
     per_customer = (grain.where(F.col("customer_id").isNotNull()).groupBy("customer_id")
-                    .agg(F.sum("n").alias("total_transactions"), F.sum("cents").alias("cents"),
+                    .agg(F.sum("n").alias("total_transactions"), X.sum_exact("value").alias("value"),
                          F.sum("n_amount").alias("n_amount"),
                          F.sum("failed").alias("failed_transactions"),
                          F.sum("high").alias("high_value_transactions")))
-    value = F.col("cents").cast("double") / 100.0
+    value = F.col("value").cast("double")
     return per_customer.select(
         "customer_id", "total_transactions",
         value.alias("total_transaction_value"),

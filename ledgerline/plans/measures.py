@@ -54,9 +54,9 @@ def bi_measures(wh: Warehouse, year: int | None = None, branch_name: str | None
                 F.count_if(F.col("is_high_value") == 1).alias("b7"))
     tier = F.col("risk_tier")
     risk = wh.customer_risk_metrics.agg(
-        F.count_distinct(F.when(tier == "High", F.col("customer_id"))).alias("b8"),
-        F.count_distinct(F.when(tier == "Medium", F.col("customer_id"))).alias("b9"),
-        F.count_distinct(F.when(tier == "Low", F.col("customer_id"))).alias("b10"),
+        # the mart has one row per customer
+        F.count_if(tier == "High").alias("b8"), F.count_if(tier == "Medium").alias("b9"),
+        F.count_if(tier == "Low").alias("b10"),
         X.avg_money("risk_score").alias("b11"))
     defaulted = F.count_if(F.col("loan_status") == "Defaulted")
     loans = wh.fact_loan.agg(n.alias("b12"), defaulted.alias("b13"),
@@ -116,6 +116,35 @@ def txn_by_status(wh: Warehouse) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("txn_count")).orderBy("payment_status"))
 
 
+def fact_profile(wh: Warehouse) -> DataFrame:
+    """Bounds, distinct and NULL counts of the fact, one row."""
+    f = wh.fact_transaction
+    nulls = [F.count_if(F.col(c).isNull()).alias(f"null_{c}")
+             for c in ("account_id", "customer_id", "branch_id", "transaction_amount", "is_failed")]
+    ids = f.groupBy("transaction_id").agg(F.count(F.lit(1)).alias("n")).agg(
+        F.count("transaction_id").alias("distinct_ids"))
+    bounds = f.agg(F.count(F.lit(1)).alias("n_rows"), F.min("transaction_amount").alias("min_amount"),
+                   F.max("transaction_amount").alias("max_amount"),
+                   F.min("transaction_date").alias("first_date"),
+                   F.max("transaction_date").alias("last_date"), *nulls)
+    return bounds.join(F.broadcast(ids))          # one row each
+
+
+def calendar_daily_series(wh: Warehouse) -> DataFrame:
+    """Every calendar day from the first to the last transaction, with its calendar
+    columns, count and value (0 on days without any)."""
+    by_day = wh.fact_transaction.groupBy("transaction_date").agg(
+        F.count(F.lit(1)).alias("n"), X.sum_money("transaction_amount").alias("value"))
+    span = by_day.agg(F.min("transaction_date").alias("first"), F.max("transaction_date").alias("last"))
+    d = wh.dim_date
+    days = d.join(F.broadcast(span), d.date_key.between(F.col("first"), F.col("last")))   # one row
+    return (days.join(by_day, d.date_key == by_day.transaction_date, "left")
+            .select("date_key", "day", "month", "month_name", "quarter", "year", "year_month",
+                    "day_of_week", "is_weekend", F.coalesce("n", F.lit(0)).alias("txn_count"),
+                    F.coalesce("value", F.lit(0.0)).alias("total_value"))
+            .orderBy("date_key"))
+
+
 def txn_by_month_name(wh: Warehouse) -> DataFrame:
     """V3: transactions per calendar month name, in month order."""
     f, d = wh.fact_transaction, F.broadcast(wh.dim_date)
@@ -132,15 +161,19 @@ def txn_value_by_type(wh: Warehouse) -> DataFrame:
 
 def txn_value_by_branch(wh: Warehouse) -> DataFrame:
     """Value per branch name."""
-    return (wh.fact_transaction.join(wh.dim_branch, "branch_id").groupBy("branch_name")
-            .agg(X.sum_money("transaction_amount").alias("total_value"))
+    by_branch = wh.fact_transaction.groupBy("branch_id").agg(
+        X.sum_exact("transaction_amount").alias("value"))
+    return (by_branch.join(wh.dim_branch, "branch_id").groupBy("branch_name")
+            .agg(X.sum_money("value").alias("total_value"))
             .orderBy(F.col("total_value").desc()))
 
 
 def high_value_by_branch(wh: Warehouse) -> DataFrame:
     """V7: high-value transactions per branch name."""
-    return (wh.fact_transaction.join(wh.dim_branch, "branch_id").groupBy("branch_name")
-            .agg(F.count_if(F.col("is_high_value") == 1).alias("high_value_transactions"))
+    by_branch = wh.fact_transaction.groupBy("branch_id").agg(
+        F.count_if(F.col("is_high_value") == 1).alias("n"))
+    return (by_branch.join(wh.dim_branch, "branch_id").groupBy("branch_name")
+            .agg(F.sum("n").alias("high_value_transactions"))
             .orderBy(F.col("high_value_transactions").desc(), "branch_name"))
 
 

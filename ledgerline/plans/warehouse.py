@@ -125,7 +125,7 @@ def build_warehouse(spark: SparkSession, cz: CleanZone, data_quality_log: DataFr
 # ``plans.pipeline.run_pipeline`` into a fresh folder under
 # ``spark.checkpoint.dir`` (set only when the session left it unset), so every
 # registered query reads the tables the real run writes. Cached per
-# (session, dir).
+# (application, dir).
 # ---------------------------------------------------------------------------
 class TestData(NamedTuple):
     raw: RawTables
@@ -134,11 +134,11 @@ class TestData(NamedTuple):
     zone: dict[str, DataFrame]     # every written table (clean, rejected, staged)
 
 
-_CACHE: dict[tuple[int, str], TestData] = {}
+_CACHE: dict[tuple[str, str], TestData] = {}
 
 
 def from_testdata(spark: SparkSession, sf_dir: str) -> TestData:
-    key = (id(spark), sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir)      # a new session never meets an old one's frames
     if key not in _CACHE:
         from ledgerline.plans.pipeline import run_pipeline
         from ledgerline.session import ensure_checkpoint_dir

@@ -43,7 +43,7 @@ ACCOUNT_STATUS_BY_ORDER_STATUS = {"F": "Closed", "O": "Active", "P": "Dormant"}
 CHANNEL_BY_SUPPKEY_MOD5 = ["Mobile App", "Internet Banking", "Branch", "ATM", "POS"]
 EMI_STATUS_BY_MOD4 = ["Success", "Failed", "Pending", "Reversed"]
 
-TEST_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
+TEST_TABLES = ("region", "nation", "customer", "part", "orders", "lineitem")
 
 
 @dataclass(frozen=True)
@@ -93,6 +93,14 @@ def mixed_date_text(iso: Column, selector: Column) -> Column:
             .otherwise(F.concat_ws("/", y, m, d)))
 
 
+def _other_shape(df: DataFrame, date: str, key: str, every: int) -> DataFrame:
+    """Rows sent again with ISO dates written day first: equal once parsed."""
+    text = F.col(date)
+    iso = text.rlike(r"^\d{4}-\d{2}-\d{2}$")
+    turned = F.concat_ws("-", F.substring(text, 9, 2), F.substring(text, 6, 2), F.substring(text, 1, 4))
+    return df.where(iso & (F.col(key) % every < 4)).withColumn(date, turned)
+
+
 def bridge_customers(customer: DataFrame) -> DataFrame:
     key = F.col("c_custkey")
     base = customer.select(
@@ -119,7 +127,10 @@ def bridge_customers(customer: DataFrame) -> DataFrame:
     moved = (base.where(F.col("customer_id") % 211 == 5)
              .withColumn("city", F.lit(" relocated "))
              .withColumn("customer_income", F.col("customer_income") + 1000))
-    return base.unionByName(resent).unionByName(moved)
+    # the same customer spelled in other ways: equal once standardised
+    spelled = (base.where(F.col("customer_id") % 97 == 11)
+               .withColumn("email", F.upper(F.trim("email"))).withColumn("city", F.trim(F.upper("city"))))
+    return base.unionByName(resent).unionByName(moved).unionByName(spelled)
 
 
 def bridge_branches(nation: DataFrame, region: DataFrame) -> DataFrame:
@@ -132,7 +143,7 @@ def bridge_branches(nation: DataFrame, region: DataFrame) -> DataFrame:
 
 def bridge_accounts(orders: DataFrame, customer: DataFrame) -> DataFrame:
     key = F.col("o_orderkey")
-    return (orders.join(customer.select("c_custkey", "c_nationkey"),
+    base = (orders.join(customer.select("c_custkey", "c_nationkey"),
                         orders.o_custkey == customer.c_custkey, "left")
             .select(key.alias("account_id"),
                     F.col("o_custkey").alias("customer_id"),
@@ -144,6 +155,7 @@ def bridge_accounts(orders: DataFrame, customer: DataFrame) -> DataFrame:
                     .alias("account_opened_date"),
                     _mapped(F.col("o_orderstatus"), ACCOUNT_STATUS_BY_ORDER_STATUS)
                     .alias("account_status")))
+    return base.unionByName(_other_shape(base, "account_opened_date", "account_id", 131))
 
 
 def bridge_transactions(lineitem: DataFrame, part: DataFrame) -> DataFrame:
@@ -163,6 +175,9 @@ def bridge_transactions(lineitem: DataFrame, part: DataFrame) -> DataFrame:
                 .otherwise(mixed_date_text(iso, pk)).alias("transaction_date"),
                 F.when(pk % 97 == 0, -F.col("l_extendedprice"))
                 .when(pk % 89 == 0, F.lit(None).cast("double"))
+                .when(pk % 83 == 5, F.lit(float("nan")))
+                .when(pk % 83 == 6, F.lit(float("inf")))
+                .when(pk % 83 == 7, F.lit(1e300))
                 .otherwise(F.col("l_extendedprice")).alias("transaction_amount"),
                 F.when(sk == 13, F.lit(None).cast("string"))
                 .otherwise(_mapped(F.col("p_type"), TXN_TYPE_BY_PART_TYPE))
@@ -181,7 +196,7 @@ def bridge_loans(orders: DataFrame) -> DataFrame:
     status_bucket = key % 500
     status = (F.when(status_bucket < 275, "Active").when(status_bucket < 400, "Closed")
               .when(status_bucket < 440, "Defaulted").otherwise("Overdue"))
-    return (orders.where(key % 5 == 0)
+    base = (orders
             .select(key.alias("loan_id"),
                     F.col("o_custkey").alias("customer_id"),
                     _mapped(F.col("o_orderpriority"), LOAN_TYPE_BY_PRIORITY).alias("loan_type"),
@@ -194,6 +209,8 @@ def bridge_loans(orders: DataFrame) -> DataFrame:
                     status.alias("loan_status"),
                     F.when(status == "Closed", "Success")
                     .otherwise(_pick(key % 4, EMI_STATUS_BY_MOD4)).alias("emi_payment_status")))
+    # the same loan sent again with its start date in another shape
+    return base.unionByName(_other_shape(base, "loan_start_date", "loan_id", 173))
 
 
 def bridge_raw(spark: SparkSession, sf_dir: str) -> RawTables:

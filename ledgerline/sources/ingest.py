@@ -6,8 +6,10 @@ landed untouched, all columns as text, under ``ingest_date=YYYY-MM-DD`` (S6).
 One ``IngestionResult`` per source feeds the manifest (S7); every source is
 attempted and ``IngestReport.ok`` is false when any failed (S8).
 
-Each source costs two passes: one aggregate (row count + malformed count)
-before deciding, one write. The checks never collect data rows.
+The header is checked first. Then the file is parsed once: rows go to a run
+folder while an ``Observation`` counts them and the over-long ones, and the
+folder is moved into the landing zone when all is well. Whatever goes wrong
+with one source is that source's FAILED row; the others still land.
 """
 
 from __future__ import annotations
@@ -16,13 +18,15 @@ import datetime as dt
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict, dataclass, field
+from functools import reduce
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline import schemas as S
+from ledgerline.session import ensure_checkpoint_dir
+from ledgerline.sources.sinks import CSV_DIALECT
 
 EXTRA = "_extra"
 
@@ -67,18 +71,42 @@ class IngestReport:
         return spark.createDataFrame(rows, schema)
 
 
+def _read(spark: SparkSession, files: list[str], header: list[str]) -> DataFrame:
+    """Files that share a header: all columns as text, ``_extra`` for surplus fields.
+
+    Quoted fields may hold commas, doubled quotes and line breaks; for these a
+    file is read by one task, so large drops come in many part files."""
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in header]
+                          + [T.StructField(EXTRA, T.StringType())])
+    df = (spark.read.options(**CSV_DIALECT).option("multiLine", True).option("mode", "PERMISSIVE")
+          .schema(schema).csv(files))
+    return df.select(*[F.when(~F.col(f"`{c}`").isin(*S.MISSING_TEXTS), F.col(f"`{c}`")).alias(c)
+                       for c in header], EXTRA)
+
+
+def _header(spark: SparkSession, file: str) -> tuple[str, ...]:
+    return tuple(spark.read.options(**CSV_DIALECT).option("multiLine", True).csv(file).columns)
+
+
 def read_csv_text(spark: SparkSession, path: str) -> DataFrame:
     """Header row, every column as text, bound **by name**, plus ``_extra``.
 
-    The header is read first, then the file with an explicit all-string schema
-    of those names and one trailing ``_extra`` column that catches the first
-    surplus field of an over-long row. Short rows are padded with NULLs.
+    Part files of a folder may have their columns in different orders: each
+    file is read by its own header and the parts are united by name. Texts that
+    mean a missing value are NULL, short rows are padded with NULLs, and the
+    first surplus field of an over-long row is in ``_extra``.
     """
-    header = spark.read.option("header", True).csv(path).columns
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in header]
-                          + [T.StructField(EXTRA, T.StringType())])
-    return (spark.read.option("header", True).option("mode", "PERMISSIVE")
-            .schema(schema).csv(path))
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    files = sorted(r.path for r in listed.where("length > 0").select("path").collect())
+    if not files:
+        raise ValueError("no columns to parse from file")
+    with ThreadPoolExecutor(max_workers=8) as pool:
+        headers = list(pool.map(lambda f: _header(spark, f), files))
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for file, header in zip(files, headers):
+        groups.setdefault(header, []).append(file)
+    parts = [_read(spark, members, list(header)) for header, members in groups.items()]
+    return reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), parts)
 
 
 def missing_columns(columns: list[str], required: tuple[str, ...]) -> list[str]:
@@ -88,32 +116,57 @@ def missing_columns(columns: list[str], required: tuple[str, ...]) -> list[str]:
 
 def ingest_source(spark: SparkSession, name: str, path: str, landing_root: str,
                   ingest_date: str, required: tuple[str, ...]) -> IngestionResult:
+    result = IngestionResult(name, "FAILED", path)
     try:
-        df = read_csv_text(spark, path)
-    except AnalysisException as exc:
-        msg = (f"File not found: {path}" if "PATH_NOT_FOUND" in str(exc)
-               else f"Failed to parse CSV: {exc}")
-        return IngestionResult(name, "FAILED", path, error=msg)
+        _ingest(spark, result, landing_root.rstrip("/"), ingest_date, required)
+    except Exception as exc:  # noqa: BLE001  (any unreadable source is a FAILED row, not the run's end)
+        result.error = (f"File not found: {path}" if "PATH_NOT_FOUND" in str(exc)
+                        else f"Failed to parse CSV: {str(exc).splitlines()[0] if str(exc) else exc!r}")
+    return result
+
+
+def _ingest(spark: SparkSession, result: IngestionResult, landing_root: str, ingest_date: str,
+            required: tuple[str, ...]) -> None:
+    df = read_csv_text(spark, result.file_path)
     columns = [c for c in df.columns if c != EXTRA]
-    stats = df.agg(F.count(F.lit(1)).alias("n"),
-                   F.count_if(F.col(EXTRA).isNotNull()).alias("bad")).first()
-    n, bad = stats["n"], stats["bad"]
-    if bad:
-        return IngestionResult(name, "FAILED", path, n, len(columns), bad,
-                               error=f"Failed to parse CSV: {bad} rows have more fields "
-                                     f"than the header")
-    if n == 0:
-        return IngestionResult(name, "FAILED", path, 0, len(columns),
-                               error="File parsed but contains zero rows.")
-    missing = missing_columns(columns, required)
-    if missing:
-        return IngestionResult(name, "FAILED", path, n, len(columns), 0, missing,
-                               error=f"Missing required columns: {missing}")
-    out = f"{landing_root.rstrip('/')}/{name}"
-    (df.drop(EXTRA).withColumn("ingest_date", F.lit(ingest_date).cast("date"))
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("ingest_date").parquet(out))
-    return IngestionResult(name, "SUCCESS", path, n, len(columns), output_path=out)
+    result.column_count = len(columns)
+    result.missing_columns = missing_columns(columns, required)
+    if result.missing_columns:
+        result.error = f"Missing required columns: {result.missing_columns}"
+        return
+    seen = Observation(f"ingest_{result.source_name}")
+    run = f"{landing_root}/_runs/{uuid.uuid4().hex}"
+    (df.observe(seen, F.count(F.lit(1)).alias("n"), F.count_if(F.col(EXTRA).isNotNull()).alias("bad"))
+     .drop(EXTRA).write.parquet(run))
+    result.row_count, result.malformed_rows = seen.get["n"], seen.get["bad"]
+    if result.malformed_rows:
+        result.error = (f"Failed to parse CSV: {result.malformed_rows} rows have more fields than "
+                        f"the header")
+    elif not result.row_count:
+        result.error = "File parsed but contains zero rows."
+    if result.error:
+        _fs(spark, run)[0].delete(_fs(spark, run)[1], True)
+        return
+    result.output_path = f"{landing_root}/{result.source_name}"
+    _publish(spark, run, f"{result.output_path}/ingest_date={ingest_date}")
+    result.status = "SUCCESS"
+
+
+def _fs(spark: SparkSession, path: str):
+    """Hadoop's file system of a path, and the path as its object."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
+
+
+def _publish(spark: SparkSession, run: str, partition: str) -> None:
+    """Move a run folder to its partition, in place of what an earlier run left."""
+    fs, source = _fs(spark, run)
+    target = _fs(spark, partition)[1]
+    fs.mkdirs(target.getParent())
+    if fs.exists(target):
+        fs.delete(target, True)
+    if not fs.rename(source, target):
+        raise OSError(f"can't move {run} to {partition}")
 
 
 def ingest_all(spark: SparkSession, raw_dir: str, landing_root: str,
@@ -137,12 +190,13 @@ def write_manifest(spark: SparkSession, report: IngestReport, path: str) -> None
 
 def latest_ingest_date(spark: SparkSession, landing_root: str, source: str = "transactions"
                        ) -> str:
-    """Newest ``ingest_date`` partition (reads no data columns)."""
-    row = (spark.read.parquet(f"{landing_root.rstrip('/')}/{source}")
-           .agg(F.max("ingest_date").alias("d")).first())
-    if row is None or row["d"] is None:
+    """Newest ``ingest_date`` partition, by the folders' names alone."""
+    fs, where = _fs(spark, f"{landing_root.rstrip('/')}/{source}")
+    days = sorted(x.getPath().getName().partition("=")[2] for x in fs.listStatus(where)
+                  if x.getPath().getName().startswith("ingest_date=")) if fs.exists(where) else []
+    if not days:
         raise FileNotFoundError(f"no ingested partitions for source '{source}'")
-    return str(row["d"])
+    return days[-1]
 
 
 def read_landing(spark: SparkSession, landing_root: str, source: str, ingest_date: str
@@ -156,26 +210,46 @@ def read_landing(spark: SparkSession, landing_root: str, source: str, ingest_dat
 def write_raw_csv(df: DataFrame, raw_dir: str, name: str) -> str:
     """Drop a source as CSV (what an upstream system would deliver)."""
     path = f"{raw_dir.rstrip('/')}/{S.SOURCE_FILES[name]}"
-    df.write.mode("overwrite").option("header", True).csv(path)
+    df.write.mode("overwrite").options(**CSV_DIALECT).csv(path)
     return path
 
 
-def roundtrip_transactions(spark: SparkSession, raw) -> DataFrame:
-    """Raw transactions -> CSV drop -> ingestion -> landing read-back.
+def ingest_roundtrip(spark: SparkSession, raw) -> DataFrame:
+    """All five raw sources -> CSV drops -> ingestion -> landing read-back (S1-S10),
+    with drops that must fail beside them, under ``spark.checkpoint.dir``.
 
-    Scratch files go under ``spark.checkpoint.dir`` (the shared folder).
+    Returns per source how it went and what landed: status, rows, columns, the
+    number of non-NULL cells and the length of all texts in the first column.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        raise RuntimeError("spark.checkpoint.dir is not set")
-    run = f"{base.rstrip('/')}/ingest-roundtrip-{uuid.uuid4().hex}"
-    write_raw_csv(raw.transactions, f"{run}/raw", "transactions")
-    day = dt.date.today().isoformat()
-    report = ingest_all(spark, f"{run}/raw", f"{run}/landing", day,
-                        {"transactions": S.REQUIRED_COLUMNS["transactions"]})
-    if not report.ok:
-        raise IngestionError(str(report.results))
-    return read_landing(spark, f"{run}/landing", "transactions", day)
+    run = f"{ensure_checkpoint_dir(spark).rstrip('/')}/ingest-roundtrip-{uuid.uuid4().hex}"
+    day = "2026-01-01"
+    for name, df in raw.as_dict().items():
+        write_raw_csv(df, f"{run}/raw", name)
+    # a drop without a required column, one without rows, one that isn't there
+    write_raw_csv(raw.loans.drop("loan_amount"), f"{run}/bad", "loans")
+    write_raw_csv(raw.branches.limit(0).coalesce(1), f"{run}/bad", "branches")
+    bad = {n: S.REQUIRED_COLUMNS[n] for n in ("loans", "branches", "accounts")}
+    good = ingest_all(spark, f"{run}/raw", f"{run}/landing", day)
+    failed = ingest_all(spark, f"{run}/bad", f"{run}/landing-bad", day, bad)
+    rows = []
+    for kind, report in (("good", good), ("bad", failed)):
+        for r in report.results:
+            base = spark.createDataFrame(
+                [(kind, r.source_name, r.status, r.row_count, ",".join(r.missing_columns))],
+                "drop_kind string, source_name string, status string, row_count long, "
+                "missing_columns string")
+            if r.status == "SUCCESS":
+                landed = read_landing(spark, f"{run}/landing", r.source_name,
+                                      latest_ingest_date(spark, f"{run}/landing", r.source_name))
+                cells = landed.agg(
+                    F.count(F.lit(1)).alias("landed_rows"),
+                    sum((F.count(F.col(c)) for c in landed.columns), F.lit(0)).alias("cells"),
+                    F.sum(F.length(landed.columns[0])).alias("id_characters"))
+            else:
+                cells = spark.range(1).select(*[F.lit(0).cast("long").alias(c) for c in (
+                    "landed_rows", "cells", "id_characters")])
+            rows.append(base.join(F.broadcast(cells)))          # one row each
+    return reduce(DataFrame.unionByName, rows)
 
 
 def read_latest_landing(spark: SparkSession, landing_root: str, ingest_date: str | None = None):

@@ -6,9 +6,17 @@ so counting never costs a second pass over the data.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerline.session import ensure_checkpoint_dir
+
+# What makes a CSV file readable by any other tool: quotes are doubled, blanks kept.
+CSV_DIALECT = {"header": "true", "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "false",
+               "ignoreTrailingWhiteSpace": "false"}
+
 
 def write_table(df: DataFrame, root: str, name: str, partition_by: list[str] | None = None,
                 mode: str = "overwrite") -> int:
@@ -26,6 +34,16 @@ def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{root.rstrip('/')}/{name}")
 
 
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """Write under ``spark.checkpoint.dir`` and read back: lineage is cut, the
+    table is computed once, and a join on it is a plain join of two shuffles
+    that AQE can split."""
+    spark = df.sparkSession
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/staged-{uuid.uuid4().hex}"
+    df.write.parquet(f"{root}/{name}")
+    return read_table(spark, root, name)
+
+
 def append_dq_log(log_rows: DataFrame, root: str) -> int:
     """The log grows by one row per run (append, never rebuilt)."""
     return write_table(log_rows, root, "data_quality_log", mode="append")
@@ -48,6 +66,6 @@ def export_csv(tables: dict[str, DataFrame], out_dir: str) -> dict[str, int]:
     for name, df in tables.items():
         obs = Observation(f"csv_{name}")
         (df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
-         .option("header", True).csv(f"{out_dir.rstrip('/')}/{name}"))
+         .options(**CSV_DIALECT).csv(f"{out_dir.rstrip('/')}/{name}"))
         counts[name] = int(obs.get["rows"])
     return counts

@@ -4,7 +4,7 @@ The whole pipeline is rebuilt in SQL from the driver's test views: the bridge
 to the five raw banking sources, the cleaners, the enriched fact, the risk
 mart, the DQ profile, and then each question. Every query is ``WITH <chain>
 SELECT ...``. Rounding and money follow the same rules as the Spark side:
-``round2`` rounds the decimal value; money is summed in integer cents.
+``round2`` rounds the decimal value; money is summed in exact decimals.
 """
 
 from __future__ import annotations
@@ -24,12 +24,14 @@ def r0(x: str) -> str:
     return f"CAST(round(CAST({x} AS DECIMAL(18,6)), 0) AS DOUBLE)"
 
 
-def cents(x: str) -> str:
-    return f"CAST(round({x} * 100) AS BIGINT)"
+def money(x: str) -> str:
+    return f"CAST(sum(CAST({x} AS DECIMAL(28,6))) AS DOUBLE)"
 
 
-def money(x: str) -> str:
-    return f"(CAST(sum({cents(x)}) AS DOUBLE) / 100.0)"
+def number(x: str) -> str:
+    """Only finite numbers below 1e22 count."""
+    v = f"TRY_CAST({x} AS DOUBLE)"
+    return f"CASE WHEN isfinite({v}) AND abs({v}) < 1e22 THEN {v} END"
 
 
 def avg_money(x: str) -> str:
@@ -37,7 +39,7 @@ def avg_money(x: str) -> str:
 
 
 def pct(part: str, whole: str) -> str:
-    return r2(f"CAST({part} AS DOUBLE) * 100.0 / {whole}")
+    return r2(f"CAST({part} AS DOUBLE) * 100.0 / NULLIF({whole}, 0)")
 
 
 def parse(x: str) -> str:
@@ -58,6 +60,13 @@ def mixed(iso_text: str, sel: str) -> str:
             f"ELSE {y} || '/' || {m} || '/' || {d} END")
 
 
+def other_shape(source: str, date: str, key: str, every: int) -> str:
+    """Rows sent again with an ISO date written day first."""
+    return (f"SELECT * REPLACE (substr({date}, 9, 2) || '-' || substr({date}, 6, 2) || '-' || "
+            f"substr({date}, 1, 4) AS {date}) FROM {source} "
+            f"WHERE regexp_matches({date}, '^\\d{{4}}-\\d{{2}}-\\d{{2}}$') AND {key} % {every} < 4")
+
+
 def rank_one(source: str, key: str, order: str) -> str:
     return (f"SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER "
             f"(PARTITION BY {key} ORDER BY {order}) AS rn FROM {source}) WHERE rn = 1")
@@ -96,6 +105,8 @@ raw_customers_base AS (
   FROM customer),
 raw_customers AS (
   SELECT * FROM raw_customers_base
+  UNION ALL SELECT * REPLACE (upper(trim(email)) AS email, trim(upper(city)) AS city)
+            FROM raw_customers_base WHERE customer_id % 97 = 11
   UNION ALL SELECT * FROM raw_customers_base WHERE customer_id % 199 = 0
   UNION ALL SELECT * REPLACE (' relocated ' AS city, customer_income + 1000 AS customer_income)
             FROM raw_customers_base WHERE customer_id % 211 = 5),
@@ -103,7 +114,7 @@ raw_branches AS (
   SELECT CAST(n_nationkey AS BIGINT) AS branch_id, n_name AS branch_name, r_name AS city,
          r_name AS country
   FROM nation LEFT JOIN region ON n_regionkey = r_regionkey),
-raw_accounts AS (
+raw_accounts_base AS (
   SELECT o_orderkey AS account_id, o_custkey AS customer_id,
          CASE WHEN o_orderkey % 307 = 5 THEN NULL ELSE {PRIORITY_ACCOUNT} END AS account_type,
          CAST(c_nationkey AS BIGINT) AS branch_id,
@@ -111,6 +122,9 @@ raw_accounts AS (
          CASE o_orderstatus WHEN 'F' THEN 'Closed' WHEN 'O' THEN 'Active'
               WHEN 'P' THEN 'Dormant' END AS account_status
   FROM orders LEFT JOIN customer ON o_custkey = c_custkey),
+raw_accounts AS (
+  SELECT * FROM raw_accounts_base
+  UNION ALL {other_shape("raw_accounts_base", "account_opened_date", "account_id", 131)}),
 raw_txn_base AS (
   SELECT l_orderkey * 10 + l_linenumber AS transaction_id,
          CASE WHEN l_partkey % 211 = 0 THEN NULL WHEN l_partkey % 223 = 1 THEN -l_orderkey - 1
@@ -119,7 +133,8 @@ raw_txn_base AS (
               WHEN l_partkey % 50 = 3 THEN ''
               ELSE {mixed(iso("l_shipdate"), "l_partkey")} END AS transaction_date,
          CASE WHEN l_partkey % 97 = 0 THEN -l_extendedprice WHEN l_partkey % 89 = 0 THEN NULL
-              ELSE l_extendedprice END AS transaction_amount,
+              WHEN l_partkey % 83 = 5 THEN 'NaN'::DOUBLE WHEN l_partkey % 83 = 6 THEN 'Infinity'::DOUBLE
+              WHEN l_partkey % 83 = 7 THEN 1e300 ELSE l_extendedprice END AS transaction_amount,
          CASE WHEN l_suppkey = 13 THEN NULL ELSE {PART_TYPE} END AS transaction_type,
          CASE l_returnflag || l_linestatus WHEN 'RF' THEN 'Failed' WHEN 'NF' THEN 'Pending'
               WHEN 'AF' THEN 'Reversed' ELSE 'Success' END AS payment_status,
@@ -130,7 +145,7 @@ raw_txn_base AS (
 raw_transactions AS (
   SELECT * EXCLUDE (_order) FROM raw_txn_base
   UNION ALL SELECT * EXCLUDE (_order) FROM raw_txn_base WHERE _order % 151 = 0),
-raw_loans AS (
+raw_loans_base AS (
   SELECT o_orderkey AS loan_id, o_custkey AS customer_id, {PRIORITY_LOAN} AS loan_type,
          CASE WHEN o_orderkey % 997 = 0 THEN NULL ELSE o_totalprice END AS loan_amount,
          CAST(6.5 AS DOUBLE) + CAST(o_orderkey % 1001 AS DOUBLE) / CAST(100.0 AS DOUBLE) AS interest_rate,
@@ -140,14 +155,17 @@ raw_loans AS (
          CASE WHEN {LOAN_STATUS} = 'Closed' THEN 'Success'
               ELSE CASE o_orderkey % 4 WHEN 0 THEN 'Success' WHEN 1 THEN 'Failed'
                    WHEN 2 THEN 'Pending' WHEN 3 THEN 'Reversed' END END AS emi_payment_status
-  FROM orders WHERE o_orderkey % 5 = 0),
+  FROM orders),
+raw_loans AS (
+  SELECT * FROM raw_loans_base
+  UNION ALL {other_shape("raw_loans_base", "loan_start_date", "loan_id", 173)}),
 -- customers
 cust_std AS (
   SELECT customer_id, first_name, last_name, TRY_CAST(dob AS DATE) AS dob, gender,
          lower(trim(email)) AS email, phone,
          upper(substr(trim(city), 1, 1)) || lower(substr(trim(city), 2)) AS city, country,
-         TRY_CAST(customer_income AS DOUBLE) AS customer_income,
-         TRY_CAST(trunc(TRY_CAST(credit_score AS DOUBLE)) AS INTEGER) AS credit_score,
+         {number("customer_income")} AS customer_income,
+         TRY_CAST(trunc({number("credit_score")}) AS INTEGER) AS credit_score,
          {parse("customer_since")} AS customer_since
   FROM (SELECT DISTINCT * FROM raw_customers)),
 inc_sorted AS (
@@ -188,7 +206,7 @@ clean_accounts AS (
 -- transactions
 txn_std AS (
   SELECT DISTINCT transaction_id, account_id, {parse("transaction_date")} AS transaction_date,
-         TRY_CAST(transaction_amount AS DOUBLE) AS transaction_amount,
+         {number("transaction_amount")} AS transaction_amount,
          trim(transaction_type) AS transaction_type, payment_status, trim(channel) AS channel
   FROM raw_transactions),
 txn_tagged AS (
@@ -220,9 +238,9 @@ rejected_txns AS (
   UNION ALL SELECT * FROM orphan_txns),
 -- loans
 loan_std AS (
-  SELECT loan_id, customer_id, loan_type, TRY_CAST(loan_amount AS DOUBLE) AS loan_amount,
-         TRY_CAST(interest_rate AS DOUBLE) AS interest_rate,
-         TRY_CAST(trunc(TRY_CAST(tenure_months AS DOUBLE)) AS INTEGER) AS tenure_months,
+  SELECT loan_id, customer_id, loan_type, {number("loan_amount")} AS loan_amount,
+         {number("interest_rate")} AS interest_rate,
+         TRY_CAST(trunc({number("tenure_months")}) AS INTEGER) AS tenure_months,
          {parse("loan_start_date")} AS loan_start_date, loan_status, emi_payment_status
   FROM (SELECT DISTINCT * FROM raw_loans)),
 clean_loans AS (
@@ -258,7 +276,7 @@ fact_transaction AS (
 -- risk mart
 txn_by_customer AS (
   SELECT a.customer_id, count(t.transaction_id) AS total_transactions,
-         sum({cents("t.transaction_amount")}) AS cents, count(t.transaction_amount) AS n_amount,
+         {money("t.transaction_amount")} AS value, count(t.transaction_amount) AS n_amount,
          CAST(sum(CAST(t.payment_status = 'Failed' AS INTEGER)) AS BIGINT) AS failed_transactions,
          CAST(sum(CAST(t.transaction_amount > 100000 AS INTEGER)) AS BIGINT)
            AS high_value_transactions
@@ -272,8 +290,8 @@ loans_by_customer AS (
 risk_base AS (
   SELECT c.customer_id, c.customer_income, c.credit_score,
          COALESCE(t.total_transactions, 0) AS total_transactions,
-         COALESCE(CAST(t.cents AS DOUBLE) / 100.0, 0.0) AS total_transaction_value,
-         COALESCE((CAST(t.cents AS DOUBLE) / 100.0) / t.n_amount, 0.0) AS avg_transaction_value,
+         COALESCE(t.value, 0.0) AS total_transaction_value,
+         COALESCE(t.value / t.n_amount, 0.0) AS avg_transaction_value,
          COALESCE(t.failed_transactions, 0) AS failed_transactions,
          COALESCE(t.high_value_transactions, 0) AS high_value_transactions,
          COALESCE(l.total_loans, 0) AS total_loans,
@@ -358,12 +376,12 @@ dq_txn AS (
          count_if(account_id IS NULL) AS missing_account_id,
          count_if(transaction_amount IS NULL) AS missing_amount,
          count_if(transaction_type IS NULL) AS missing_type,
-         count_if(NOT COALESCE(TRY_CAST(transaction_amount AS DOUBLE) > 0, false)) AS invalid_amount,
+         count_if(NOT COALESCE(({number("transaction_amount")}) > 0, false)) AS invalid_amount,
          count_if({parse("transaction_date")} IS NULL) AS invalid_date,
          count_if(NOT COALESCE(transaction_type IN {TXN_TYPES}, false)) AS invalid_txn_type,
          count_if(NOT in_master) AS orphan_txn_account,
          count(DISTINCT CASE WHEN transaction_id IS NOT NULL AND account_id IS NOT NULL
-                  AND COALESCE(TRY_CAST(transaction_amount AS DOUBLE) > 0, false)
+                  AND COALESCE(({number("transaction_amount")}) > 0, false)
                   AND {parse("transaction_date")} IS NOT NULL
                   AND COALESCE(transaction_type IN {TXN_TYPES}, false) AND in_master
                   THEN transaction_id END) AS valid_ids
@@ -390,6 +408,21 @@ dq_scorecard AS (
               ELSE 0.0 END AS data_quality_score_pct,
          CAST(90.0 AS DOUBLE) AS quality_gate_threshold_pct
   FROM dq_txn),
+monthly_flagged AS (
+  SELECT strftime({parse("transaction_date")}, '%Y-%m') AS month, transaction_id,
+         transaction_id IS NOT NULL AND account_id IS NOT NULL
+           AND COALESCE(({number("transaction_amount")}) > 0, false)
+           AND COALESCE(transaction_type IN {TXN_TYPES}, false) AND in_master AS valid
+  FROM txn_flagged WHERE {parse("transaction_date")} IS NOT NULL),
+monthly_counts AS (
+  SELECT month, count(*) AS total, count(DISTINCT CASE WHEN valid THEN transaction_id END) AS good
+  FROM monthly_flagged GROUP BY month),
+monthly_log AS (
+  SELECT month || '-01T00:00:00' AS run_at, CAST(total AS BIGINT) AS total_records,
+         CAST(good AS BIGINT) AS valid_records, CAST(total - good AS BIGINT) AS rejected_records,
+         {r2("CAST(good AS DOUBLE) / total * 100")} AS data_quality_score_pct,
+         CAST({r2("CAST(good AS DOUBLE) / total * 100")} >= 90.0 AS INTEGER) AS passed_quality_gate
+  FROM monthly_counts),
 data_quality_log AS (
   SELECT CAST(1 AS BIGINT) AS run_id, '{RUN_AT}' AS run_at, total_records, valid_records,
          rejected_records, data_quality_score_pct,
@@ -399,7 +432,8 @@ data_quality_log AS (
 
 
 def _bigint_count_if(sql: str) -> str:
-    """DuckDB's count_if is HUGEINT; cast each call to BIGINT like Spark's count_if."""
+    """DuckDB's count_if is HUGEINT, and NULL over no rows; make each call a BIGINT
+    that is 0 there, like Spark's count_if."""
     out, i = [], 0
     while True:
         j = sql.find("count_if(", i)
@@ -411,7 +445,7 @@ def _bigint_count_if(sql: str) -> str:
             k += 1
             if depth == 0:
                 break
-        out.append(sql[i:j] + "CAST(" + sql[j:k] + " AS BIGINT)")
+        out.append(sql[i:j] + "CAST(COALESCE(" + sql[j:k] + ", 0) AS BIGINT)")
         i = k
 
 
@@ -531,6 +565,41 @@ BI_MEASURES = " UNION ALL ".join([
     _measure("Total Loan Book", f"(SELECT {money('loan_amount')} FROM clean_loans)"),
 ])
 
+BI_MEASURES_SLICED = BI_MEASURES.replace("FROM fact_transaction)", (
+    "FROM fact_transaction JOIN clean_branches USING (branch_id) WHERE txn_year = 2022 "
+    "AND branch_name = 'FRANCE' AND channel = 'ATM')"))
+
+SOURCE_COLUMNS = {
+    "customers": "customer_id, first_name, last_name, dob, gender, email, phone, city, country, "
+                 "customer_income, credit_score, customer_since",
+    "branches": "branch_id, branch_name, city, country",
+    "accounts": "account_id, customer_id, account_type, branch_id, account_opened_date, account_status",
+    "transactions": "transaction_id, account_id, transaction_date, transaction_amount, transaction_type, "
+                    "payment_status, channel",
+    "loans": "loan_id, customer_id, loan_type, loan_amount, interest_rate, tenure_months, "
+             "loan_start_date, loan_status, emi_payment_status",
+}
+
+
+def _landed(source: str) -> str:
+    """What a good drop leaves: empty texts and NaN are missing values."""
+    cells = " + ".join(f"count(CASE WHEN CAST({c} AS VARCHAR) NOT IN ('', 'nan') THEN 1 END)"
+                       for c in SOURCE_COLUMNS[source].split(", "))
+    first = SOURCE_COLUMNS[source].split(", ")[0]
+    return (f"SELECT 'good' AS drop_kind, '{source}' AS source_name, 'SUCCESS' AS status, "
+            f"count(*) AS row_count, '' AS missing_columns, count(*) AS landed_rows, "
+            f"CAST({cells} AS BIGINT) AS cells, "
+            f"CAST(sum(length(CAST({first} AS VARCHAR))) AS BIGINT) AS id_characters FROM raw_{source}")
+
+
+def _refused(source: str, missing: str) -> str:
+    return (f"SELECT 'bad', '{source}', 'FAILED', CAST(0 AS BIGINT), '{missing}', CAST(0 AS BIGINT), "
+            f"CAST(0 AS BIGINT), CAST(0 AS BIGINT)")
+
+
+INGEST_ROUNDTRIP = " UNION ALL ".join([*map(_landed, SOURCE_COLUMNS), _refused("loans", "loan_amount"),
+                                       _refused("branches", ""), _refused("accounts", "")])
+
 MONTHLY_VALUE = (f"SELECT d.year_month, {money('f.transaction_amount')} AS total_value "
                  f"FROM fact_transaction f JOIN dim_date d ON f.transaction_date = d.date_key "
                  f"GROUP BY d.year_month")
@@ -555,7 +624,8 @@ DATE_COLUMNS = {
     "enriched_transactions": ["transaction_date", "customer_since"],
     "fact_transaction": ["transaction_date"],
     "daily_aggregation": ["transaction_date"],
-    "dim_date": ["date_key"],
+    "calendar_daily_series": ["date_key"],
+    "fact_profile": ["first_date", "last_date"],
 }
 
 
@@ -671,7 +741,7 @@ def _queries() -> dict[str, str]:
             f"GROUP BY crm.risk_tier ORDER BY default_rate_pct DESC"),
         "dq_log_trend": _q(
             "SELECT run_at, total_records, valid_records, rejected_records, "
-            "data_quality_score_pct, passed_quality_gate FROM data_quality_log "
+            "data_quality_score_pct, passed_quality_gate FROM monthly_log "
             "ORDER BY run_at DESC LIMIT 10"),
         "credit_band_distribution": _q(
             "SELECT CASE WHEN credit_score < 500 THEN '< 500' WHEN credit_score < 600 THEN '500-599' "
@@ -717,7 +787,6 @@ def _queries() -> dict[str, str]:
             f"CAST(sum(is_failed) AS BIGINT) AS failed_transactions, "
             f"count(DISTINCT customer_id) AS active_customers FROM enriched GROUP BY branch_id) p "
             f"LEFT JOIN clean_branches b ON p.branch_id = b.branch_id ORDER BY total_value DESC"),
-        "dim_date": _q("SELECT * FROM dim_date"),
         "dq_checks": _q(DQ_CHECKS),
         "dq_scorecard": _q(
             "SELECT *, data_quality_score_pct >= quality_gate_threshold_pct AS passed_quality_gate "
@@ -728,7 +797,22 @@ def _queries() -> dict[str, str]:
         "data_quality_kpi": _q(
             f"SELECT {kpi_text.format('max(data_quality_score_pct)')} AS data_quality_score_max, "
             f"{kpi_text.format('arg_max(data_quality_score_pct, run_at)')} "
-            f"AS data_quality_score_latest FROM data_quality_log"),
+            f"AS data_quality_score_latest FROM monthly_log"),
+        "bi_measures_sliced": _q(BI_MEASURES_SLICED),
+        "fact_profile": _q(
+            "SELECT count(*) AS n_rows, min(transaction_amount) AS min_amount, "
+            "max(transaction_amount) AS max_amount, min(transaction_date) AS first_date, "
+            "max(transaction_date) AS last_date, "
+            + ", ".join(f"count_if({c} IS NULL) AS null_{c}" for c in
+                        ("account_id", "customer_id", "branch_id", "transaction_amount", "is_failed"))
+            + ", count(DISTINCT transaction_id) AS distinct_ids FROM fact_transaction"),
+        "calendar_daily_series": _q(
+            f"SELECT d.*, COALESCE(x.n, 0) AS txn_count, COALESCE(x.v, 0.0) AS total_value FROM dim_date d "
+            f"LEFT JOIN (SELECT transaction_date, count(*) AS n, {money('transaction_amount')} AS v "
+            f"FROM fact_transaction GROUP BY transaction_date) x ON d.date_key = x.transaction_date "
+            f"WHERE d.date_key BETWEEN (SELECT min(transaction_date) FROM fact_transaction) "
+            f"AND (SELECT max(transaction_date) FROM fact_transaction) ORDER BY d.date_key"),
+        "ingest_roundtrip": _q(INGEST_ROUNDTRIP),
         "txn_value_mom": _q(
             f"SELECT m.year_month, m.total_value, p.total_value AS prior_value, "
             f"{r2('CASE WHEN p.total_value IS NULL OR p.total_value = 0 THEN 0.0 ELSE (m.total_value - p.total_value) / p.total_value * 100 END')}"

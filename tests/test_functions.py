@@ -98,3 +98,22 @@ def test_high_value_is_strict(spark):
     assert [r.is_failed for r in rows] == [1, None]               # NULL stays NULL
     assert [r.income_bracket for r in rows] == ["High", "Medium"]
     assert rows[0].txn_year_month == "2024-01"
+
+
+def test_only_usable_numbers_pass(spark):
+    rows = [("1.5",), ("NaN",), ("Infinity",), ("-Infinity",), ("1e999",), ("1e22",), ("-1e21",), ("x",), (None,)]
+    got = [r.x for r in spark.createDataFrame(rows, "t string").select(X.to_double("t").alias("x")).collect()]
+    assert got == [1.5, None, None, None, None, None, -1e21, None, None]
+
+
+def test_sums_neither_round_their_input_nor_overflow(spark):
+    df = spark.createDataFrame([(7.125,), (7.125,)], "a double")
+    assert df.agg(X.avg_money("a").alias("m")).first()["m"] == 7.125
+    assert df.agg(X.round2(X.avg_money("a")).alias("m")).first()["m"] == 7.13
+    big = spark.range(1000).select(F.lit(9e15).alias("a"))          # in cents this is beyond a LONG
+    assert big.agg(X.sum_money("a").alias("s")).first()["s"] == 9e18
+    assert spark.range(1).select(X.round2(F.lit(1e13) / 3).alias("r")).first()["r"] == 3333333333333.33
+
+
+def test_rate_of_nothing_is_null(spark):
+    assert spark.range(0).agg(X.pct(F.count_if(F.col("id") > 0), F.count("id")).alias("p")).first()["p"] is None

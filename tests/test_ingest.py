@@ -53,3 +53,52 @@ def test_failures_are_recorded_and_others_continue(spark, scratch):
     assert manifest.count() == 5
     I.write_manifest(spark, rep, f"{scratch}/manifest")
     assert spark.read.json(f"{scratch}/manifest").count() == 5
+
+
+BRANCH = "branch_id,branch_name,city,country"
+
+
+def land(spark, scratch, name="branches"):
+    rep = I.ingest_all(spark, f"{scratch}/raw", f"{scratch}/landing", "2026-01-02",
+                       {name: I.S.REQUIRED_COLUMNS[name]})
+    return rep.results[0], (I.read_landing(spark, f"{scratch}/landing", name, "2026-01-02").collect()
+                            if rep.ok else None)
+
+
+def test_quotes_line_breaks_and_missing_texts(spark, scratch):
+    write(f"{scratch}/raw/branches.csv",
+          f'{BRANCH}\n1,"two\nlines","He said ""hi"", ok",NA\n2, kept blank ,"",null\n3,N/A,NaN,x\n')
+    result, rows = land(spark, scratch)
+    assert (result.status, result.row_count, result.malformed_rows) == ("SUCCESS", 3, 0)
+    assert [tuple(r) for r in sorted(rows)] == [
+        ("1", "two\nlines", 'He said "hi", ok', None), ("2", " kept blank ", None, None),
+        ("3", None, None, "x")]
+
+
+def test_part_files_with_their_own_column_order(spark, scratch):
+    write(f"{scratch}/raw/branches.csv/part-0.csv", f"{BRANCH}\n1,a,b,c\n")
+    write(f"{scratch}/raw/branches.csv/part-1.csv", "country,city,branch_name,branch_id\nc2,b2,a2,2\n")
+    result, rows = land(spark, scratch)
+    assert result.row_count == 2
+    assert {(r.branch_id, r.branch_name, r.city, r.country) for r in rows} == {
+        ("1", "a", "b", "c"), ("2", "a2", "b2", "c2")}
+
+
+def test_unreadable_source_fails_alone_and_a_rerun_replaces(spark, scratch):
+    os.makedirs(f"{scratch}/raw", exist_ok=True)
+    write(f"{scratch}/raw/branches.csv", f"{BRANCH}\n1,a,b,c\n")
+    os.makedirs(f"{scratch}/raw/accounts.csv")
+    with open(f"{scratch}/raw/accounts.csv/part-0.csv.gz", "wb") as f:
+        f.write(b"\x1f\x8b not a gzip file")
+    sources = {n: I.S.REQUIRED_COLUMNS[n] for n in ("branches", "accounts")}
+    for _ in range(2):
+        rep = I.ingest_all(spark, f"{scratch}/raw", f"{scratch}/landing", "2026-01-02", sources)
+        assert {r.source_name: r.status for r in rep.results} == {"branches": "SUCCESS", "accounts": "FAILED"}
+        assert I.read_landing(spark, f"{scratch}/landing", "branches", "2026-01-02").count() == 1
+
+
+def test_header_is_checked_before_the_rows(spark, scratch):
+    write(f"{scratch}/raw/branches.csv", "branch_id,city\n1,x,surplus\n")
+    result, _ = land(spark, scratch)
+    assert result.missing_columns == ["branch_name", "country"] and result.row_count == 0
+    assert not os.path.exists(f"{scratch}/landing/branches")

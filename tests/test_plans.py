@@ -30,7 +30,7 @@ def test_no_python_in_any_query(spark, lazy):
     for fn in fns:
         p = plan(fn(wh))
         assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p, fn.__name__
-    for name, fn in E.queries().items():
+    for name, fn in E._queries().items():
         if name != "ingest_roundtrip":
             assert "EvalPython" not in plan(fn(spark, SMOKE)), name
 
@@ -57,3 +57,40 @@ def test_calendar_is_broadcast(lazy):
     df = Q.monthly_trend(wh)
     df.collect()
     assert "BroadcastHashJoin" in plan(df)
+
+
+def test_constraints_scan_the_fact_twice(spark, scratch):
+    import os
+
+    from ledgerline.operators.constraints import check_constraints
+    from ledgerline.plans.warehouse import from_testdata
+    tables = {}
+    for name, df in from_testdata(spark, SMOKE).wh.tables().items():
+        df.write.parquet(f"{scratch}/{name}")
+        tables[name] = spark.read.parquet(f"{scratch}/{name}")
+    p = plan(check_constraints(tables))
+    scans = [line for line in p.splitlines() if "FileScan" in line and f"{os.path.basename(scratch)}/fact_transaction" in line]
+    assert 1 <= len(scans) <= 2
+
+
+def test_the_fact_is_aggregated_before_it_meets_the_branches(spark, scratch):
+    from ledgerline.plans import measures as M
+    from ledgerline.plans.warehouse import Warehouse
+    spark.createDataFrame([(1, 1, 1, 2.0, 0, 1)], "transaction_id long, branch_id long, customer_id long, "
+                          "transaction_amount double, is_failed int, is_high_value int"
+                          ).write.parquet(f"{scratch}/fact")
+    spark.createDataFrame([(1, "N", "C")], "branch_id long, branch_name string, city string"
+                          ).write.parquet(f"{scratch}/branch")
+    wh = Warehouse(None, spark.read.parquet(f"{scratch}/branch"), None, None,
+                   spark.read.parquet(f"{scratch}/fact"), None, None, None)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for fn in (Q.branch_performance_sql, M.txn_value_by_branch, M.high_value_by_branch):
+            lines = plan(fn(wh)).splitlines()
+            at = next(i for i, x in enumerate(lines) if "FileScan" in x and "/fact" in x)
+            above = [x for x in lines[:at] if "Exchange" in x or "partial_" in x or "Scan" in x]
+            # the nearest of these above the fact's scan is a partial aggregate
+            assert "partial_" in above[-1], fn.__name__
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)

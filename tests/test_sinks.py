@@ -25,6 +25,10 @@ def test_extracts_and_reports(spark, scratch):
     assert sinks.export_csv({"x": df}, f"{scratch}/extracts") == {"x": 2}
     back = spark.read.option("header", True).csv(f"{scratch}/extracts/x")
     assert sorted(r.v for r in back.collect()) == ["a", "b"]
+    odd = spark.createDataFrame([(1, 'a "q" b, c'), (2, "  blanks  ")], "id int, v string")
+    sinks.export_csv({"odd": odd}, f"{scratch}/extracts")
+    lines = spark.read.text(f"{scratch}/extracts/odd").where("value not like 'id%'").collect()
+    assert sorted(r.value for r in lines) == ['1,"a ""q"" b, c"', "2,  blanks  "]
     sinks.write_json(df, f"{scratch}/json")
     assert spark.read.json(f"{scratch}/json").count() == 2
     sinks.write_text(spark, "line one\nline two", f"{scratch}/txt")
