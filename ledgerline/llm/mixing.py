@@ -166,7 +166,8 @@ def mix(docs: DataFrame, weights: list[dict[str, int]] | None = None, budget: in
     plan = stage(select_leaves(rows, leaf_budgets(leaves, weights, budget, share, epochs), seed),
                  "mix-plan")
     own = [F.col(f"d.{c}") for c in full.columns if c != "copies"]
-    extra = F.coalesce((order_key(F.col("whole"), "d.doc_id", seed) <= F.col("cut")).cast("long"), F.lit(0))
+    extra = F.coalesce((order_key(F.col("p.whole"), "d.doc_id", seed) <= F.col("p.cut")).cast("long"),
+                       F.lit(0))
     same = reduce(lambda x, y: x & y, [F.col(f"d.{c}").eqNullSafe(F.col(f"p.{c}")) for c in LEVELS])
     return (full.alias("d").join(plan.alias("p"), same)
-            .select(*own, (F.col("whole") + extra).alias("copies")).where("copies > 0"))
+            .select(*own, (F.col("p.whole") + extra).alias("copies")).where("copies > 0"))

@@ -137,17 +137,21 @@ def minimise(gradient, features: np.ndarray, bias: float, rounds: int, rate: flo
     """Full-batch Adam over features brought to unit total spread by one common
     factor: what differs most between texts weighs most. ``gradient(logits)``
     gives dRisk/dlogit of each row; ``decay`` is the L2 weight."""
-    scale = 1 / max(1e-9, float(np.sqrt(features.var(axis=0, dtype=np.float64).sum())))
-    centre = features.mean(axis=0) * scale
-    features = features * scale - centre
+    mean = features.mean(axis=0, dtype=np.float64)
+    power = float(np.einsum("ij,ij->", features, features, dtype=np.float64)) / max(1, len(features))
+    scale = 1 / max(1e-9, float(np.sqrt(max(0.0, power - float(mean @ mean)))))
+    centre = mean * scale
+    # features * scale - centre is never made: the sample is held once
     w = np.zeros(features.shape[1] + 1, dtype=np.float64)
     w[-1] = bias
     m, v = np.zeros_like(w), np.zeros_like(w)
     for k in range(1, rounds + 1):
-        pull = gradient(features @ w[:-1].astype(np.float32) + w[-1])
-        g = np.append(pull.astype(np.float32) @ features + decay * w[:-1], pull.sum())
+        pull = gradient(features @ (w[:-1] * scale).astype(np.float32) + (w[-1] - centre @ w[:-1]))
+        g = np.append((pull.astype(np.float32) @ features) * scale - centre * pull.sum()
+                      + decay * w[:-1], pull.sum())
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
-        w -= rate * (m / (1 - 0.9 ** k)) / (np.sqrt(v / (1 - 0.999 ** k)) + 1e-8)
+        step = rate * (1 - (k - 1) / rounds)        # ever smaller, so that the end is settled
+        w -= step * (m / (1 - 0.9 ** k)) / (np.sqrt(v / (1 - 0.999 ** k)) + 1e-8)
     return LinearModel(w[:-1] * scale, float(w[-1] - w[:-1] @ centre))
 
 

@@ -22,8 +22,8 @@ from pyspark.sql import types as T
 from ledgerline.llm import ngrams as NG
 from ledgerline.llm.samples import collect_features, first_by_hash
 
-POSITIVE_ROWS = 3_000      # trusted positives that the risk is taken over, at most
-UNLABELLED_ROWS = 5_000    # unlabelled texts, at most
+POSITIVE_ROWS = 2_000      # trusted positives that the risk is taken over, at most
+UNLABELLED_ROWS = 4_000    # unlabelled texts, at most
 FOLDS = 5                  # rows with crc32(doc_id as text) % FOLDS = 0 are held out
 THRESHOLD = 0.3
 

@@ -26,7 +26,7 @@ from ledgerline.llm.words import slices
 MIN_WORDS = 50             # base rule: fewer words fail
 MAX_REPEAT_PERCENT = 50    # base rule: more words in repeated 3-word windows fail
 KEEP = 0.5                 # calibrated probability of good quality a kept text needs
-LABELLED_ROWS = 6_000      # labelled rows that the classifier is fitted on, at most
+LABELLED_ROWS = 4_000      # labelled rows that the classifier is fitted on, at most
 SYMBOLS = "#*$%&|<>"
 BLANKS = " \t\n\v\f\r"
 

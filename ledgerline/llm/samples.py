@@ -33,5 +33,8 @@ def collect_features(rows: DataFrame, label: str, text: str = "text"
 
     got = (rows.select(label, text).mapInArrow(feature_rows, "label int, x binary")
            .orderBy("label", "x").toArrow())
-    x = np.frombuffer(b"".join(got.column("x").to_pylist()), dtype=np.float16).reshape(-1, NG.WIDTH)
-    return x.astype(np.float32) / 1024, got.column("label").to_numpy()
+    x = np.empty((got.num_rows, NG.WIDTH), dtype=np.float32)
+    for row, packed in zip(x, got.column("x")):
+        row[:] = np.frombuffer(packed.as_buffer(), dtype=np.float16)
+    x /= 1024
+    return x, got.column("label").to_numpy()

@@ -4,6 +4,8 @@ import re
 import zlib
 from fractions import Fraction
 
+from pyspark.sql import functions as F
+
 from ledgerline.llm import mixing as MX
 
 WEIGHTS = [{"d0": 4, "d1": 3, "d2": 2, "d3": 1}, {"en": 5, "fr": 2, "xx": 0}, {"s1": 3}]
@@ -112,6 +114,6 @@ def test_empty_table_and_zero_budget(spark):
     docs = docs_of(spark, make(1, 20))
     assert MX.mix(docs.limit(0)).count() == 0
     assert MX.mix(docs, budget=0).count() == 0
-    out = MX.mix(docs, budget=10**9)
+    out = MX.mix(docs.withColumn("whole", F.lit(9)).withColumn("cut", F.lit("f")), budget=10**9).drop("whole", "cut")
     assert set(out.columns) == {*docs.columns, "domain", "n_tokens"}
     assert {r.copies for r in out.where("n_tokens > 0").collect()} == {4}
