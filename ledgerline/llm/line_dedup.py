@@ -4,12 +4,13 @@
 2. Every code-point shingle of a line is hashed once; the signature is, for each
    of VALUES constants, the least of hash XOR constant (pre-aggregated in the
    tasks: a line's shingles are never shuffled, its signature is).
-3. Three of the values make a band's bucket. In a bucket of up to SMALL lines all pairs
-   are candidates. A larger one is worked off in rounds: all its lines are
+3. Three of the values make a band's bucket. In a bucket of up to SMALL lines all
+   pairs are candidates. A larger one is worked off in rounds: all its lines are
    compared with PICKED of them, and those similar to none of these go to the
-   next round among themselves, until none are left. Nothing is capped, and the
-   candidates of a round grow with the lines, not with their square.
-4. Candidates are verified by the exact Jaccard similarity of their shingle sets.
+   next round among themselves, until none are left. Nothing is capped; a round's
+   candidates grow with the lines that are left, of which there are far fewer
+   each time, so that SMALL may grow from round to round.
+4. Candidates whose signatures agree well enough are verified by the exact Jaccard similarity of their shingle sets.
 5. Distributed union-find over the verified links; of each component the line
    that comes first (by doc_id, then place) stays, all others go.
 
@@ -30,12 +31,14 @@ from ledgerline.llm.staging import free_name, stage
 SHINGLE = 9          # code points
 PER_ROW = 4          # shingles that are hashed in one row
 VALUES = 12          # signature values of a line
-#: Three values make a band, every value is in two bands. A pair of similarity 0.8
-#: meets in a band with probability 0.982, of 0.85 with 0.994, of 0.9 with 0.999.
-BANDS = [(1, 4, 9), (0, 2, 11), (5, 6, 8), (3, 7, 10), (3, 6, 9), (4, 10, 11), (0, 7, 8), (1, 2, 5)]
+#: Three values make a band, every value is in three bands. A pair of similarity 0.8
+#: meets in a band with probability 0.993, of 0.85 with 0.998, of 0.9 with 0.9998.
+BANDS = [(3, 5, 9), (2, 10, 11), (4, 7, 8), (0, 1, 6), (0, 7, 9), (1, 2, 3), (5, 6, 11), (3, 8, 10),
+         (1, 4, 9), (0, 4, 5), (2, 6, 7), (0, 8, 11)]
 THRESHOLD = 0.8
-SMALL = 32           # lines in a bucket whose pairs are all verified
-PICKED = 8           # lines that a larger bucket's lines are compared with in a round
+AGREE = 5            # values in which candidates must agree; at 0.8 a pair has 0.999 of doing so
+SMALL = 8            # lines in a bucket whose pairs are all candidates; in each round 4 times as many
+PICKED = 4           # lines that a larger bucket's lines are compared with in a round
 PREFILTER = 1 << 20  # hash classes of the broadcast prefilter: its size bound
 
 _random = random.Random(42)
@@ -92,50 +95,56 @@ def signatures(lines: DataFrame) -> DataFrame:
 
 def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     """The ``pairs(a, b)`` whose exact Jaccard similarity of shingle sets reaches
-    the threshold. Sets of too different sizes can't; they are not compared."""
-    side = lambda x: texts.select(F.col("k").alias(x), F.col("line").alias(f"line_{x}"),
-                                  F.col("size").alias(f"size_{x}"))
-    near = F.least("size_a", "size_b") >= threshold * F.greatest("size_a", "size_b")
-    both = F.size(F.array_intersect(_shingles("line_a"), _shingles("line_b")))
-    return (pairs.join(side("a"), "a").join(side("b"), "b").where(near)
-            .select("a", "b", "size_a", "size_b", both.alias("both"))
-            .where(F.col("both") >= threshold * (F.col("size_a") + F.col("size_b") - F.col("both")))
-            .select("a", "b").distinct())
+    the threshold. Pairs whose signatures agree in fewer than AGREE values are
+    given up before their texts are fetched."""
+    side = lambda x, c: texts.select(F.col("k").alias(x), F.col(c).alias(f"{c}_{x}"))
+    agree = F.size(F.filter(F.zip_with("values_a", "values_b", lambda u, v: u == v), lambda same: same))
+    close = (pairs.join(side("a", "values"), "a").join(side("b", "values"), "b")
+             .where(agree >= AGREE).select("a", "b").distinct())
+    sets = (close.join(side("a", "line"), "a").join(side("b", "line"), "b")
+            .select("a", "b", _shingles("line_a").alias("x"), _shingles("line_b").alias("y"))
+            .select("a", "b", F.size(F.array_intersect("x", "y")).alias("both"),
+                    (F.size("x") + F.size("y")).alias("sizes")))
+    return sets.where(F.col("both") >= threshold * (F.col("sizes") - F.col("both"))).select(
+        "a", "b").distinct()
 
 
 def similar_lines(lines: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Verified links ``(src, dst)`` between keys of different lines that connect
     what the bands brought together."""
+    signed = stage(signatures(lines), "line-signatures")
     bands = [F.xxhash64(F.lit(b), *[f"m{i}" for i in values]) for b, values in enumerate(BANDS)]
-    rows = stage(signatures(lines), "line-signatures").select(
-        "k", F.explode(F.array(*bands)).alias("band"))
+    rows = signed.select("k", F.explode(F.array(*bands)).alias("band"))
     shared = rows.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("band")
     left = stage(rows.join(shared, "band"), "bucket-members")
     classes = left.select(F.pmod("k", F.lit(PREFILTER)).alias("class")).distinct()
+    wanted = (signed.join(left.select("k").distinct(), "k", "left_semi")
+              .select("k", F.array(*[f"m{i}" for i in range(VALUES)]).alias("values")))
     texts = (lines.select(F.xxhash64("line").alias("k"), "line")
              .withColumn("class", F.pmod("k", F.lit(PREFILTER)))
              .join(F.broadcast(classes), "class", "left_semi")     # at most PREFILTER rows
-             .join(left.select("k").distinct(), "k", "left_semi").select("k", "line").distinct())
-    texts = stage(texts.withColumn("size", F.size(_shingles("line"))), "candidate-lines")
+             .join(wanted, "k").select("k", "values", "line").distinct())
+    texts = stage(texts, "candidate-lines")
 
-    links = None
+    links, small = None, SMALL
     while links is None or not left.isEmpty():
         # members of a bucket picked by minima under different orders of the keys
         picked = [F.min(F.col("k").bitwiseXOR(F.lit(c))).bitwiseXOR(F.lit(c)) for c in _CONSTANTS[:PICKED]]
         buckets = left.groupBy("band").agg(F.count(F.lit(1)).alias("n"),
                                            F.array_distinct(F.array(*picked)).alias("picked"))
         left = left.join(buckets.where("n > 1"), "band")
-        small = left.where(F.col("n") <= SMALL).select("band", F.col("k").alias("a"))
-        pairs = small.join(small.withColumnRenamed("a", "b"), "band").where("a < b").select("a", "b")
-        large = stage(left.where(F.col("n") > SMALL), "large-buckets")
+        few = left.where(F.col("n") <= small).select("band", F.col("k").alias("a"))
+        pairs = few.join(few.withColumnRenamed("a", "b"), "band").where("a < b").select("a", "b")
+        large = stage(left.where(F.col("n") > small), "large-buckets")
         met = large.select("band", "k", F.explode("picked").alias("p")).where("k <> p")
         ends = [F.least("k", "p").alias("a"), F.greatest("k", "p").alias("b")]
-        pairs = stage(pairs.unionByName(met.select(*ends)).distinct(), "candidate-pairs")
+        pairs = pairs.unionByName(met.select(*ends)).distinct()
         found = stage(_verified(pairs, texts, threshold), "links")
         links = found if links is None else links.unionByName(found)
         tied = met.select("band", "k", *ends).join(found, ["a", "b"], "left_semi").select("band", "k").distinct()
         left = stage(large.where(~F.array_contains("picked", F.col("k"))).select("band", "k")
                      .join(tied, ["band", "k"], "left_anti"), "bucket-members")
+        small *= 4
     return links.select(F.col("a").alias("src"), F.col("b").alias("dst"))
 
 
