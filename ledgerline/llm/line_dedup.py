@@ -6,10 +6,14 @@
    tasks: a line's shingles are never shuffled, its signature is).
 3. Three of the values make a band's bucket. In a bucket of up to SMALL lines all
    pairs are candidates. A larger one is worked off in rounds: all its lines are
-   compared with PICKED of them, and those similar to none of these go to the
-   next round among themselves, until none are left. Nothing is capped; a round's
-   candidates grow with the lines that are left, of which there are far fewer
-   each time, so that SMALL may grow from round to round.
+   compared with PICKED of them, and only these leave it, as their links are
+   complete. Lines that verified links connect already needn't be compared, so a
+   bucket is done when its lines are one component, and its remaining pairs are
+   candidates when few lines are outside its largest component. From the second
+   round on the lines with the most links are picked, so that an original whose
+   copies aren't similar to one another ties them. Nothing is capped; SMALL grows
+   from round to round, so that a bucket that doesn't fall together ends as all
+   pairs of lines of different components.
 4. Candidates whose signatures agree well enough are verified by the exact Jaccard similarity of their shingle sets.
 5. Distributed union-find over the verified links; of each component the line
    that comes first (by doc_id, then place) stays, all others go.
@@ -37,7 +41,8 @@ BANDS = [(3, 5, 9), (2, 10, 11), (4, 7, 8), (0, 1, 6), (0, 7, 9), (1, 2, 3), (5,
          (1, 4, 9), (0, 4, 5), (2, 6, 7), (0, 8, 11)]
 THRESHOLD = 0.8
 AGREE = 5            # values in which candidates must agree; at 0.8 a pair has 0.999 of doing so
-SMALL = 8            # lines in a bucket whose pairs are all candidates; in each round 4 times as many
+SMALL = 8            # lines in a bucket whose pairs are all candidates; in each round 4 times as many,
+                     # not counting all but one line of the bucket's largest component
 PICKED = 4           # lines that a larger bucket's lines are compared with in a round
 PREFILTER = 1 << 20  # hash classes of the broadcast prefilter: its size bound
 
@@ -109,6 +114,31 @@ def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame
         "a", "b").distinct()
 
 
+def _buckets(members: DataFrame, alone: bool) -> DataFrame:
+    """(band, main, others, picked) of the buckets of ``members(band, k, c, degree)``
+    whose lines aren't one component ``c`` yet: the component with the most lines,
+    how many lines are in others, and the lines (k, c) to compare all with. While
+    every line is ``alone``, a component is a line."""
+    if alone:
+        picked = [F.min(F.col("k").bitwiseXOR(F.lit(x))).bitwiseXOR(F.lit(x)) for x in _CONSTANTS[:PICKED]]
+        return (members.groupBy("band").agg(
+            F.count(F.lit(1)).alias("n"), F.array_distinct(F.array(
+                *[F.struct(x.alias("k"), x.alias("c")) for x in picked])).alias("picked"))
+            .where("n > 1").select("band", F.col("picked")[0]["c"].alias("main"),
+                                   (F.col("n") - 1).alias("others"), "picked"))
+    parts = members.groupBy("band", "c").agg(F.count(F.lit(1)).alias("n"), F.max("degree").alias("degree"),
+                                             F.max_by("k", "degree").alias("hub"))
+    # the line with the most links, and that of components under different orders
+    picked = [F.struct(F.max_by("hub", "degree").alias("k"), F.max_by("c", "degree").alias("c")),
+              *[F.struct(F.min_by("hub", F.col("c").bitwiseXOR(F.lit(x))).alias("k"),
+                         F.min_by("c", F.col("c").bitwiseXOR(F.lit(x))).alias("c"))
+                for x in _CONSTANTS[1:PICKED]]]
+    return (parts.groupBy("band").agg(F.sum("n").alias("n"), F.max("n").alias("most"),
+                                      F.max_by("c", "n").alias("main"),
+                                      F.array_distinct(F.array(*picked)).alias("picked"))
+            .where("n > most").select("band", "main", (F.col("n") - F.col("most")).alias("others"), "picked"))
+
+
 def similar_lines(lines: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Verified links ``(src, dst)`` between keys of different lines that connect
     what the bands brought together."""
@@ -126,24 +156,32 @@ def similar_lines(lines: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
              .join(wanted, "k").select("k", "values", "line").distinct())
     texts = stage(texts, "candidate-lines")
 
-    links, small = None, SMALL
+    links, labels, small = None, None, SMALL
+    left = left.withColumn("c", F.col("k")).withColumn("degree", F.lit(0).cast("long"))
     while links is None or not left.isEmpty():
-        # members of a bucket picked by minima under different orders of the keys
-        picked = [F.min(F.col("k").bitwiseXOR(F.lit(c))).bitwiseXOR(F.lit(c)) for c in _CONSTANTS[:PICKED]]
-        buckets = left.groupBy("band").agg(F.count(F.lit(1)).alias("n"),
-                                           F.array_distinct(F.array(*picked)).alias("picked"))
-        left = left.join(buckets.where("n > 1"), "band")
-        few = left.where(F.col("n") <= small).select("band", F.col("k").alias("a"))
-        pairs = few.join(few.withColumnRenamed("a", "b"), "band").where("a < b").select("a", "b")
-        large = stage(left.where(F.col("n") > small), "large-buckets")
-        met = large.select("band", "k", F.explode("picked").alias("p")).where("k <> p")
-        ends = [F.least("k", "p").alias("a"), F.greatest("k", "p").alias("b")]
-        pairs = pairs.unionByName(met.select(*ends)).distinct()
+        left = left.join(_buckets(left, labels is None), "band")
+        few = left.where(F.col("others") < small)
+        one = few.where("c <> main").select("band", F.col("k").alias("a"), F.col("c").alias("c_a"))
+        pairs = (few.select("band", "main", F.col("k").alias("b"), F.col("c").alias("c_b")).join(one, "band")
+                 .where("c_a <> c_b AND (c_b = main OR a < b)").select("a", "b"))
+        large = stage(left.where(F.col("others") >= small), "large-buckets")
+        met = large.select("k", "c", F.explode("picked").alias("p")).where("c <> p.c").select(
+            F.col("k").alias("a"), F.col("p.k").alias("b"))
+        pairs = pairs.unionByName(met).select(
+            F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         found = stage(_verified(pairs, texts, threshold), "links")
         links = found if links is None else links.unionByName(found)
-        tied = met.select("band", "k", *ends).join(found, ["a", "b"], "left_semi").select("band", "k").distinct()
-        left = stage(large.where(~F.array_contains("picked", F.col("k"))).select("band", "k")
-                     .join(tied, ["band", "k"], "left_anti"), "bucket-members")
+        left = large.where(~F.array_contains("picked.k", F.col("k"))).select("band", "k")
+        if not left.isEmpty():
+            edges = found.select(F.col("a").alias("src"), F.col("b").alias("dst"))
+            edges = edges if labels is None else edges.unionByName(
+                labels.select(F.col("node").alias("src"), F.col("component").alias("dst")))
+            labels = stage(connected_components(edges), "labels")
+            degrees = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(
+                F.count(F.lit(1)).alias("degree"))
+            left = stage(left.join(labels.join(degrees, "node").withColumnRenamed("node", "k"), "k", "left")
+                         .select("band", "k", F.coalesce("component", "k").alias("c"),
+                                 F.coalesce("degree", F.lit(0)).alias("degree")), "bucket-members")
         small *= 4
     return links.select(F.col("a").alias("src"), F.col("b").alias("dst"))
 
