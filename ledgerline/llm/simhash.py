@@ -215,6 +215,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     of the others in it, or null if there is none. An empty table gives no
     rows; other columns of ``docs`` are not looked at.
     """
+    return _grouped(docs, id_col, text_col, shingle, max_bits).select("doc_id", "fp", "component_id")
+
+
+def _grouped(docs: DataFrame, id_col: str, text_col: str, shingle: int, max_bits: int) -> DataFrame:
+    """``near_duplicates`` with the column ``component``, the group's least
+    fingerprint: two groups may have the same smallest id, if ids clash."""
     rows = stage(docs.select(F.col(id_col).alias("doc_id"),
                              fingerprint_column(text_col, shingle).alias("fp")), "fingerprints")
     prints = stage(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct-fingerprints")
@@ -222,26 +228,29 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     label = prints.join(found.withColumnRenamed("node", "fp"), "fp", "left").select(
         "fp", F.coalesce("component", "fp").alias("component"), "least")
     least = label.groupBy("component").agg(F.min("least").alias("component_id"))
-    return (rows.join(label.join(least, "component").select("fp", "component_id"), "fp")
-            .select("doc_id", "fp", "component_id"))
+    return (rows.join(label.join(least, "component").select("fp", "component", "component_id"), "fp")
+            .select("doc_id", "fp", "component", "component_id"))
 
 
 def keep_one_per_group(docs: DataFrame, shingle: int = 4, max_bits: int = 4) -> DataFrame:
     """The rows of ``docs`` (all its columns) of which each near-duplicate group
-    keeps one: the row with the group's smallest doc_id. Of rows that repeat
-    that doc_id one stays. A group whose rows all lack a doc_id keeps one row,
-    whichever comes first; a null doc_id beside real ones goes."""
-    groups = stage(near_duplicates(docs, shingle=shingle, max_bits=max_bits)
-                   .select("doc_id", "fp", "component_id"), "near-duplicates")
+    keeps one: the row with the group's smallest doc_id, then fingerprint. Of
+    rows that repeat both one stays, whichever comes first. A doc_id that stands
+    on texts of several groups is judged in each. A group whose rows all lack a
+    doc_id keeps one row; a null doc_id beside real ones goes."""
+    groups = stage(_grouped(docs, "doc_id", "text", shingle, max_bits), "near-duplicates")
     gone = stage(groups.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct(),
                  "copies")
-    kept = docs.where(F.col("doc_id").isNotNull()).join(gone, "doc_id", "left_anti")
-    twice = stage(groups.where("doc_id = component_id").groupBy("doc_id")
+    # an id of one row says which row is meant; the others go by id and fingerprint
+    twice = stage(groups.where("doc_id IS NOT NULL").groupBy("doc_id")
                   .agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id"), "repeated-ids")
-    kept = (kept.join(twice, "doc_id", "left_anti")
-            .unionByName(kept.join(twice, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
-            .select(docs.columns))
-    bare = docs.where(F.col("doc_id").isNull()).withColumn("__fp", fingerprint_column("text", shingle))
-    alone = groups.where("component_id IS NULL").select(F.col("fp").alias("__fp")).distinct()
-    return kept.unionByName(bare.join(alone, "__fp", "left_semi").dropDuplicates(["__fp"])
-                            .select(docs.columns))
+    real = docs.where(F.col("doc_id").isNotNull())
+    single = real.join(gone, "doc_id", "left_anti").join(twice, "doc_id", "left_anti")
+    winners = (groups.where("doc_id <=> component_id").groupBy("component")
+               .agg(F.min("doc_id").alias("doc_id"), F.min("fp").alias("fp")))
+    unclear = (docs.where(F.col("doc_id").isNull()).select(docs.columns)
+               .unionByName(real.join(twice, "doc_id", "left_semi").select(docs.columns))
+               .withColumn("__fp", fingerprint_column("text", shingle)))
+    chosen = (unclear.alias("d").join(winners.alias("w"), F.expr("d.__fp = w.fp AND d.doc_id <=> w.doc_id"),
+                                      "left_semi").dropDuplicates(["doc_id", "__fp"]))
+    return single.select(docs.columns).unionByName(chosen.select(docs.columns))

@@ -93,6 +93,14 @@ def test_empty_null_and_repeated_rows(spark):
     assert sorted(map(str, [r.doc_id for r in kept.collect()])) == ["5", "8", "None"]
 
 
+def test_an_id_on_two_texts(spark):
+    a, b, c = "a b c d e f", "one two three four five six", "some other text of its own here"
+    rows = [(5, a, "a"), (7, a, "a"), (5, b, "b"), (3, b, "b"), (8, a, "a"), (8, c, "c"), (9, c, "c"),
+            (5, a, "a")]
+    kept = SH.keep_one_per_group(spark.createDataFrame(rows, "doc_id long, text string, name string"))
+    assert sorted((r.doc_id, r.name) for r in kept.collect()) == [(3, "b"), (5, "a"), (8, "c")]
+
+
 def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(50)] + [(100, i) for i in range(101, 140)] + [(7, 7), (None, 3)]
     got = {r.node: r.component for r in connected_components(
