@@ -112,8 +112,8 @@ GRANTS = [
                               r"a copy of this software and associated documentation files"),
     ("isc", "permission copy", r"permission to use copy modify and or distribute this software for any "
                                r"purpose with or without fee is hereby granted"),
-    ("bsd-3", "redistribution neither", r"neither the name of [a-z0-9 ]{1,80}? nor the names of its "
-                                        r"contributors may be used to endorse or promote products"),
+    ("bsd-3", "redistribution neither", r"neither the name of (?:(?!neither the name of )[^ ]+ )+?"
+                                        r"nor the names of its contributors may be used to endorse or promote products"),
     ("bsd-2", "redistribution source", r"redistribution and use in source and binary forms with or "
                                        r"without modification are permitted provided"),
     ("bsd-4", "advertising acknowledgement", r"all advertising materials mentioning features or use of "

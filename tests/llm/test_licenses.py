@@ -49,6 +49,17 @@ def test_hundreds_of_rules_and_their_order():
     assert labels_of("Wir gehen mit dem Hund. The license plate.") == []
 
 
+def test_bsd_grant_with_any_holder(spark):
+    grant = ("Redistributions of source code ... redistribution. Neither the name of {} nor the names of its "
+             "contributors may be used to endorse or promote products derived from it")
+    holders = ["Acme", "Universität Zürich", "the regents of " + "a very long name " * 12,
+               "nobody. Neither the name of Éire"]
+    df = spark.createDataFrame([(i, grant.format(h)) for i, h in enumerate(holders)] + [
+        (9, grant.format("x").replace("nor the names", "or names"))], "doc_id long, text string")
+    got = {r.doc_id: r.scanned.labels for r in LI.scan(df).collect()}
+    assert all("bsd-3" in got[i] for i in range(len(holders))) and "bsd-3" not in got[9], got
+
+
 def test_suppression_by_containment():
     d = lambda label, priority, a, b: LI.Detection(label, priority, 0.5, a, b)
     kept = LI.suppress([d("in", 2, 3, 5), d("out", 1, 2, 8), d("over", 2, 5, 9), d("long", 3, 20, 30),
