@@ -35,8 +35,10 @@ from ledgerline.llm.staging import free_name, stage
 SHINGLE = 9          # code points
 PER_ROW = 4          # shingles that are hashed in one row
 VALUES = 12          # signature values of a line
-#: Three values make a band, every value is in three bands. A pair of similarity 0.8
-#: meets in a band with probability 0.993, of 0.85 with 0.998, of 0.9 with 0.9998.
+#: Three values make a band, every value is in three bands. The values come from one hash and
+#: aren't independent. Simulated (20,000 random pairs each), AGREE included: a pair of similarity
+#: 0.8 becomes a candidate in 0.970 of cases with 10 shingles in the union, 0.977 with 20, 0.985
+#: with 40, 0.987 with 200; of 0.85 in 0.991 with 20, 0.996 with 200; of 0.9 in 0.998 with 20.
 BANDS = [(3, 5, 9), (2, 10, 11), (4, 7, 8), (0, 1, 6), (0, 7, 9), (1, 2, 3), (5, 6, 11), (3, 8, 10),
          (1, 4, 9), (0, 4, 5), (2, 6, 7), (0, 8, 11)]
 THRESHOLD = 0.8
