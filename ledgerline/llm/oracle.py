@@ -165,3 +165,78 @@ FROM p LEFT JOIN g ON p.html = g.html
 """
 
 ORACLE_SQL = {"op1_decontamination": OP1, "op5_chat_format": OP5, "op7_mixing": OP7, "op9_warc": OP9}
+
+OP12 = r"""
+WITH d AS (
+    SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t FROM documents),
+w AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS words FROM d),
+firsts AS (SELECT t, min(doc_id) AS first_id FROM d GROUP BY t),
+judged AS (
+    SELECT part, len(words) < 100 AS a, 100 * len(list_distinct(words)) < 80 * len(words) AS b,
+           100 * len(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * len(t) AS c,
+           regexp_matches(t, '[#$%&*|]') AS d, coalesce(doc_id > first_id, false) AS e,
+           EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = w.doc_id AND l.quality = 1) AS good,
+           EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = w.doc_id AND l.toxic = 1) AS toxic
+    FROM w JOIN firsts USING (t)),
+masks AS (
+    SELECT part, good, toxic, a::INT + 2 * b::INT + 4 * c::INT + 8 * d::INT + 16 * e::INT AS mask, count(*) AS n
+    FROM judged GROUP BY ALL),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x, unnest([1, 2, 4, 8, 16]) AS bit),
+steps AS (
+    SELECT p.x || q.x || r.x || s.x || u.x AS filter_order, k AS step,
+           [p.bit, q.bit, r.bit, s.bit, u.bit] AS bits
+    FROM letters p, letters q, letters r, letters s, letters u, range(1, 6) t(k)
+    WHERE p.bit + q.bit + r.bit + s.bit + u.bit = 31 AND
+          len(list_distinct([p.x, q.x, r.x, s.x, u.x])) = 5),
+counted AS (
+    SELECT part, filter_order, step, bits[step] AS bit,
+           sum(CASE WHEN mask & before = 0 AND mask & bits[step] = 0 THEN n ELSE 0 END) AS kept,
+           sum(CASE WHEN mask & before = 0 AND mask & bits[step] > 0 THEN n ELSE 0 END) AS removed,
+           sum(CASE WHEN mask & before > 0 AND mask & bits[step] > 0 THEN n ELSE 0 END) AS redundant,
+           sum(CASE WHEN mask = bits[step] THEN n ELSE 0 END) AS unique_fails,
+           sum(CASE WHEN good AND mask & before = 0 AND mask & bits[step] > 0 THEN n ELSE 0 END) AS good_lost,
+           sum(CASE WHEN toxic AND mask & before = 0 AND mask & bits[step] > 0 THEN n ELSE 0 END) AS toxic_lost
+    FROM masks, (SELECT *, CAST(coalesce(list_sum(bits[1:step - 1]), 0) AS INT) AS before FROM steps)
+    GROUP BY ALL)
+SELECT part, filter_order, CAST(step AS INT) AS step, CAST(kept AS BIGINT) AS kept,
+       CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+       CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+       CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley
+FROM counted
+"""
+
+
+def _op13(k: int = 8, rounds: int = 10) -> str:
+    """The rounds written one after the other; one row per centroid and component in each."""
+    chain = [f"""kept AS MATERIALIZED (
+        SELECT row_number() OVER () AS r, vec_id,
+               list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 1024) AS BIGINT)) AS v
+        FROM embeddings
+        WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x)
+                                                      AND abs(CAST(x AS DOUBLE) * 1024) < 16777216)) = 64)""",
+             f"""c0 AS MATERIALIZED (
+        SELECT CAST(row_number() OVER (ORDER BY h NULLS LAST, v) - 1 AS INT) AS cluster, v
+        FROM (SELECT sha256('3:' || vec_id) AS h, v FROM kept) ORDER BY h NULLS LAST, v LIMIT {k})"""]
+    for i in range(rounds + 1):
+        chain.append(f"""a{i} AS MATERIALIZED (
+        SELECT r, vec_id, v, b.cluster, b.distance FROM (
+            SELECT r, any_value(vec_id) AS vec_id, any_value(v) AS v, min({{'distance': d, 'cluster': cluster}}) AS b
+            FROM (SELECT r, vec_id, k.v, c.cluster, CAST(list_sum(list_transform(range(1, 65),
+                         lambda j: (k.v[j] - c.v[j]) * (k.v[j] - c.v[j]))) AS BIGINT) AS d
+                  FROM kept k, c{i} c) GROUP BY r))""")
+        if i < rounds:
+            chain.append(f"""c{i + 1} AS MATERIALIZED (
+        SELECT cluster, coalesce(m.v, c{i}.v) AS v FROM c{i} LEFT JOIN (
+            SELECT cluster, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY j) AS v
+            FROM (SELECT cluster, j, sum(x) AS s, count(*) AS n
+                  FROM (SELECT cluster, unnest(v) AS x, unnest(range(1, 65)) AS j FROM a{i}) GROUP BY cluster, j)
+            GROUP BY cluster) m USING (cluster))""")
+    return "WITH " + ",\n".join(chain) + f"""
+SELECT vec_id, cluster, distance, CAST(sum(distance) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia,
+       CAST(sum(distance) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c.v, ',')) AS centroid_sha256
+FROM a{rounds} JOIN c{rounds} c USING (cluster)
+"""
+
+
+ORACLE_SQL |= {"op12_filter_audit": OP12, "op13_centroids": _op13()}

@@ -10,8 +10,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerline.llm import centroids as CE
 from ledgerline.llm import chat_format as CF
 from ledgerline.llm import decontaminate as DC
+from ledgerline.llm import filter_audit as FA
 from ledgerline.llm import licenses as LI
 from ledgerline.llm import line_dedup as LD
 from ledgerline.llm import mixing as MX
@@ -90,6 +92,15 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "component_id")
 
 
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return FA.audit(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return CE.cluster(_read(spark, sf_dir, "embeddings"), k=8, rounds=10, seed=3)[0]
+
+
 QUERIES = {f.__name__: f for f in (
     op1_decontamination, op2_line_dedup, op3_url_filter, op4_license_scan, op5_chat_format,
-    op6_quality, op7_mixing, op8_quality_rules, op9_warc, op10_simhash)}
+    op6_quality, op7_mixing, op8_quality_rules, op9_warc, op10_simhash,
+    op12_filter_audit, op13_centroids)}
