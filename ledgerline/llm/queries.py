@@ -17,6 +17,7 @@ from ledgerline.llm import filter_audit as FA
 from ledgerline.llm import licenses as LI
 from ledgerline.llm import line_dedup as LD
 from ledgerline.llm import mixing as MX
+from ledgerline.llm import multiset_hash as MH
 from ledgerline.llm import pu_quality as PU
 from ledgerline.llm import quality_rules as QR
 from ledgerline.llm import simhash as SH
@@ -92,6 +93,13 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "component_id")
 
 
+def op11_multiset_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    compared = MH.compare(_read(spark, sf_dir, "documents"))
+    return compared.select(
+        F.col("id").alias("doc_id"), "n_chars", "edited_sha256", MH.as_text(F.col("lanes")).alias("fingerprint"),
+        MH.as_text(F.col("edited_lanes")).alias("edited_fingerprint"), "near_edited", "near_next")
+
+
 def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return FA.audit(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
 
@@ -103,4 +111,4 @@ def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_decontamination, op2_line_dedup, op3_url_filter, op4_license_scan, op5_chat_format,
     op6_quality, op7_mixing, op8_quality_rules, op9_warc, op10_simhash,
-    op12_filter_audit, op13_centroids)}
+    op11_multiset_hash, op12_filter_audit, op13_centroids)}
