@@ -55,12 +55,11 @@ def parse_iso_date(c: str | Column) -> Column:
 def to_double(c: str | Column) -> Column:
     """Text or number -> DOUBLE, NULL on garbage.
 
-    Only usable numbers pass: NaN, the infinities and anything from
-    ``S.LARGEST_NUMBER`` on become NULL (NaN would sort above every number and
-    so pass as a positive amount).
+    Only numbers pass: NaN and the infinities become NULL (NaN would sort above
+    every number and so pass as a positive amount). No size is too large.
     """
     x = col(c).try_cast("double")
-    return F.when(F.abs(x) < S.LARGEST_NUMBER, x)
+    return F.when(F.abs(x) < float("inf"), x)
 
 
 def to_int(c: str | Column) -> Column:
@@ -77,37 +76,22 @@ def ok(predicate: Column) -> Column:
     return F.coalesce(predicate, F.lit(False))
 
 
-def round2(x: Column) -> Column:
-    """Round half away from zero to 2 decimals on the decimal value.
-
-    Holds up to 1e32, so large averages and rates of change pass too.
-    """
-    return F.round(x.try_cast("decimal(38,6)"), 2).cast("double")
-
-
-def round0(x: Column) -> Column:
-    return F.round(x.try_cast("decimal(38,6)"), 0).cast("double")
-
-
-def exact(amount: str | Column) -> Column:
-    """A number as a decimal of 6 places, so sums are exact and order independent
-    (T7). Amounts below 1e22 fit, and 1e10 of them add up without overflow."""
-    return col(amount).cast("decimal(28,6)")
+#: From here on a double has no second decimal that rounding could change.
+NO_DECIMALS = 1e15
 
 
-def sum_exact(amount: str | Column) -> Column:
-    """Exact sum as a decimal, for sums that are summed again."""
-    return F.sum(exact(amount)).cast("decimal(38,6)")
+def _rounded(x: Column, places: int) -> Column:
+    x = x.cast("double")
+    return F.when(F.abs(x) < NO_DECIMALS, F.round(x.try_cast("decimal(38,6)"), places).cast("double")).otherwise(x)
 
 
-def sum_money(amount: str | Column) -> Column:
-    """Exact sum, as DOUBLE; nothing is rounded before it is added up."""
-    return sum_exact(amount).cast("double")
+def round2(x: Column) -> Column:
+    """Round half away from zero to 2 decimals on the decimal value (T6), at any size."""
+    return _rounded(x, 2)
 
 
-def avg_money(amount: str | Column) -> Column:
-    """Average of a money column: exact sum divided by the non-null count."""
-    return sum_money(amount) / F.count(col(amount))
+def round0(x: Column) -> Column:
+    return _rounded(x, 0)
 
 
 def flag(predicate: Column) -> Column:

@@ -11,51 +11,50 @@ the shuffle. The sorts are the reference's output order, on small results.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerline.functions import exact as E
 from ledgerline.functions import exprs as X
 
 
-def _grain_aggs() -> list[Column]:
-    return [F.count("transaction_id").alias("n"),
-            X.sum_exact("transaction_amount").alias("value"),
-            F.count("transaction_amount").alias("n_amount"),
-            F.sum("is_failed").alias("failed"),
-            F.sum("is_high_value").alias("high")]
+COUNTED = ["n", "n_amount", "failed", "high"]
+
+
+def _grain(enriched: DataFrame, by: list[str]) -> DataFrame:
+    return E.exact_totals(enriched, by, {"value": "transaction_amount"}, {
+        "n": E.known("transaction_id"), "n_amount": E.known("transaction_amount"),
+        "failed": F.col("is_failed"), "high": F.col("is_high_value")})
 
 
 def day_grain(enriched: DataFrame) -> DataFrame:
     """(transaction_date, branch_id, account_type) -> counts and exact sums."""
-    return enriched.groupBy("transaction_date", "branch_id", "account_type").agg(*_grain_aggs())
+    return _grain(enriched, ["transaction_date", "branch_id", "account_type"])
 
 
 def customer_grain(enriched: DataFrame) -> DataFrame:
     """(branch_id, customer_id) -> counts and exact sums."""
-    return enriched.groupBy("branch_id", "customer_id").agg(*_grain_aggs())
-
-
-def _money(value: str = "value") -> Column:
-    return X.sum_money(value)
+    return _grain(enriched, ["branch_id", "customer_id"])
 
 
 def daily_from_grain(grain: DataFrame) -> DataFrame:
-    return (grain.groupBy("transaction_date", "branch_id")
-            .agg(F.sum("n").alias("txn_count"), _money().alias("total_amount"),
-                 (_money() / F.sum("n_amount")).alias("avg_amount"),
-                 F.sum("failed").alias("failed_count"))
+    days = E.roll_up(grain, ["transaction_date", "branch_id"], "value", COUNTED)
+    return (days.select("transaction_date", "branch_id", F.col("n").alias("txn_count"),
+                        E.value("value").alias("total_amount"), "n_amount",
+                        F.col("failed").alias("failed_count"))
+            .withColumn("avg_amount", F.col("total_amount") / F.col("n_amount")).drop("n_amount")
             .orderBy("transaction_date", "branch_id"))
 
 
 def monthly_from_grain(grain: DataFrame) -> DataFrame:
     # The reference's sort omits account_type; it is added so the order is total.
-    month = F.date_format("transaction_date", "yyyy-MM").alias("txn_year_month")
-    return (grain.groupBy(month, "branch_id", "account_type")
-            .agg(F.sum("n").alias("txn_count"), _money().alias("total_amount"),
-                 (_money() / F.sum("n_amount")).alias("avg_amount"),
-                 F.sum("high").alias("high_value_count"),
-                 F.sum("failed").alias("failed_count"))
-            .orderBy("txn_year_month", "branch_id", "account_type"))
+    by = ["txn_year_month", "branch_id", "account_type"]
+    months = E.roll_up(grain.withColumn("txn_year_month", F.date_format("transaction_date", "yyyy-MM")), by,
+                       "value", COUNTED)
+    return (months.select(*by, F.col("n").alias("txn_count"), E.value("value").alias("total_amount"), "n_amount",
+                          F.col("high").alias("high_value_count"), F.col("failed").alias("failed_count"))
+            .withColumn("avg_amount", F.col("total_amount") / F.col("n_amount")).drop("n_amount")
+            .orderBy(*by))
 
 
 def branch_performance_from_grain(grain: DataFrame, branches: DataFrame) -> DataFrame:
@@ -65,11 +64,10 @@ def branch_performance_from_grain(grain: DataFrame, branches: DataFrame) -> Data
     second distinct aggregation is needed. Branches without transactions are
     absent; a NULL-branch group is kept.
     """
-    perf = grain.groupBy("branch_id").agg(
-        F.sum("n").alias("total_transactions"),
-        _money().alias("total_value"),
-        F.sum("failed").alias("failed_transactions"),
-        F.count("customer_id").alias("active_customers"))
+    known = grain.withColumn("active", E.known("customer_id"))
+    perf = E.roll_up(known, ["branch_id"], "value", [*COUNTED, "active"]).select(
+        "branch_id", F.col("n").alias("total_transactions"), E.value("value").alias("total_value"),
+        F.col("failed").alias("failed_transactions"), F.col("active").alias("active_customers"))
     perf = perf.withColumn(
         "failure_rate_pct",
         X.round2(F.col("failed_transactions") / F.col("total_transactions") * 100))

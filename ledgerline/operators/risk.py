@@ -3,7 +3,7 @@
 Transactions are aggregated to the **account** first (partial aggregation on
 the map side, no join needed because account_id is on the clean fact), then
 rolled up to the customer through the account->customer map. Only one row per
-account crosses the join, instead of one per transaction. Sums are exact decimals,
+account crosses the join, instead of one per transaction. Sums are exact,
 so the two-level roll-up equals a one-level sum. Loans are aggregated before
 their join too, so neither join can fan out (J5).
 
@@ -18,46 +18,44 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline import schemas as S
+from ledgerline.functions import exact as E
 from ledgerline.functions import exprs as X
 
 ZERO_FILLED = ("total_transactions", "total_transaction_value", "avg_transaction_value",
                "failed_transactions", "high_value_transactions", "total_loans",
                "total_loan_amount", "defaulted_loans", "overdue_loans")
 
+COUNTED = ["n", "n_amount", "failed", "high"]
+
 
 def transaction_totals_by_customer(clean_txns: DataFrame, accounts: DataFrame) -> DataFrame:
     """A1: count, exact value, avg, failed and high-value counts per customer."""
-    per_account = clean_txns.groupBy("account_id").agg(
-        F.count("transaction_id").alias("n"),
-        X.sum_exact("transaction_amount").alias("value"),
-        F.count("transaction_amount").alias("n_amount"),
-        F.sum(X.flag(F.col("payment_status") == "Failed")).alias("failed"),
-        F.sum(X.flag(F.col("transaction_amount") > S.HIGH_VALUE_AMOUNT)).alias("high"),
-    )
+    per_account = E.exact_totals(clean_txns, ["account_id"], {"value": "transaction_amount"}, {
+        "n": E.known("transaction_id"), "n_amount": E.known("transaction_amount"),
+        "failed": X.flag(F.col("payment_status") == "Failed"),
+        "high": X.flag(F.col("transaction_amount") > S.HIGH_VALUE_AMOUNT)})
     owners = accounts.select("account_id", "customer_id").where(F.col("customer_id").isNotNull())
-    per_customer = per_account.join(owners, "account_id").groupBy("customer_id").agg(
-        F.sum("n").alias("total_transactions"),
-        X.sum_exact("value").alias("value"),
-        F.sum("n_amount").alias("n_amount"),
-        F.sum("failed").alias("failed_transactions"),
-        F.sum("high").alias("high_value_transactions"),
-    )
-    value = F.col("value").cast("double")
+    return _customer_totals(per_account.join(owners, "account_id"))
+
+
+def _customer_totals(grain: DataFrame) -> DataFrame:
+    """Totals of a finer grain rolled up to the customer."""
+    per_customer = E.roll_up(grain, ["customer_id"], "value", COUNTED).withColumn("value", E.value("value"))
     return per_customer.select(
-        "customer_id", "total_transactions",
-        value.alias("total_transaction_value"),
-        (value / F.col("n_amount")).alias("avg_transaction_value"),
-        "failed_transactions", "high_value_transactions")
+        "customer_id", F.col("n").alias("total_transactions"),
+        F.col("value").alias("total_transaction_value"),
+        (F.col("value") / F.col("n_amount")).alias("avg_transaction_value"),
+        F.col("failed").alias("failed_transactions"), F.col("high").alias("high_value_transactions"))
 
 
 def loan_totals_by_customer(loans: DataFrame) -> DataFrame:
     """A2: count, exact amount, defaulted and overdue counts per customer."""
     status = F.col("loan_status")
-    return (loans.where(F.col("customer_id").isNotNull()).groupBy("customer_id").agg(
-        F.count("loan_id").alias("total_loans"),
-        X.sum_money("loan_amount").alias("total_loan_amount"),
-        F.count_if(status == "Defaulted").alias("defaulted_loans"),
-        F.count_if(status == "Overdue").alias("overdue_loans")))
+    is_ = lambda s: F.when(status == s, 1).otherwise(0)
+    return E.totals_by(loans.where(F.col("customer_id").isNotNull()), ["customer_id"],
+                       {"total_loan_amount": "loan_amount"},
+                       {"total_loans": E.known("loan_id"), "defaulted_loans": is_("Defaulted"),
+                        "overdue_loans": is_("Overdue")})
 
 
 def build_customer_risk_metrics(clean_txns: DataFrame, accounts: DataFrame, loans: DataFrame,
@@ -69,17 +67,7 @@ def build_customer_risk_metrics(clean_txns: DataFrame, accounts: DataFrame, loan
 def transaction_totals_from_grain(grain: DataFrame) -> DataFrame:
     """A1 from the (branch, customer) grain of the fact (``aggregates.customer_grain``):
     counts and exact sums add up exactly across a customer's branches."""
-    per_customer = (grain.where(F.col("customer_id").isNotNull()).groupBy("customer_id")
-                    .agg(F.sum("n").alias("total_transactions"), X.sum_exact("value").alias("value"),
-                         F.sum("n_amount").alias("n_amount"),
-                         F.sum("failed").alias("failed_transactions"),
-                         F.sum("high").alias("high_value_transactions")))
-    value = F.col("value").cast("double")
-    return per_customer.select(
-        "customer_id", "total_transactions",
-        value.alias("total_transaction_value"),
-        (value / F.col("n_amount")).alias("avg_transaction_value"),
-        F.col("failed_transactions").cast("long"), F.col("high_value_transactions").cast("long"))
+    return _customer_totals(grain.where(F.col("customer_id").isNotNull()))
 
 
 def customer_risk_from_totals(txn_totals: DataFrame, loans: DataFrame,

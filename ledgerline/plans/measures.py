@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerline.functions import exact as E
 from ledgerline.functions import exprs as X
 from ledgerline.plans.warehouse import Warehouse
 
@@ -36,6 +37,12 @@ def _stack(agg: DataFrame, names: dict[str, str]) -> DataFrame:
     return agg.select(F.explode(F.array(*rows)).alias("m")).select("m.*")
 
 
+def _counted(totals: DataFrame, acc: str) -> DataFrame:
+    """Accumulator as a double, 0 where nothing was counted."""
+    return totals.select(*[E.value(c).alias(c) if c == acc else F.coalesce(c, F.lit(0)).alias(c)
+                           for c in totals.columns])
+
+
 def _ratio_pct(part: Column, whole: Column) -> Column:
     """DIVIDE(part, whole, 0) * 100: zero when the whole is zero or blank."""
     return F.coalesce(F.try_divide(part.cast("double"), whole), F.lit(0.0)) * 100
@@ -45,23 +52,20 @@ def bi_measures(wh: Warehouse, year: int | None = None, branch_name: str | None
                 channel: str | None = None) -> DataFrame:
     """B1-B15 as rows; the transaction measures honour the slicers."""
     f = sliced_fact(wh, year, branch_name, channel)
-    n = F.count(F.lit(1))
-    failed = F.count_if(F.col("payment_status") == "Failed")
-    txn = f.agg(n.alias("b1"), X.sum_money("transaction_amount").alias("b2"),
-                X.avg_money("transaction_amount").alias("b3"),
-                F.count_distinct("customer_id").alias("b4"), failed.alias("b5"),
-                _ratio_pct(failed, n).alias("b6"),
-                F.count_if(F.col("is_high_value") == 1).alias("b7"))
-    tier = F.col("risk_tier")
-    risk = wh.customer_risk_metrics.agg(
+    is_ = lambda c, v: F.when(F.col(c) == v, 1).otherwise(0)
+    # by customer first: its rows with a customer are the active ones
+    by_customer = E.exact_totals(f, ["customer_id"], {"b2": "transaction_amount"}, {
+        "b1": F.lit(1), "n_amount": E.known("transaction_amount"), "b5": is_("payment_status", "Failed"),
+        "b7": is_("is_high_value", 1)}).withColumn("b4", E.known("customer_id"))
+    txn = _counted(E.roll_up(by_customer, [], "b2", ["b1", "n_amount", "b4", "b5", "b7"]), "b2").select(
+        "*", F.try_divide("b2", "n_amount").alias("b3"), _ratio_pct(F.col("b5"), F.col("b1")).alias("b6"))
+    risk = E.totals_by(wh.customer_risk_metrics, [], {"score": "risk_score"}, {
         # the mart has one row per customer
-        F.count_if(tier == "High").alias("b8"), F.count_if(tier == "Medium").alias("b9"),
-        F.count_if(tier == "Low").alias("b10"),
-        X.avg_money("risk_score").alias("b11"))
-    defaulted = F.count_if(F.col("loan_status") == "Defaulted")
-    loans = wh.fact_loan.agg(n.alias("b12"), defaulted.alias("b13"),
-                             _ratio_pct(defaulted, n).alias("b14"),
-                             X.sum_money("loan_amount").alias("b15"))
+        "b8": is_("risk_tier", "High"), "b9": is_("risk_tier", "Medium"), "b10": is_("risk_tier", "Low"),
+        "n": E.known("risk_score")}).select("*", F.try_divide("score", "n").alias("b11"))
+    loans = E.totals_by(wh.fact_loan, [], {"b15": "loan_amount"}, {
+        "b12": F.lit(1), "b13": is_("loan_status", "Defaulted")}).select(
+        "*", _ratio_pct(F.col("b13"), F.col("b12")).alias("b14"))
     return (_stack(txn, {"b1": "Total Transactions", "b2": "Total Transaction Value",
                          "b3": "Avg Transaction Value", "b4": "Active Customers",
                          "b5": "Failed Transactions", "b6": "Failed Transaction Rate %",
@@ -86,9 +90,11 @@ def data_quality_kpi(wh: Warehouse) -> DataFrame:
 
 
 def _monthly_value(wh: Warehouse) -> DataFrame:
-    f, d = wh.fact_transaction, F.broadcast(wh.dim_date)
-    return (f.join(d, f.transaction_date == d.date_key).groupBy("year_month")
-            .agg(X.sum_money("transaction_amount").alias("total_value")))
+    """By date first: only one row a day meets the calendar."""
+    by_day = E.exact_totals(wh.fact_transaction, ["transaction_date"], {"value": "transaction_amount"})
+    d = F.broadcast(wh.dim_date)
+    months = E.roll_up(by_day.join(d, by_day.transaction_date == d.date_key), ["year_month"], "value", [])
+    return months.select("year_month", E.value("value").alias("total_value"))
 
 
 def txn_value_mom(wh: Warehouse) -> DataFrame:
@@ -133,8 +139,8 @@ def fact_profile(wh: Warehouse) -> DataFrame:
 def calendar_daily_series(wh: Warehouse) -> DataFrame:
     """Every calendar day from the first to the last transaction, with its calendar
     columns, count and value (0 on days without any)."""
-    by_day = wh.fact_transaction.groupBy("transaction_date").agg(
-        F.count(F.lit(1)).alias("n"), X.sum_money("transaction_amount").alias("value"))
+    by_day = E.totals_by(wh.fact_transaction, ["transaction_date"], {"value": "transaction_amount"},
+                         {"n": F.lit(1)})
     span = by_day.agg(F.min("transaction_date").alias("first"), F.max("transaction_date").alias("last"))
     d = wh.dim_date
     days = d.join(F.broadcast(span), d.date_key.between(F.col("first"), F.col("last")))   # one row
@@ -147,25 +153,23 @@ def calendar_daily_series(wh: Warehouse) -> DataFrame:
 
 def txn_by_month_name(wh: Warehouse) -> DataFrame:
     """V3: transactions per calendar month name, in month order."""
-    f, d = wh.fact_transaction, F.broadcast(wh.dim_date)
-    return (f.join(d, f.transaction_date == d.date_key).groupBy("month", "month_name")
-            .agg(F.count(F.lit(1)).alias("txn_count")).orderBy("month"))
+    by_day = wh.fact_transaction.groupBy("transaction_date").agg(F.count(F.lit(1)).alias("n"))
+    d = F.broadcast(wh.dim_date)
+    return (by_day.join(d, by_day.transaction_date == d.date_key).groupBy("month", "month_name")
+            .agg(F.sum("n").alias("txn_count")).orderBy("month"))
 
 
 def txn_value_by_type(wh: Warehouse) -> DataFrame:
     """Value per transaction type."""
-    return (wh.fact_transaction.groupBy("transaction_type")
-            .agg(X.sum_money("transaction_amount").alias("total_value"))
+    return (E.totals_by(wh.fact_transaction, ["transaction_type"], {"total_value": "transaction_amount"})
             .orderBy(F.col("total_value").desc()))
 
 
 def txn_value_by_branch(wh: Warehouse) -> DataFrame:
     """Value per branch name."""
-    by_branch = wh.fact_transaction.groupBy("branch_id").agg(
-        X.sum_exact("transaction_amount").alias("value"))
-    return (by_branch.join(wh.dim_branch, "branch_id").groupBy("branch_name")
-            .agg(X.sum_money("value").alias("total_value"))
-            .orderBy(F.col("total_value").desc()))
+    by_branch = E.exact_totals(wh.fact_transaction, ["branch_id"], {"value": "transaction_amount"})
+    named = E.roll_up(by_branch.join(wh.dim_branch, "branch_id"), ["branch_name"], "value", [])
+    return named.select("branch_name", E.value("value").alias("total_value")).orderBy(F.col("total_value").desc())
 
 
 def high_value_by_branch(wh: Warehouse) -> DataFrame:

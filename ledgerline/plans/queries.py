@@ -1,7 +1,7 @@
 """The warehouse's fixed analytical questions (Q1-Q10) as DataFrame plans.
 
 Result types are pinned on purpose (T7): counts are BIGINT, money is an exact
-decimal sum returned as DOUBLE, rates and averages go through ``round2``.
+sum (``functions/exact.py``) returned as DOUBLE, rates and averages go through ``round2``.
 Top-k queries break ties on the id so the cut-off row is deterministic.
 The calendar dimension is broadcast explicitly: its size is fixed by the
 calendar years (4,748 rows), not by the data.
@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerline.functions import exact as E
 from ledgerline.functions import exprs as X
 from ledgerline.plans.warehouse import Warehouse
 
@@ -21,29 +22,37 @@ def _n() -> F.Column:
 
 
 # Q1 ---------------------------------------------------------------------------
+def _one() -> F.Column:
+    return F.lit(1)
+
+
+def _mean(total: str, n: str) -> F.Column:
+    return F.try_divide(F.col(total), F.col(n))
+
+
+AMOUNT = "transaction_amount"
+
+
 def total_txn_value(wh: Warehouse) -> DataFrame:
-    return wh.fact_transaction.agg(_n().alias("total_transactions"),
-                                   X.sum_money("transaction_amount")
-                                   .alias("total_transaction_value"))
+    t = E.totals_by(wh.fact_transaction, [], {"total_transaction_value": AMOUNT}, {"total_transactions": _one()})
+    return t.select("total_transactions", "total_transaction_value")
 
 
 def txn_value_by_month(wh: Warehouse) -> DataFrame:
-    return (wh.fact_transaction.groupBy("txn_year_month")
-            .agg(_n().alias("transaction_count"),
-                 X.sum_money("transaction_amount").alias("total_value"))
-            .orderBy("txn_year_month"))
+    t = E.totals_by(wh.fact_transaction, ["txn_year_month"], {"total_value": AMOUNT}, {"transaction_count": _one()})
+    return t.select("txn_year_month", "transaction_count", "total_value").orderBy("txn_year_month")
 
 
 # Q2 ---------------------------------------------------------------------------
 def avg_txn_amount(wh: Warehouse) -> DataFrame:
-    return wh.fact_transaction.agg(
-        X.round2(X.avg_money("transaction_amount")).alias("avg_transaction_amount"))
+    t = E.totals_by(wh.fact_transaction, [], {"value": AMOUNT}, {"n": E.known(AMOUNT)})
+    return t.select(X.round2(_mean("value", "n")).alias("avg_transaction_amount"))
 
 
 def avg_txn_by_type(wh: Warehouse) -> DataFrame:
-    return (wh.fact_transaction.groupBy("transaction_type")
-            .agg(_n().alias("txn_count"),
-                 X.round2(X.avg_money("transaction_amount")).alias("avg_amount"))
+    t = E.totals_by(wh.fact_transaction, ["transaction_type"], {"value": AMOUNT},
+                    {"txn_count": _one(), "n": E.known(AMOUNT)})
+    return (t.select("transaction_type", "txn_count", X.round2(_mean("value", "n")).alias("avg_amount"))
             .orderBy(F.col("avg_amount").desc(), "transaction_type"))
 
 
@@ -57,9 +66,9 @@ def high_value_detail(wh: Warehouse, k: int = 100) -> DataFrame:
 
 
 def high_value_summary(wh: Warehouse) -> DataFrame:
-    return (wh.fact_transaction.where(F.col("is_high_value") == 1)
-            .agg(_n().alias("high_value_txn_count"),
-                 X.sum_money("transaction_amount").alias("high_value_txn_total")))
+    high = wh.fact_transaction.where(F.col("is_high_value") == 1)
+    t = E.totals_by(high, [], {"high_value_txn_total": AMOUNT}, {"high_value_txn_count": _one()})
+    return t.select("high_value_txn_count", "high_value_txn_total")
 
 
 # Q4 ---------------------------------------------------------------------------
@@ -90,24 +99,26 @@ def top_risk_customers(wh: Warehouse, k: int = 20) -> DataFrame:
 
 def risk_tier_distribution(wh: Warehouse) -> DataFrame:
     """Flagship: customers, average score and credit, and value per risk tier."""
-    return (wh.customer_risk_metrics.groupBy("risk_tier")
-            .agg(_n().alias("customer_count"),
-                 X.round2(X.avg_money("risk_score")).alias("avg_risk_score"),
-                 X.round0(F.avg("credit_score")).alias("avg_credit_score"),
-                 X.sum_money("total_transaction_value").alias("total_txn_value"))
+    t = E.totals_by(wh.customer_risk_metrics, ["risk_tier"],
+                    {"score": "risk_score", "total_txn_value": "total_transaction_value"},
+                    {"customer_count": _one(), "n": E.known("risk_score"), "credit": F.col("credit_score"),
+                     "n_credit": E.known("credit_score")})
+    return (t.select("risk_tier", "customer_count", X.round2(_mean("score", "n")).alias("avg_risk_score"),
+                     X.round0(_mean("credit", "n_credit")).alias("avg_credit_score"), "total_txn_value")
             .orderBy(F.col("avg_risk_score").desc()))
 
 
 # Q6 ---------------------------------------------------------------------------
 def monthly_trend(wh: Warehouse) -> DataFrame:
-    f = wh.fact_transaction
+    """By date first (combined map-side): only one row a day meets the calendar."""
+    by_day = E.exact_totals(wh.fact_transaction, ["transaction_date"], {"value": AMOUNT},
+                            {"n": E.known("transaction_id"), "high": F.col("is_high_value")})
     d = F.broadcast(wh.dim_date)
-    return (f.join(d, f.transaction_date == d.date_key)
-            .groupBy("year", "month", "month_name")
-            .agg(F.count("transaction_id").alias("txn_count"),
-                 X.sum_money("transaction_amount").alias("total_value"),
-                 X.pct(F.sum("is_high_value"), F.count("transaction_id"))
-                 .alias("high_value_pct"))
+    months = E.roll_up(by_day.join(d, by_day.transaction_date == d.date_key), ["year", "month", "month_name"],
+                       "value", ["n", "high"])
+    return (months.select("year", "month", "month_name", F.col("n").alias("txn_count"),
+                          E.value("value").alias("total_value"),
+                          X.pct(F.col("high"), F.col("n")).alias("high_value_pct"))
             .orderBy("year", "month"))
 
 
@@ -115,16 +126,14 @@ def monthly_trend(wh: Warehouse) -> DataFrame:
 def branch_performance_sql(wh: Warehouse) -> DataFrame:
     # by branch and customer first (combined map-side), the branch names last:
     # the fact is never shuffled by branch
-    by_customer = wh.fact_transaction.groupBy("branch_id", "customer_id").agg(
-        F.count("transaction_id").alias("n"), X.sum_exact("transaction_amount").alias("value"),
-        F.sum("is_failed").alias("failed"))
-    by_branch = by_customer.groupBy("branch_id").agg(
-        F.sum("n").alias("total_transactions"), X.sum_money("value").alias("total_value"),
-        X.pct(F.sum("failed"), F.sum("n")).alias("failure_rate_pct"),
-        F.count("customer_id").alias("active_customers"))
+    by_customer = E.exact_totals(wh.fact_transaction, ["branch_id", "customer_id"], {"value": AMOUNT},
+                                 {"n": E.known("transaction_id"), "failed": F.col("is_failed")})
+    by_branch = E.roll_up(by_customer.withColumn("active_customers", E.known("customer_id")), ["branch_id"], "value",
+                          ["n", "failed", "active_customers"])
     return (by_branch.join(wh.dim_branch, "branch_id")
-            .select("branch_name", "city", "total_transactions", "total_value", "failure_rate_pct",
-                    "active_customers")
+            .select("branch_name", "city", F.col("n").alias("total_transactions"),
+                    E.value("value").alias("total_value"),
+                    X.pct(F.col("failed"), F.col("n")).alias("failure_rate_pct"), "active_customers")
             .orderBy(F.col("total_value").desc()))
 
 
@@ -138,10 +147,18 @@ def _account_branch_risk(wh: Warehouse) -> DataFrame:
 def branch_risk(wh: Warehouse) -> DataFrame:
     """Q7b as written: one row per *account*, so the average is account-weighted
     and ``high_risk_customers`` counts accounts of High customers (T8)."""
-    return (_account_branch_risk(wh).groupBy("branch_name")
-            .agg(F.count_distinct("customer_id").alias("customers_served"),
-                 X.round2(X.avg_money("risk_score")).alias("avg_customer_risk_score"),
-                 F.count_if(F.col("risk_tier") == "High").alias("high_risk_customers"))
+    # by branch and customer first: its rows are the distinct customers, and its counts the weights
+    per_customer = E.exact_totals(_account_branch_risk(wh), ["branch_name", "customer_id"], {"score": "risk_score"},
+                                  {"n": E.known("risk_score"), "high": X.flag(F.col("risk_tier") == "High")})
+    return _branch_risk(per_customer)
+
+
+def _branch_risk(per_customer: DataFrame) -> DataFrame:
+    t = E.roll_up(per_customer.withColumn("customers_served", E.known("customer_id")), ["branch_name"], "score",
+                  ["n", "high", "customers_served"])
+    return (t.select("branch_name", "customers_served",
+                     X.round2(F.try_divide(E.value("score"), F.col("n"))).alias("avg_customer_risk_score"),
+                     F.coalesce("high", F.lit(0).cast("long")).alias("high_risk_customers"))
             .orderBy(F.col("avg_customer_risk_score").desc(), "branch_name"))
 
 
@@ -150,11 +167,9 @@ def branch_risk_distinct(wh: Warehouse) -> DataFrame:
     per_customer = (_account_branch_risk(wh)
                     .select("branch_name", "customer_id", "risk_score", "risk_tier")
                     .dropDuplicates(["branch_name", "customer_id"]))
-    return (per_customer.groupBy("branch_name")
-            .agg(_n().alias("customers_served"),
-                 X.round2(X.avg_money("risk_score")).alias("avg_customer_risk_score"),
-                 F.count_if(F.col("risk_tier") == "High").alias("high_risk_customers"))
-            .orderBy(F.col("avg_customer_risk_score").desc(), "branch_name"))
+    return _branch_risk(E.exact_totals(
+        per_customer, ["branch_name", "customer_id"], {"score": "risk_score"},
+        {"n": E.known("risk_score"), "high": X.flag(F.col("risk_tier") == "High")}))
 
 
 # Q8 ---------------------------------------------------------------------------
@@ -169,10 +184,12 @@ def loan_default_rate(wh: Warehouse) -> DataFrame:
 
 
 def loan_default_by_type(wh: Warehouse) -> DataFrame:
-    return (wh.fact_loan.groupBy("loan_type")
-            .agg(*_default_aggs(_n()),
-                 X.round2(X.avg_money("interest_rate")).alias("avg_interest_rate"),
-                 X.sum_money("loan_amount").alias("total_loan_book"))
+    t = E.totals_by(wh.fact_loan, ["loan_type"], {"rate": "interest_rate", "total_loan_book": "loan_amount"},
+                    {"total_loans": _one(), "n_rate": E.known("interest_rate"),
+                     "defaulted_loans": F.when(F.col("loan_status") == "Defaulted", 1).otherwise(0)})
+    return (t.select("loan_type", "total_loans", "defaulted_loans",
+                     X.pct(F.col("defaulted_loans"), F.col("total_loans")).alias("default_rate_pct"),
+                     X.round2(_mean("rate", "n_rate")).alias("avg_interest_rate"), "total_loan_book")
             .orderBy(F.col("default_rate_pct").desc(), "loan_type"))
 
 

@@ -4,7 +4,7 @@ The whole pipeline is rebuilt in SQL from the driver's test views: the bridge
 to the five raw banking sources, the cleaners, the enriched fact, the risk
 mart, the DQ profile, and then each question. Every query is ``WITH <chain>
 SELECT ...``. Rounding and money follow the same rules as the Spark side:
-``round2`` rounds the decimal value; money is summed in exact decimals.
+``round2`` rounds the decimal value; money is summed exactly (``money``).
 """
 
 from __future__ import annotations
@@ -16,22 +16,41 @@ TXN_TYPES = ("('Deposit', 'Withdrawal', 'Transfer', 'Bill Payment', 'POS Purchas
 RUN_AT = "2026-01-01T00:00:00"
 
 
+def _rounded(x: str, places: int) -> str:
+    return (f"CASE WHEN abs({x}) < 1e15 THEN CAST(round(CAST(CASE WHEN abs({x}) < 1e15 THEN {x} END "
+            f"AS DECIMAL(38,6)), {places}) AS DOUBLE) ELSE {x} END")
+
+
 def r2(x: str) -> str:
-    return f"CAST(round(CAST({x} AS DECIMAL(18,6)), 2) AS DOUBLE)"
+    return _rounded(x, 2)
 
 
 def r0(x: str) -> str:
-    return f"CAST(round(CAST({x} AS DECIMAL(18,6)), 0) AS DOUBLE)"
+    return _rounded(x, 0)
 
 
 def money(x: str) -> str:
-    return f"CAST(sum(CAST({x} AS DECIMAL(28,6))) AS DOUBLE)"
+    """The exact sum of doubles as the nearest double: whole parts add up as big numbers, the
+    rest (a multiple of 2^-80 down to 4e-7) as 128-bit integers; the text of the result, with
+    all that decides the rounding, is read as a double."""
+    one = 2 ** 80
+    sums = (f"{{'h': sum(CAST(trunc({x}) AS BIGNUM)), "
+            f"'f': sum(CAST(({x} - trunc({x})) * {float(one)!r} AS HUGEINT))}}")
+    carried = (f"list_transform([{sums}], lambda s: {{'h': s.h + CAST(s.f // {one} AS BIGNUM), "
+               f"'f': s.f % {one}::HUGEINT}})")
+    small = f"CAST(CAST(CAST(CAST(t.h AS VARCHAR) AS HUGEINT) * {one} + t.f AS VARCHAR) AS DOUBLE) / {float(one)!r}"
+    # 20 bits of the rest as 20 decimals, then a 1 if anything stands below
+    digits = f"lpad(CAST((t.f // {2 ** 60}) * {5 ** 20} AS VARCHAR), 20, '0')"
+    large = (f"CAST(CAST(t.h AS VARCHAR) || '.' || {digits} || "
+             f"CASE WHEN t.f % {2 ** 60} > 0 THEN '1' ELSE '0' END AS DOUBLE)")
+    return (f"list_transform({carried}, lambda t: CASE WHEN length(CAST(t.h AS VARCHAR)) < 14 "
+            f"THEN {small} ELSE {large} END)[1]")
 
 
 def number(x: str) -> str:
-    """Only finite numbers below 1e22 count."""
+    """Only finite numbers count."""
     v = f"TRY_CAST({x} AS DOUBLE)"
-    return f"CASE WHEN isfinite({v}) AND abs({v}) < 1e22 THEN {v} END"
+    return f"CASE WHEN isfinite({v}) THEN {v} END"
 
 
 def avg_money(x: str) -> str:
@@ -134,7 +153,10 @@ raw_txn_base AS (
               ELSE {mixed(iso("l_shipdate"), "l_partkey")} END AS transaction_date,
          CASE WHEN l_partkey % 97 = 0 THEN -l_extendedprice WHEN l_partkey % 89 = 0 THEN NULL
               WHEN l_partkey % 83 = 5 THEN 'NaN'::DOUBLE WHEN l_partkey % 83 = 6 THEN 'Infinity'::DOUBLE
-              WHEN l_partkey % 83 = 7 THEN 1e300 ELSE l_extendedprice END AS transaction_amount,
+              WHEN l_partkey % 83 = 7 THEN 4e-7
+              WHEN l_partkey % 83 = 8 AND p_type = 'PROMO' AND {iso("l_shipdate")} LIKE '2021%' THEN 1e300
+              WHEN l_partkey % 83 = 9 AND p_type = 'SMALL' AND {iso("l_shipdate")} LIKE '2022%' THEN 1e22
+              ELSE l_extendedprice END AS transaction_amount,
          CASE WHEN l_suppkey = 13 THEN NULL ELSE {PART_TYPE} END AS transaction_type,
          CASE l_returnflag || l_linestatus WHEN 'RF' THEN 'Failed' WHEN 'NF' THEN 'Pending'
               WHEN 'AF' THEN 'Reversed' ELSE 'Success' END AS payment_status,
