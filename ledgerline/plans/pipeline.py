@@ -45,7 +45,7 @@ from ledgerline.operators.enrich import build_enriched_transactions, conform, fa
 from ledgerline.operators.risk import customer_risk_from_totals, transaction_totals_from_grain
 from ledgerline.plans.warehouse import Warehouse
 from ledgerline.sources import sinks
-from ledgerline.sources.bridge import RawTables
+from ledgerline.sources.ingest import RawTables
 
 
 CLEAN_TABLES = ("dim_customer", "dim_branch", "dim_account", "fact_loan", "fact_transaction",

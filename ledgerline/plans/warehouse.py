@@ -23,7 +23,8 @@ from ledgerline.operators import quality as Q
 from ledgerline.operators.calendar import build_dim_date
 from ledgerline.operators.enrich import build_enriched_transactions, conform, fact_transaction
 from ledgerline.operators.risk import build_customer_risk_metrics
-from ledgerline.sources.bridge import RawTables, bridge_raw
+from ledgerline.sources.bridge import bridge_raw
+from ledgerline.sources.ingest import RawTables
 
 DEFAULT_RUN_AT = "2026-01-01T00:00:00"
 DEFAULT_RUN_ID = 1

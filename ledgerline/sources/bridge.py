@@ -18,11 +18,11 @@ part table is under the broadcast threshold, a shuffle join otherwise).
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerline.sources.ingest import RawTables
+
 DATE_SHIFT_DAYS = 9131
 
 # Fixed mapping of the test enumerations onto the banking vocabulary.
@@ -46,20 +46,6 @@ EMI_STATUS_BY_MOD4 = ["Success", "Failed", "Pending", "Reversed"]
 TEST_TABLES = ("region", "nation", "customer", "part", "orders", "lineitem")
 
 
-@dataclass(frozen=True)
-class RawTables:
-    customers: DataFrame
-    branches: DataFrame
-    accounts: DataFrame
-    transactions: DataFrame
-    loans: DataFrame
-
-    def as_dict(self) -> dict[str, DataFrame]:
-        return {"customers": self.customers, "branches": self.branches,
-                "accounts": self.accounts, "transactions": self.transactions,
-                "loans": self.loans}
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

@@ -604,23 +604,31 @@ SOURCE_COLUMNS = {
 
 
 def _landed(source: str) -> str:
-    """What a good drop leaves: empty texts and NaN are missing values."""
-    cells = " + ".join(f"count(CASE WHEN CAST({c} AS VARCHAR) NOT IN ('', 'nan') THEN 1 END)"
-                       for c in SOURCE_COLUMNS[source].split(", "))
+    """What a good drop leaves: empty texts and NaN are missing values. Customers have a note
+    beside their columns; the branches in force are those of the second drop."""
+    cells = " + ".join([f"count(CASE WHEN CAST({c} AS VARCHAR) NOT IN ('', 'nan') THEN 1 END)"
+                        for c in SOURCE_COLUMNS[source].split(", ")]
+                       + ["count_if(customer_id % 5 = 0)"] * (source == "customers"))
     first = SOURCE_COLUMNS[source].split(", ")[0]
+    rows = f"raw_{source}" + " WHERE branch_id % 2 = 0" * (source == "branches")
     return (f"SELECT 'good' AS drop_kind, '{source}' AS source_name, 'SUCCESS' AS status, "
-            f"count(*) AS row_count, '' AS missing_columns, count(*) AS landed_rows, "
-            f"CAST({cells} AS BIGINT) AS cells, "
-            f"CAST(sum(length(CAST({first} AS VARCHAR))) AS BIGINT) AS id_characters FROM raw_{source}")
+            f"(SELECT count(*) FROM raw_{source}) AS row_count, CAST(0 AS BIGINT) AS malformed_rows, "
+            f"'' AS missing_columns, count(*) AS landed_rows, CAST({cells} AS BIGINT) AS cells, "
+            f"CAST(sum(length(CAST({first} AS VARCHAR))) AS BIGINT) AS id_characters FROM {rows}")
 
 
-def _refused(source: str, missing: str) -> str:
-    return (f"SELECT 'bad', '{source}', 'FAILED', CAST(0 AS BIGINT), '{missing}', CAST(0 AS BIGINT), "
+def _not_landed(kind: str, source: str, status: str, rows: str = "CAST(0 AS BIGINT)",
+                malformed: str = "CAST(0 AS BIGINT)", missing: str = "") -> str:
+    return (f"SELECT '{kind}', '{source}', '{status}', {rows}, {malformed}, '{missing}', CAST(0 AS BIGINT), "
             f"CAST(0 AS BIGINT), CAST(0 AS BIGINT)")
 
 
-INGEST_ROUNDTRIP = " UNION ALL ".join([*map(_landed, SOURCE_COLUMNS), _refused("loans", "loan_amount"),
-                                       _refused("branches", ""), _refused("accounts", "")])
+INGEST_ROUNDTRIP = " UNION ALL ".join([
+    *map(_landed, SOURCE_COLUMNS),
+    _not_landed("again", "branches", "SUCCESS", "(SELECT count(*) FROM raw_branches WHERE branch_id % 2 = 0)"),
+    _not_landed("bad", "loans", "FAILED", missing="loan_amount"), _not_landed("bad", "branches", "FAILED"),
+    _not_landed("bad", "accounts", "FAILED"), _not_landed("bad", "transactions", "FAILED"),
+    _not_landed("bad", "customers", "FAILED", *["(SELECT count(*) FROM raw_branches)"] * 2)])
 
 MONTHLY_VALUE = (f"SELECT d.year_month, {money('f.transaction_amount')} AS total_value "
                  f"FROM fact_transaction f JOIN dim_date d ON f.transaction_date = d.date_key "

@@ -102,3 +102,100 @@ def test_header_is_checked_before_the_rows(spark, scratch):
     result, _ = land(spark, scratch)
     assert result.missing_columns == ["branch_name", "country"] and result.row_count == 0
     assert not os.path.exists(f"{scratch}/landing/branches")
+
+
+def jobs_of(spark, fn):
+    """How many Spark jobs a call starts."""
+    tracker, group = spark.sparkContext.statusTracker(), f"ingest-{fn.__name__}-{id(fn)}"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        fn()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return len(tracker.getJobIdsForGroup(group))
+
+
+def test_the_number_of_jobs_does_not_follow_the_number_of_files(spark, scratch):
+    for n in (3, 60):
+        for i in range(n):
+            columns = BRANCH.split(",")[::-1 if i % 2 else 1]
+            values = dict(zip(BRANCH.split(","), (str(i), f"n{i}", "c", "d")))
+            write(f"{scratch}/{n}/part-{i}.csv", ",".join(columns) + "\n" + ",".join(values[c] for c in columns) + "\n")
+
+    def look(n):
+        def run():
+            rows = I.read_csv_text(spark, f"{scratch}/{n}").collect()
+            assert {(r.branch_id, r.branch_name) for r in rows} == {(str(i), f"n{i}") for i in range(n)}
+        return run
+    few, many = jobs_of(spark, look(3)), jobs_of(spark, look(60))
+    assert many <= few + 2, (few, many)
+
+
+def partitions_with_rows(df):
+    from pyspark.sql import functions as F
+    return df.select(F.spark_partition_id().alias("p")).distinct().count()
+
+
+def test_a_file_without_quoted_breaks_is_read_by_many_tasks(spark, scratch):
+    rows = "".join(f'{i},"name, ""{i}""",city,{i * 7}\n' for i in range(60_000))
+    write(f"{scratch}/plain.csv", f"{BRANCH}\n{rows}")
+    write(f"{scratch}/broken.csv", f'{BRANCH}\n{rows}x,"two\nlines",c,d\n')
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(256 * 1024))
+    try:
+        plain, broken = (I.read_csv_text(spark, f"{scratch}/{n}.csv") for n in ("plain", "broken"))
+        assert partitions_with_rows(plain) > 4 and plain.count() == 60_000
+        assert partitions_with_rows(broken) == 1 and broken.count() == 60_001
+        assert plain.exceptAll(broken).count() == 0
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_headers_with_breaks_blanks_and_repeated_names(spark, scratch):
+    write(f"{scratch}/a.csv", '\n"branch\nid",x,X,\n1,2,3,4\n')
+    df = I.read_csv_text(spark, f"{scratch}/a.csv")
+    assert df.columns == ["branch\nid", "x1", "X2", "_c3", "_extra"] and tuple(df.first()) == ("1", "2", "3", "4", None)
+    write(f"{scratch}/b.csv", 'id,id,\n1,2,3\n')
+    assert I.read_csv_text(spark, f"{scratch}/b.csv").columns == I._whole_header(spark, f"{scratch}/b.csv") + ["_extra"]
+
+
+def test_torn_rows_fail_and_stray_quotes_do_not(spark, scratch):
+    write(f"{scratch}/raw/branches.csv", f'{BRANCH}\n1,a,b,c\n2,"a,b\n3,x,y,z\n')
+    result, _ = land(spark, scratch)
+    assert result.status == "FAILED" and "inside a quoted field" in result.error
+    write(f"{scratch}/raw/branches.csv", f'{BRANCH}\n1,a 5" pipe,b,c\n2,"",b,"c"\n')
+    result, rows = land(spark, scratch)
+    assert result.status == "SUCCESS" and {r.branch_name for r in rows} == {'a 5" pipe', None}
+
+
+def test_a_reader_sees_the_old_partition_until_the_new_one_is_committed(spark, scratch, monkeypatch):
+    write(f"{scratch}/raw/branches.csv", f"{BRANCH}\n1,a,b,c\n")
+    land(spark, scratch)
+    seen, commit = [], I.commit
+
+    def watched(record, path, key):
+        # all of the new rows are written, the record isn't
+        seen.append(I.read_landing(spark, f"{scratch}/landing", "branches", "2026-01-02").count())
+        commit(record, path, key)
+    monkeypatch.setattr(I, "commit", watched)
+    write(f"{scratch}/raw/branches.csv", f"{BRANCH}\n1,a,b,c\n2,a,b,c\n")
+    result, rows = land(spark, scratch)
+    assert seen == [1] and len(rows) == 2
+
+    def lost(*_):
+        raise RuntimeError("driver lost before the commit")
+    monkeypatch.setattr(I, "commit", lost)
+    write(f"{scratch}/raw/branches.csv", f"{BRANCH}\n3,a,b,c\n")
+    result, _ = land(spark, scratch)
+    assert result.status == "FAILED"
+    assert I.read_landing(spark, f"{scratch}/landing", "branches", "2026-01-02").count() == 2
+
+
+def test_commit_records(spark, scratch):
+    from ledgerline.sources.commits import commit, in_force
+    path = f"{scratch}/log"
+    assert in_force(spark, path, ["k"]) is None
+    row = lambda k, v: spark.createDataFrame([(k, v)], "k string, v long")
+    for k, v in (("a", 1), ("b", 2), ("a", 3), (None, 4), (None, 5)):
+        commit(row(k, v), path, ["k"])
+    assert {(r.k, r.v) for r in in_force(spark, path, ["k"]).collect()} == {("a", 3), ("b", 2), (None, 5)}
