@@ -88,23 +88,32 @@ def keep_best(df: DataFrame, key: str, ranking: Sequence[tuple[str, str]],
 def losers(df: DataFrame, kept: DataFrame, key: str, reason: str) -> DataFrame:
     """Every row of ``df`` but one copy of each row in ``kept``, tagged.
 
-    Only keys that occur more than once can have losers. They are found by a
-    count that is combined map-side, so the rows of all other keys are neither
-    ranked nor compared. Of the rest, copies are counted and the winner's row
-    (equal on every column, null-safe) counts one less.
+    Only keys that occur more than once can have losers. They are found by a count
+    that is combined map-side. Rows and winners of other keys leave in semi-joins on the
+    key alone; what is left is compared by a fingerprint of the whole row (128 bits):
+    copies are counted, and the row with its key's winning fingerprint counts one less.
     """
+    columns = df.columns
     repeated = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(key)
-    counted = (df.join(repeated, key, "left_semi").select(df.columns)
-               .groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies")))
-    a, b = counted.alias("_all"), kept.withColumn("_won", F.lit(1)).alias("_kept")
-    same = [F.col(f"_all.`{c}`").eqNullSafe(F.col(f"_kept.`{c}`")) for c in df.columns]
-    left = F.col("_copies") - F.coalesce("_won", F.lit(0))
-    return (a.join(b, same, "left").withColumn("_left", left).where("_left > 0")
-            .select(*[F.col(f"_all.`{c}`") for c in df.columns],
-                    F.explode(F.sequence(F.lit(1).cast("long"), "_left")).alias("_copy"))
+    counted = (df.join(repeated, key, "left_semi").select(columns)
+               .groupBy(*columns).agg(F.count(F.lit(1)).alias("_copies"))
+               .withColumns(_fingerprint(columns)))
+    won = (kept.join(repeated, key, "left_semi").select(columns)
+           .withColumns(_fingerprint(columns)).select(F.col(key).alias("_key"), F.col("_f1").alias("_w1"),
+                                                      F.col("_f2").alias("_w2")))
+    same = ((F.col(key) == F.col("_key")) & (F.col("_f1") == F.col("_w1")) & (F.col("_f2") == F.col("_w2")))
+    left = F.col("_copies") - F.when(F.col("_key").isNotNull(), 1).otherwise(0)
+    return (counted.join(won, same, "left").withColumn("_left", left).where("_left > 0")
+            .select(*columns, F.explode(F.sequence(F.lit(1).cast("long"), "_left")).alias("_copy"))
             .drop("_copy").withColumn(REASON, F.lit(reason)))
 
 
+def _fingerprint(columns: list[str]) -> dict[str, Column]:
+    """Two hashes of a row. Which columns are NULL is part of them: the hash skips NULLs."""
+    nulls = F.concat(*[F.when(F.col(c).isNull(), "0").otherwise("1") for c in columns])
+    return {"_f1": F.xxhash64(nulls, *columns), "_f2": F.xxhash64(F.lit(1), *columns, nulls)}
+
+
 def _union_rejects(*frames: DataFrame) -> DataFrame:
     out = frames[0]
     for f in frames[1:]:

@@ -10,8 +10,9 @@ them. Semantics:
   the DQ consistency checks count NULL keys as failures instead).
 
 A table is scanned once for its PK and NOT NULL rows (counts per key, combined
-map-side) and once for all its foreign keys: their values are counted, again
-combined map-side, and only the distinct values meet the parents' keys.
+map-side). Each foreign key reads its own column and nothing else: values are counted
+in their own type, again combined map-side, and only the distinct ones meet the
+parent's keys, in an anti-join that AQE turns into a broadcast where the parent is small.
 """
 
 from __future__ import annotations
@@ -67,31 +68,21 @@ def _own(df: DataFrame, table: str) -> DataFrame:
         "table_name", "r.*")
 
 
-def _foreign(tables: dict[str, DataFrame], table: str) -> DataFrame:
-    """FK rows of one table from one scan: non-NULL values by column, counted,
-    without those that the parent has."""
-    keys = [(col, tables[parent], parent_col) for t, kind, col, parent, parent_col in CONSTRAINTS
-            if t == table and kind == "FK"]
-    values = F.explode(F.array(*[F.struct(F.lit(col).alias("column_name"),
-                                          F.col(col).cast("string").alias("key")) for col, _, _ in keys]))
-    counted = (tables[table].select(values.alias("v")).select("v.*").where(F.col("key").isNotNull())
-               .groupBy("column_name", "key").agg(F.count(F.lit(1)).alias("n")))
-    known = reduce(DataFrame.unionByName, [
-        parent.select(F.lit(col).alias("column_name"), F.col(parent_col).cast("string").alias("key"))
-        for col, parent, parent_col in keys])
-    lost = (counted.join(known, ["column_name", "key"], "left_anti").groupBy("column_name")
-            .agg(F.sum("n").alias("n")).groupBy().pivot("column_name", [c for c, _, _ in keys])
-            .agg(F.sum("n")))
-    rows = [F.struct(F.lit("FK").alias("constraint_kind"), F.lit(col).alias("column_name"),
-                     F.coalesce(F.col(col), F.lit(0)).cast("long").alias("violations"))
-            for col, _, _ in keys]
-    return lost.select(F.lit(table).alias("table_name"), F.explode(F.array(*rows)).alias("r")).select(
-        "table_name", "r.*")
+def _foreign(tables: dict[str, DataFrame], table: str, column: str, parent: str, parent_column: str) -> DataFrame:
+    """The FK row of one column: its non-NULL values, counted, without those that the parent has."""
+    counted = (tables[table].where(F.col(column).isNotNull()).groupBy(F.col(column).alias("_key"))
+               .agg(F.count(F.lit(1)).alias("n")))
+    known = tables[parent].select(F.col(parent_column).alias("_key"))
+    lost = counted.join(known, "_key", "left_anti")
+    return lost.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("violations")).select(
+        F.lit(table).alias("table_name"), F.lit("FK").alias("constraint_kind"), F.lit(column).alias("column_name"),
+        "violations")
 
 
 def check_constraints(tables: dict[str, DataFrame]) -> DataFrame:
     """One row per constraint: table_name, constraint_kind, column_name, violations."""
     names = list(dict.fromkeys(c[0] for c in CONSTRAINTS))
-    with_keys = [n for n in names if any(c[0] == n and c[1] == "FK" for c in CONSTRAINTS)]
-    parts = [_own(tables[n], n) for n in names] + [_foreign(tables, n) for n in with_keys]
+    parts = [_own(tables[n], n) for n in names]
+    parts += [_foreign(tables, t, col, parent, parent_col)
+              for t, kind, col, parent, parent_col in CONSTRAINTS if kind == "FK"]
     return reduce(DataFrame.unionByName, parts)

@@ -67,58 +67,57 @@ def _master(df: DataFrame, key: str) -> DataFrame:
     return staged(ids, f"master-{key}").withColumn("_in_master", F.lit(1))
 
 
-def _flagged(raw_txns: DataFrame, raw_accounts: DataFrame, txn_types: Sequence[str]
-             ) -> tuple[DataFrame, Column]:
-    """Per raw transaction its id, month and failed checks; the column that holds
-    for a row without any failure."""
-    flagged = _with_master_flag(raw_txns, raw_accounts).select(
-        F.col("transaction_id"),
-        F.date_format(X.parse_date("transaction_date"), "yyyy-MM").alias("month"),
-        F.col("transaction_id").isNull().alias("no_id"),
-        F.col("account_id").isNull().alias("no_account"),
-        F.col("transaction_amount").isNull().alias("no_amount"),
-        F.col("transaction_type").isNull().alias("no_type"),
-        (~X.ok(X.to_double("transaction_amount") > 0)).alias("bad_amount"),
-        X.parse_date("transaction_date").isNull().alias("bad_date"),
+#: Failed checks of a row, a bit each; the last two don't make a row unusable by themselves.
+FLAGS = {"missing_txn_id": 1, "missing_account_id": 2, "invalid_amount": 4, "invalid_date": 8,
+         "invalid_txn_type": 16, "orphan_txn_account": 32, "missing_amount": 64, "missing_type": 128}
+UNUSABLE = 63
+
+
+def _flagged(raw_txns: DataFrame, raw_accounts: DataFrame, txn_types: Sequence[str]) -> DataFrame:
+    """Per raw transaction its id, month and ``mask``, the bit field of its failed checks."""
+    date = X.parse_date("transaction_date")
+    failed = {
+        "missing_txn_id": F.col("transaction_id").isNull(),
+        "missing_account_id": F.col("account_id").isNull(),
+        "missing_amount": F.col("transaction_amount").isNull(),
+        "missing_type": F.col("transaction_type").isNull(),
+        "invalid_amount": ~X.ok(X.to_double("transaction_amount") > 0),
+        "invalid_date": date.isNull(),
         # no trim here, unlike the cleaner: the check sees the raw text
-        (~X.ok(F.col("transaction_type").isin(*txn_types))).alias("bad_type"),
-        F.col("_in_master").isNull().alias("orphan"))
-    valid = ~(F.col("no_id") | F.col("no_account") | F.col("bad_amount") | F.col("bad_date")
-              | F.col("bad_type") | F.col("orphan"))
-    return flagged, valid
+        "invalid_txn_type": ~X.ok(F.col("transaction_type").isin(*txn_types)),
+        "orphan_txn_account": F.col("_in_master").isNull(),
+    }
+    mask = sum((F.when(f, FLAGS[name]).otherwise(0) for name, f in failed.items()), F.lit(0))
+    return _with_master_flag(raw_txns, raw_accounts).select(
+        "transaction_id", F.date_format(date, "yyyy-MM").alias("month"), mask.cast("short").alias("mask"))
+
+
+def _has(name_or_bits: str | int) -> Column:
+    bits = FLAGS[name_or_bits] if isinstance(name_or_bits, str) else name_or_bits
+    return F.col("mask").cast("int").bitwiseAND(F.lit(bits)) != 0
 
 
 def transaction_profile(raw_txns: DataFrame, raw_accounts: DataFrame,
                         txn_types: Sequence[str] = S.TXN_TYPES) -> DataFrame:
     """One row: raw total, D1-D7, D9 and D11 failure counts, valid distinct ids.
 
-    Rows meet the master ids in one join (its hot accounts can be split), are
-    flagged once (the date parse and amount cast feed several checks), grouped
-    by transaction id with partial aggregation (a hot id is combined on the map
-    side), and the per-id counts are summed.
+    Rows meet the master ids in one join (its hot accounts can be split) and are
+    flagged once (the date parse and amount cast feed several checks); the id and the
+    bit field of each row are written. Failures are counted by bit field (256 groups at
+    most), so only an id and two counts travel to where ids are grouped (combined map-side).
     Duplicate ids (all members, NULL ids as one group) and "ids with at least
     one fully valid row" both fall out of the per-id counts.
     """
-    flagged, valid = _flagged(raw_txns, raw_accounts, txn_types)
-    flags = ("no_id", "no_account", "no_amount", "no_type", "bad_amount", "bad_date",
-             "bad_type", "orphan")
+    flagged = staged(_flagged(raw_txns, raw_accounts, txn_types).drop("month"), "flagged")
+    by_mask = flagged.groupBy("mask").agg(F.count(F.lit(1)).alias("n"))
+    count = lambda which: F.coalesce(F.sum(F.when(which, F.col("n"))), F.lit(0)).cast("long")
+    totals = by_mask.agg(count(F.lit(True)).alias("total"), *[count(_has(name)).alias(name) for name in FLAGS])
     per_id = flagged.groupBy("transaction_id").agg(
-        F.count(F.lit(1)).alias("n"), F.count_if(valid).alias("n_valid"),
-        *[F.count_if(f).alias(f) for f in flags])
-    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("long")
-    return per_id.agg(
-        total("n").alias("total"),
-        total("no_id").alias("missing_txn_id"),
-        total("no_account").alias("missing_account_id"),
-        total("no_amount").alias("missing_amount"),
-        total("no_type").alias("missing_type"),
-        total("bad_amount").alias("invalid_amount"),
-        total("bad_date").alias("invalid_date"),
-        total("bad_type").alias("invalid_txn_type"),
-        total("orphan").alias("orphan_txn_account"),
-        total(F.when(F.col("n") > 1, F.col("n"))).alias("duplicate_txn_ids"),
-        F.count_if(F.col("n_valid") > 0).alias("valid_ids"),
-    )
+        F.count(F.lit(1)).alias("n"), F.count_if(~_has(UNUSABLE)).alias("n_valid"))
+    ids = per_id.agg(
+        F.coalesce(F.sum(F.when(F.col("n") > 1, F.col("n"))), F.lit(0)).cast("long").alias("duplicate_txn_ids"),
+        F.count_if(F.col("n_valid") > 0).alias("valid_ids"))
+    return totals.join(F.broadcast(ids))                        # one row each
 
 
 def account_profile(raw_accounts: DataFrame, raw_customers: DataFrame,
@@ -208,7 +207,7 @@ def monthly_log(raw_txns: DataFrame, raw_accounts: DataFrame,
     """``data_quality_log`` rows as if a run had scored each month's transactions
     on their own: a log of many runs. Rows without a readable date belong to no
     month. Counts per id and month are combined map-side."""
-    flagged, valid = _flagged(raw_txns, raw_accounts, txn_types)
+    flagged, valid = _flagged(raw_txns, raw_accounts, txn_types), ~_has(UNUSABLE)
     per_id = (flagged.where(F.col("month").isNotNull()).groupBy("month", "transaction_id")
               .agg(F.count(F.lit(1)).alias("n"), F.max(valid).alias("valid")))
     by_month = per_id.groupBy("month").agg(F.sum("n").alias("total"), F.count_if("valid").alias("good"))

@@ -17,20 +17,23 @@ independent writes are submitted together from driver threads.
 4. The quality checks read only the raw sources: they run in the background
    from the start and are joined before the gate, which stops the warehouse
    load when enforced.
-5. The warehouse is the clean zone conformed to the star-schema columns, plus
-   the calendar and the appended quality log, all written: ``read_warehouse``
-   opens it in any session.
-
-Paths: ``out_root`` must be a shared folder on a cluster. Counts come from
-``Observation``s on the writes.
+5. The load adds the calendar, puts the run's row into the quality log and, last,
+   commits a record that names the run's tables. ``read_warehouse`` follows the newest
+   record in any session and conforms the tables to the star-schema columns, so
+   nothing is written twice, and a reader during a run, or after one that was
+   lost, has the warehouse of the run before.
+
+Paths: ``out_root`` must be a shared folder on a cluster; each run has a folder of
+its own in it. Counts come from ``Observation``s on the writes.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import time
+import uuid
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field, fields
+from dataclasses import dataclass, field
 from typing import Callable
 
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -41,10 +44,11 @@ from ledgerline.operators import aggregates as A
 from ledgerline.operators import clean as C
 from ledgerline.operators import quality as DQ
 from ledgerline.operators.calendar import build_dim_date
-from ledgerline.operators.enrich import build_enriched_transactions, conform, fact_transaction
+from ledgerline.operators.enrich import build_enriched_transactions, conform
 from ledgerline.operators.risk import customer_risk_from_totals, transaction_totals_from_grain
 from ledgerline.plans.warehouse import Warehouse
 from ledgerline.sources import sinks
+from ledgerline.sources.commits import commit, in_force
 from ledgerline.sources.ingest import RawTables
 
 
@@ -58,7 +62,8 @@ REJECT_TABLES = ("customers_rejected", "accounts_rejected", "loans_rejected",
 @dataclass
 class PipelineResult:
     warehouse: Warehouse
-    clean_root: str
+    out_root: str
+    run_root: str
     counts: dict[str, int] = field(default_factory=dict)
     timings: dict[str, float] = field(default_factory=dict)
     scorecard: Row | None = None
@@ -106,8 +111,8 @@ def write_fact(enriched: DataFrame, root: str) -> int:
 
 def run_clean_zone(spark: SparkSession, raw: RawTables, clean_root: str,
                    reject_root: str, staging_root: str, counts: dict[str, int],
-                   clock: _Clock) -> dict[str, DataFrame]:
-    """Clean, split, enrich and roll up; returns the written tables, re-read."""
+                   clock: _Clock) -> None:
+    """Clean, split, enrich and roll up; every table is written."""
     rd = lambda root, name: sinks.read_table(spark, root, name)
     w = sinks.write_table
 
@@ -185,9 +190,6 @@ def run_clean_zone(spark: SparkSession, raw: RawTables, clean_root: str,
                                         clean_root, "branch_performance"),
     }))
     clock.lap("clean_wave3_rollups")
-    dims["fact_transaction"] = fact
-    dims["customer_risk_metrics"] = rd(clean_root, "customer_risk_metrics")
-    return dims
 
 
 def run_quality(raw: RawTables, threshold: float, report_root: str | None,
@@ -211,11 +213,30 @@ def run_quality(raw: RawTables, threshold: float, report_root: str | None,
     return score, check_rows
 
 
-def read_warehouse(spark: SparkSession, wh_root: str) -> Warehouse:
-    """The warehouse that an earlier run wrote, in this or another session."""
-    tables = {f.name: sinks.read_table(spark, wh_root, f.name) for f in fields(Warehouse)}
-    tables["fact_transaction"] = tables["fact_transaction"].select(*S.FACT_TXN_COLUMNS)
-    return Warehouse(**tables)
+#: Warehouse tables as the clean zone has them: columns and, where they are pinned, types.
+CONFORMED = {
+    "dim_branch": (S.DIM_BRANCH_COLUMNS, None),
+    "dim_customer": (S.DIM_CUSTOMER_COLUMNS, S.WAREHOUSE_TYPES["dim_customer"]),
+    "dim_account": (S.DIM_ACCOUNT_COLUMNS, S.WAREHOUSE_TYPES["dim_account"]),
+    "fact_transaction": (S.FACT_TXN_COLUMNS, S.WAREHOUSE_TYPES["fact_transaction"]),
+    "fact_loan": (S.FACT_LOAN_COLUMNS, S.WAREHOUSE_TYPES["fact_loan"]),
+    "customer_risk_metrics": (S.RISK_COLUMNS, None),
+}
+
+
+def _warehouse_commits(out_root: str) -> str:
+    return f"{out_root.rstrip('/')}/_commits/warehouse"
+
+
+def read_warehouse(spark: SparkSession, out_root: str) -> Warehouse:
+    """The warehouse of the newest committed run, in this or another session."""
+    record = in_force(spark, _warehouse_commits(out_root), ["name"])
+    if record is None:
+        raise FileNotFoundError(f"no run has loaded a warehouse into {out_root}")
+    paths = record.first()["tables"]
+    read = {name: spark.read.parquet(path) for name, path in paths.items()}
+    tables = {name: conform(read[name], columns, types) for name, (columns, types) in CONFORMED.items()}
+    return Warehouse(dim_date=read["dim_date"], data_quality_log=sinks.read_dq_log(spark, out_root), **tables)
 
 
 def run_pipeline(spark: SparkSession, raw: RawTables, out_root: str,
@@ -230,17 +251,18 @@ def run_pipeline(spark: SparkSession, raw: RawTables, out_root: str,
     log row and the load continues.
     """
     out_root = out_root.rstrip("/")
-    clean_root, reject_root = f"{out_root}/clean", f"{out_root}/rejected"
-    staging_root, wh_root = f"{out_root}/staging", f"{out_root}/warehouse"
     run_at = run_at or dt.datetime.now().replace(microsecond=0).isoformat()
+    run_id = int(run_at.replace("-", "").replace(":", "").replace("T", "")[:14])
+    run_root = f"{out_root}/runs/{run_id}-{uuid.uuid4().hex}"
+    clean_root, reject_root, staging_root = (f"{run_root}/{x}" for x in ("clean", "rejected", "staging"))
     counts: dict[str, int] = {}
     clock = _Clock()
     # the quality pass reads only the raw sources: it runs in the background
     # through all three cleaning waves and is joined before the gate
     with ThreadPoolExecutor(max_workers=1) as background:
         quality = background.submit(run_quality, raw, threshold,
-                                    f"{out_root}/reports", spark)
-        tables = run_clean_zone(spark, raw, clean_root, reject_root, staging_root, counts, clock)
+                                    f"{run_root}/reports", spark)
+        run_clean_zone(spark, raw, clean_root, reject_root, staging_root, counts, clock)
         score, check_rows = quality.result()
     clock.lap("quality_wait")
     if enforce_gate and not score["passed_quality_gate"]:
@@ -248,7 +270,6 @@ def run_pipeline(spark: SparkSession, raw: RawTables, out_root: str,
             f"data quality score {score['data_quality_score_pct']}% is below the gate "
             f"{score['quality_gate_threshold_pct']}%")
 
-    run_id = int(run_at.replace("-", "").replace(":", "").replace("T", "")[:14])
     log_row = spark.createDataFrame(
         [(run_id, run_at, score["total_records"], score["valid_records"],
           score["rejected_records"], float(score["data_quality_score_pct"]),
@@ -256,25 +277,14 @@ def run_pipeline(spark: SparkSession, raw: RawTables, out_root: str,
         "run_id long, run_at string, total_records long, valid_records long, "
         "rejected_records long, data_quality_score_pct double, passed_quality_gate int")
     counts.update(run_parallel({
-        "data_quality_log_appended": lambda: sinks.append_dq_log(log_row, wh_root),
-        "dim_date": lambda: sinks.write_table(build_dim_date(spark), wh_root, "dim_date"),
+        "data_quality_log": lambda: sinks.append_dq_log(log_row, out_root),
+        "dim_date": lambda: sinks.write_table(build_dim_date(spark), clean_root, "dim_date"),
     }))
-    # the conformed tables are written, so the warehouse outlives the session
-    T = S.WAREHOUSE_TYPES
-    conformed = {
-        "dim_branch": conform(tables["dim_branch"], S.DIM_BRANCH_COLUMNS),
-        "dim_customer": conform(tables["dim_customer"], S.DIM_CUSTOMER_COLUMNS, T["dim_customer"]),
-        "dim_account": conform(tables["dim_account"], S.DIM_ACCOUNT_COLUMNS, T["dim_account"]),
-        "fact_loan": conform(tables["fact_loan"], S.FACT_LOAN_COLUMNS, T["fact_loan"]),
-        "customer_risk_metrics": conform(tables["customer_risk_metrics"], S.RISK_COLUMNS),
-    }
-    fact = fact_transaction(tables["fact_transaction"])
-    run_parallel({
-        # the month folders are read one by one, so no shuffle is needed to keep them
-        "fact_transaction": lambda: sinks.write_table(fact, wh_root, "fact_transaction",
-                                                      partition_by=["txn_year_month"]),
-        **{n: (lambda n=n, df=df: sinks.write_table(df, wh_root, n)) for n, df in conformed.items()}})
-    wh = read_warehouse(spark, wh_root)
+    # the tables are written: from here on readers of the warehouse see this run
+    paths = {name: f"{clean_root}/{name}" for name in ("dim_date", *CONFORMED)}
+    commit(spark.createDataFrame([("warehouse", run_id, paths)], "name string, run_id long, tables map<string,string>"),
+           _warehouse_commits(out_root), ["name"])
+    wh = read_warehouse(spark, out_root)
     if register_views:
         for name, df in wh.tables().items():
             df.createOrReplaceTempView(name)
@@ -289,4 +299,4 @@ def run_pipeline(spark: SparkSession, raw: RawTables, out_root: str,
         written.update({n: sinks.read_table(spark, reject_root, n) for n in REJECT_TABLES})
         written["transactions_best"] = sinks.read_table(spark, staging_root,
                                                         "transactions_best")
-    return PipelineResult(wh, clean_root, counts, clock.timings, score, check_rows, written)
+    return PipelineResult(wh, out_root, run_root, counts, clock.timings, score, check_rows, written)

@@ -133,6 +133,7 @@ class TestData(NamedTuple):
     cz: CleanZone
     wh: Warehouse
     zone: dict[str, DataFrame]     # every written table (clean, rejected, staged)
+    run: object                    # the PipelineResult: counts, folders, checks
 
 
 _CACHE: dict[tuple[str, str], TestData] = {}
@@ -155,5 +156,5 @@ def from_testdata(spark: SparkSession, sf_dir: str) -> TestData:
                        accounts_rejected=z["accounts_rejected"], transactions=clean_txns,
                        transactions_rejected=z["transactions_rejected"], loans=z["fact_loan"],
                        loans_rejected=z["loans_rejected"])
-        _CACHE[key] = TestData(raw, cz, run.warehouse, z)
+        _CACHE[key] = TestData(raw, cz, run.warehouse, z, run)
     return _CACHE[key]

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.session import ensure_checkpoint_dir
+from ledgerline.sources.commits import commit, in_force
 
 # What makes a CSV file readable by any other tool: quotes are doubled, blanks kept.
 CSV_DIALECT = {"header": "true", "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "false",
@@ -44,9 +45,17 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return read_table(spark, root, name)
 
 
-def append_dq_log(log_rows: DataFrame, root: str) -> int:
-    """The log grows by one row per run (append, never rebuilt)."""
-    return write_table(log_rows, root, "data_quality_log", mode="append")
+def append_dq_log(log_row: DataFrame, root: str) -> int:
+    """The log has one row per run_id; a run that is repeated replaces its row."""
+    commit(log_row, f"{root.rstrip('/')}/data_quality_log", ["run_id"])
+    return 1
+
+
+def read_dq_log(spark: SparkSession, root: str) -> DataFrame:
+    log = in_force(spark, f"{root.rstrip('/')}/data_quality_log", ["run_id"])
+    if log is None:
+        raise FileNotFoundError(f"no run is logged in {root}")
+    return log
 
 
 def write_json(df: DataFrame, path: str) -> None:

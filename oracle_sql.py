@@ -630,6 +630,20 @@ INGEST_ROUNDTRIP = " UNION ALL ".join([
     _not_landed("bad", "accounts", "FAILED"), _not_landed("bad", "transactions", "FAILED"),
     _not_landed("bad", "customers", "FAILED", *["(SELECT count(*) FROM raw_branches)"] * 2)])
 
+WAREHOUSE_CTES = {"dim_date": "dim_date", "dim_branch": "clean_branches", "dim_customer": "clean_customers",
+                  "dim_account": "clean_accounts", "fact_transaction": "fact_transaction",
+                  "fact_loan": "clean_loans", "customer_risk_metrics": "customer_risk_metrics",
+                  "data_quality_log": "data_quality_log"}
+
+RUN_OUTPUTS = " UNION ALL ".join([
+    "SELECT 'manifest' AS output, 'branches SUCCESS not ok' AS item, count(*) AS n FROM raw_branches",
+    "SELECT 'manifest', 'loans SUCCESS not ok', count(*) FROM raw_loans",
+    "SELECT 'manifest', 'accounts FAILED not ok', CAST(0 AS BIGINT)",
+    *[f"SELECT '{x}', check_name, failed_records FROM ({DQ_CHECKS})" for x in ("check", "scorecard line")],
+    *[f"SELECT 'score', '{c}', {c} FROM dq_scorecard" for c in ("total_records", "valid_records", "rejected_records")],
+    *[f"SELECT '{x}', '{name}', count(*) FROM {cte}" for name, cte in WAREHOUSE_CTES.items()
+      for x in ("extract", "rows written")]])
+
 MONTHLY_VALUE = (f"SELECT d.year_month, {money('f.transaction_amount')} AS total_value "
                  f"FROM fact_transaction f JOIN dim_date d ON f.transaction_date = d.date_key "
                  f"GROUP BY d.year_month")
@@ -843,6 +857,9 @@ def _queries() -> dict[str, str]:
             f"WHERE d.date_key BETWEEN (SELECT min(transaction_date) FROM fact_transaction) "
             f"AND (SELECT max(transaction_date) FROM fact_transaction) ORDER BY d.date_key"),
         "ingest_roundtrip": _q(INGEST_ROUNDTRIP),
+        "run_outputs": _q(RUN_OUTPUTS),
+        "quality_log_rerun": _q("SELECT CAST(20260101000000 AS BIGINT) AS run_id, * EXCLUDE (run_id) "
+                                "FROM data_quality_log"),
         "txn_value_mom": _q(
             f"SELECT m.year_month, m.total_value, p.total_value AS prior_value, "
             f"{r2('CASE WHEN p.total_value IS NULL OR p.total_value = 0 THEN 0.0 ELSE (m.total_value - p.total_value) / p.total_value * 100 END')}"

@@ -81,7 +81,7 @@ def test_written_tables_have_their_types(result):
     """The contract layer shows dates as text; what is written has real types."""
     from ledgerline.plans.pipeline import read_warehouse
     spark = result.warehouse.dim_date.sparkSession
-    wh = read_warehouse(spark, result.clean_root.replace("/clean", "/warehouse"))
+    wh = read_warehouse(spark, result.out_root)
     types = {n: dict(df.dtypes) for n, df in wh.tables().items()}
     assert types["dim_date"]["date_key"] == "date"
     assert types["dim_customer"]["dob"] == types["dim_customer"]["customer_since"] == "date"
@@ -122,6 +122,34 @@ def test_quality_log_accumulates_runs(spark):
     assert kpi.data_quality_score_max.endswith("%")
 
 
+def test_a_repeated_run_replaces_its_log_row_and_a_lost_one_changes_nothing(spark, monkeypatch):
+    from ledgerline.plans import pipeline as P
+    out = f"{spark.conf.get('spark.checkpoint.dir')}/rerun-{uuid.uuid4().hex}"
+    raw = bridge_raw(spark, SMOKE)
+    with pytest.raises(FileNotFoundError):
+        P.read_warehouse(spark, out)
+    first = run_pipeline(spark, raw, out, run_at="2026-01-01T00:00:00", enforce_gate=False)
+    again = run_pipeline(spark, raw, out, run_at="2026-01-01T00:00:00", enforce_gate=False, threshold=50.0)
+    log = P.read_warehouse(spark, out).data_quality_log.collect()
+    assert len(log) == 1 and log[0].passed_quality_gate == 1
+    # an open reader of the first run still has its tables
+    assert same(first.warehouse.fact_transaction, again.warehouse.fact_transaction)
+
+    def lost(*_):
+        raise RuntimeError("driver lost before the commit")
+    monkeypatch.setattr(P, "commit", lost)
+    fewer = type(raw)(**{**raw.as_dict(), "transactions": raw.transactions.where("transaction_id % 2 = 0")})
+    with pytest.raises(RuntimeError):
+        run_pipeline(spark, fewer, out, run_at="2026-01-02T00:00:00", enforce_gate=False)
+    assert P.read_warehouse(spark, out).fact_transaction.count() == again.counts["fact_transaction"]
+
+
+def test_the_fact_is_written_once(result):
+    import glob
+    found = glob.glob(f"{result.out_root.removeprefix('file://')}/**/fact_transaction", recursive=True)
+    assert len([f for f in found if "/extracts/" not in f]) == 1
+
+
 def test_landing_read_uses_latest_transactions_partition(spark, scratch):
     from ledgerline.sources.ingest import ingest_all, read_latest_landing, write_raw_csv
     raw = bridge_raw(spark, SMOKE)

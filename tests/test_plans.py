@@ -59,8 +59,9 @@ def test_calendar_is_broadcast(lazy):
     assert "BroadcastHashJoin" in plan(df)
 
 
-def test_constraints_scan_the_fact_twice(spark, scratch):
+def test_foreign_keys_read_one_typed_column_each(spark, scratch):
     import os
+    import re
 
     from ledgerline.operators.constraints import check_constraints
     from ledgerline.plans.warehouse import from_testdata
@@ -69,8 +70,33 @@ def test_constraints_scan_the_fact_twice(spark, scratch):
         df.write.parquet(f"{scratch}/{name}")
         tables[name] = spark.read.parquet(f"{scratch}/{name}")
     p = plan(check_constraints(tables))
-    scans = [line for line in p.splitlines() if "FileScan" in line and f"{os.path.basename(scratch)}/fact_transaction" in line]
-    assert 1 <= len(scans) <= 2
+    reads = [re.search("ReadSchema: struct<(.*?)>", line)[1] for line in p.splitlines()
+             if "FileScan" in line and f"{os.path.basename(scratch)}/fact_transaction" in line]
+    keys = ["account_id:bigint", "customer_id:bigint", "branch_id:bigint", "transaction_date:date"]
+    assert sorted(r for r in reads if "," not in r) == sorted(keys) and len(reads) == 5
+    assert "Generate explode" not in p.replace("Generate explode(array(struct(", "") and "as string" not in p
+
+
+def test_losers_move_by_key_and_fingerprint_only(spark, scratch):
+    import re
+
+    from ledgerline.operators.clean import losers
+    rows = [(i % 900, float(i), f"text {i}") for i in range(1000)]
+    spark.createDataFrame(rows, "k long, x double, s string").write.parquet(f"{scratch}/rows")
+    df = spark.read.parquet(f"{scratch}/rows")
+    df.where("x < 900").write.parquet(f"{scratch}/kept")
+    kept = spark.read.parquet(f"{scratch}/kept")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        lost = losers(df, kept, "k", "why")
+        assert {(r.k, r.x) for r in lost.collect()} == {(i % 900, float(i)) for i in range(900, 1000)}
+        lines = plan(losers(df, kept, "k", "why")).splitlines()
+        at = next(i for i, x in enumerate(lines) if "FileScan" in x and "/kept" in x)
+        above = next(x for x in reversed(lines[:at]) if "Exchange" in x)
+        assert re.search(r"hashpartitioning\(k#\d+L?, \d+\)", above), above
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
 def test_the_fact_is_aggregated_before_it_meets_the_branches(spark, scratch):

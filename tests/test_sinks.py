@@ -13,11 +13,11 @@ def test_write_table_counts_and_partitions(spark, scratch):
     assert sinks.read_table(spark, scratch, "t").count() == 4
 
 
-def test_log_appends(spark, scratch):
-    row = spark.createDataFrame([(1, "2026-01-01T00:00:00")], "run_id long, run_at string")
-    assert sinks.append_dq_log(row, scratch) == 1
-    assert sinks.append_dq_log(row, scratch) == 1
-    assert sinks.read_table(spark, scratch, "data_quality_log").count() == 2
+def test_log_is_keyed_by_run(spark, scratch):
+    row = lambda i, at: spark.createDataFrame([(i, at)], "run_id long, run_at string")
+    for i, at in ((1, "a"), (2, "b"), (1, "c"), (1, "d")):
+        assert sinks.append_dq_log(row(i, at), scratch) == 1
+    assert {tuple(r) for r in sinks.read_dq_log(spark, scratch).collect()} == {(1, "d"), (2, "b")}
 
 
 def test_extracts_and_reports(spark, scratch):
