@@ -89,16 +89,17 @@ def losers(df: DataFrame, kept: DataFrame, key: str, reason: str) -> DataFrame:
     """Every row of ``df`` but one copy of each row in ``kept``, tagged.
 
     Only keys that occur more than once can have losers. They are found by a count
-    that is combined map-side. Rows and winners of other keys leave in semi-joins on the
-    key alone; what is left is compared by a fingerprint of the whole row (128 bits):
-    copies are counted, and the row with its key's winning fingerprint counts one less.
+    that is combined map-side. Rows and winners of other keys leave before they are shuffled,
+    as far as a hash class tells them apart, and else in a join on the key alone. What is left
+    is compared by a fingerprint of the whole row (128 bits): copies are counted, and the row
+    with its key's winning fingerprint counts one less.
     """
     columns = df.columns
     repeated = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(key)
-    counted = (df.join(repeated, key, "left_semi").select(columns)
+    counted = (_of_keys(df, repeated, key)
                .groupBy(*columns).agg(F.count(F.lit(1)).alias("_copies"))
                .withColumns(_fingerprint(columns)))
-    won = (kept.join(repeated, key, "left_semi").select(columns)
+    won = (_of_keys(kept.select(columns), repeated, key)
            .withColumns(_fingerprint(columns)).select(F.col(key).alias("_key"), F.col("_f1").alias("_w1"),
                                                       F.col("_f2").alias("_w2")))
     same = ((F.col(key) == F.col("_key")) & (F.col("_f1") == F.col("_w1")) & (F.col("_f2") == F.col("_w2")))
@@ -108,6 +109,18 @@ def losers(df: DataFrame, kept: DataFrame, key: str, reason: str) -> DataFrame:
             .drop("_copy").withColumn(REASON, F.lit(reason)))
 
 
+KEY_CLASSES = 1 << 20
+
+
+def _of_keys(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """Rows whose key is among ``keys``. The classes of those keys' hashes (at most
+    ``KEY_CLASSES`` numbers, so safe to broadcast) let most other rows go before the shuffle."""
+    of = F.pmod(F.xxhash64(key), F.lit(KEY_CLASSES)).cast("int")
+    classes = keys.select(of.alias("_class")).distinct()
+    return (df.withColumn("_class", of).join(F.broadcast(classes), "_class", "left_semi")
+            .join(keys, key, "left_semi").select(df.columns))
+
+
 def _fingerprint(columns: list[str]) -> dict[str, Column]:
     """Two hashes of a row. Which columns are NULL is part of them: the hash skips NULLs."""
     nulls = F.concat(*[F.when(F.col(c).isNull(), "0").otherwise("1") for c in columns])

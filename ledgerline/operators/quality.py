@@ -51,14 +51,6 @@ def pass_rate(total: Column, failed: Column) -> Column:
         X.round2((total - failed).cast("double") / total * 100))
 
 
-def _with_master_flag(raw_txns: DataFrame, raw_accounts: DataFrame) -> DataFrame:
-    """Raw transactions + ``_in_master`` (1/NULL). Distinct ids: no fan-out.
-
-    A NULL account id never matches, so it counts as "not in master" (J11).
-    """
-    return raw_txns.join(_master(raw_accounts, "account_id"), "account_id", "left")
-
-
 def _master(df: DataFrame, key: str) -> DataFrame:
     """The distinct non-NULL keys with ``_in_master``, written and read back: an
     aggregate between the shuffle and the join would keep AQE from splitting a
@@ -74,7 +66,12 @@ UNUSABLE = 63
 
 
 def _flagged(raw_txns: DataFrame, raw_accounts: DataFrame, txn_types: Sequence[str]) -> DataFrame:
-    """Per raw transaction its id, month and ``mask``, the bit field of its failed checks."""
+    """Per raw transaction its id, month and ``mask``, the bit field of its failed checks.
+
+    All that a row says of itself is in its mask before it meets the master ids, so
+    only ids, month and mask are shuffled. A NULL account id never matches, so it counts as
+    "not in master" (J11); the master ids are distinct, so nothing fans out.
+    """
     date = X.parse_date("transaction_date")
     failed = {
         "missing_txn_id": F.col("transaction_id").isNull(),
@@ -85,11 +82,13 @@ def _flagged(raw_txns: DataFrame, raw_accounts: DataFrame, txn_types: Sequence[s
         "invalid_date": date.isNull(),
         # no trim here, unlike the cleaner: the check sees the raw text
         "invalid_txn_type": ~X.ok(F.col("transaction_type").isin(*txn_types)),
-        "orphan_txn_account": F.col("_in_master").isNull(),
     }
     mask = sum((F.when(f, FLAGS[name]).otherwise(0) for name, f in failed.items()), F.lit(0))
-    return _with_master_flag(raw_txns, raw_accounts).select(
-        "transaction_id", F.date_format(date, "yyyy-MM").alias("month"), mask.cast("short").alias("mask"))
+    rows = raw_txns.select("transaction_id", "account_id", F.date_format(date, "yyyy-MM").alias("month"),
+                           mask.cast("short").alias("mask"))
+    orphan = F.when(F.col("_in_master").isNull(), FLAGS["orphan_txn_account"]).otherwise(0)
+    return rows.join(_master(raw_accounts, "account_id"), "account_id", "left").select(
+        "transaction_id", "month", (F.col("mask") + orphan).cast("short").alias("mask"))
 
 
 def _has(name_or_bits: str | int) -> Column:
