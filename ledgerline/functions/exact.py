@@ -28,31 +28,25 @@ USUAL_BAND = (-65 - LOWEST) // BAND_BITS
 ALL_PARTS = 2 * BANDS + PARTS + 3
 
 
-def _power(exponents: list[int]) -> Column:
-    """2^exponent as an array to look up; exact, and quicker than ``pow``."""
-    return F.array(*[F.lit(2.0 ** e) for e in exponents])
-
-
-def _entry(df: DataFrame, number: Column, out: str) -> DataFrame:
-    """``df`` with ``<out>_band`` and ``<out>_p0`` ...; the band is NULL for no number."""
-    x, a = F.col(f"{out}_x"), F.abs(F.col(f"{out}_x"))
-    # one bit below the last of the number, in case log2 is rounded up
-    lowest_bit = F.floor(F.log2(a)) - 53
-    band = F.greatest(F.lit(0), F.floor((lowest_bit - LOWEST) / BAND_BITS)).cast("int")
-    df = df.withColumn(f"{out}_x", number.cast("double")).withColumn(
-        f"{out}_band", F.when(x.isNotNull(), F.coalesce(band, F.lit(USUAL_BAND))))
-    # to a whole number, in two steps that can't overflow
+def _entry(df: DataFrame, out: str) -> DataFrame:
+    """``df`` with ``<out>_band`` and ``<out>_p0`` ... for the number ``<out>_x``; the band is
+    NULL for no number. Written as SQL text: one call to the JVM a step, not one per term."""
+    x, y, top = f"`{out}_x`", f"`{out}_y`", f"`{out}_top`"
+    # the lowest bit, and one below it in case log2 is rounded up
+    band = f"cast(greatest(0, floor((floor(log2(abs({x}))) - {53 + LOWEST}) / {BAND_BITS}.0D)) as int)"
+    # to a whole number, in two steps that can't overflow; powers of two are exact
     down = [-(LOWEST + BAND_BITS * b) for b in range(BANDS)]
-    scale = [F.get(_power([d // 2 for d in down]), F.col(f"{out}_band")),
-             F.get(_power([d - d // 2 for d in down]), F.col(f"{out}_band"))]
-    rest = f"{out}_rest"
-    df = df.withColumn(rest, a * scale[0] * scale[1])
-    for i in range(PARTS - 1, -1, -1):
-        unit = 2.0 ** (PART_BITS * i)
-        df = df.withColumn(f"{out}_m", F.floor(F.col(rest) / unit))
-        df = (df.withColumn(f"{out}_p{i}", F.when(x < 0, -F.col(f"{out}_m")).otherwise(F.col(f"{out}_m")))
-              .withColumn(rest, F.col(rest) - F.col(f"{out}_m") * unit))
-    return df.drop(rest, f"{out}_m", f"{out}_x")
+    halves = [", ".join(f"{2.0 ** h!r}D" for h in half) for half in (
+        [d // 2 for d in down], [d - d // 2 for d in down])]
+    scaled = " * ".join(f"get(array({half}), `{out}_band`)" for half in halves)
+    mask, high, low = (1 << PART_BITS) - 1, 2.0 ** (2 * PART_BITS), f"cast({y} - {top} * {2.0 ** 42!r}D as long)"
+    parts = [f"{low} & {mask}", f"shiftright({low}, {PART_BITS})", f"{top} & {mask}",
+             f"shiftright({top}, {PART_BITS}) & {mask}", f"shiftright({top}, {2 * PART_BITS})"]
+    df = df.selectExpr("*", f"CASE WHEN {x} IS NOT NULL THEN coalesce({band}, {USUAL_BAND}) END AS `{out}_band`")
+    df = df.selectExpr("*", f"abs({x}) * {scaled} AS {y}")
+    df = df.selectExpr("*", f"cast(floor({y} / {high!r}D) as long) AS {top}")
+    return df.selectExpr("*", *[f"CASE WHEN {x} < 0 THEN -({p}) ELSE {p} END AS `{out}_p{i}`"
+                                for i, p in enumerate(parts)]).drop(f"{out}_x", f"{out}_y", f"{out}_top")
 
 
 def _parts(out: str) -> list[str]:
@@ -80,10 +74,10 @@ def exact_totals(df: DataFrame, by: list[str], sums: dict[str, str | Column],
     Key and result names must not clash. With no ``by`` there is always one row.
     """
     counts = counts or {}
-    rows = df.select(*by, *[(F.col(c) if isinstance(c, str) else c).cast("double").alias(f"{s}_in")
+    rows = df.select(*by, *[(F.col(c) if isinstance(c, str) else c).cast("double").alias(f"{s}_x")
                             for s, c in sums.items()], *[c.cast("long").alias(n) for n, c in counts.items()])
     for s in sums:
-        rows = _entry(rows, F.col(f"{s}_in"), s).drop(f"{s}_in")
+        rows = _entry(rows, s)
     return _by_band(rows, by, list(sums), list(counts))
 
 
@@ -111,76 +105,68 @@ def known(c: str) -> Column:
     return F.when(F.col(c).isNotNull(), 1).otherwise(0)
 
 
-def value(acc: str | Column) -> Column:
-    """The double nearest to what an accumulator holds."""
-    acc = F.col(acc) if isinstance(acc, str) else acc
-    one = F.when(F.size(acc) == 1, _one_band(F.get(acc, F.lit(0))))
-    return F.when(F.size(acc) > 0, F.coalesce(one, _all_bands(acc)))
+def value(acc: str) -> Column:
+    """The double nearest to what the accumulator column ``acc`` holds."""
+    return F.expr(f"CASE WHEN size(`{acc}`) > 0 THEN coalesce(CASE WHEN size(`{acc}`) = 1 THEN "
+                  f"get(transform(`{acc}`, e -> {_ONE_BAND}), 0) END, {_all_bands(f'`{acc}`')}) END")
 
 
-def _let(x: Column, then) -> Column:
-    """``then(x)`` with x computed once."""
-    return F.get(F.transform(F.array(x), then), F.lit(0))
+def _let(name: str, x: str, then: str) -> str:
+    """``then`` with ``name`` standing for x, computed once."""
+    return f"get(transform(array({x}), {name} -> {then}), 0)"
 
 
-def _scaled(x: Column, exponent: Column) -> Column:
-    half = F.floor(exponent / 2).cast("int")
-    return x * F.pow(F.lit(2.0), half) * F.pow(F.lit(2.0), exponent - half)
+def _decimal(x: str) -> str:
+    return f"cast({x} as decimal(38,0))"
 
 
-def _digit_value(i: int) -> Column:
-    return F.lit(str(1 << PART_BITS * i)).cast("decimal(38,0)")
+def _digit_value(i: int) -> str:
+    return _decimal(f"'{1 << PART_BITS * i}'")
 
 
-def _one_band(entry: Column) -> Column:
-    """The usual case: the parts fit one decimal of 38 digits, else NULL."""
-    whole = None
+def _scaled(x: str, exponent: str) -> str:
+    """x times a power of two, in two steps that can't overflow."""
+    half = f"cast(floor(({exponent}) / 2) as int)"
+    return f"{x} * power(2.0D, {half}) * power(2.0D, ({exponent}) - {half})"
+
+
+def _one_band() -> str:
+    """The usual case: the parts of entry e fit one decimal of 38 digits, else NULL."""
+    whole = _decimal("'0'")
     for i in range(PARTS):
-        part = F.try_multiply(F.get(entry["parts"], F.lit(i)).cast("decimal(38,0)"),
-                              _digit_value(i))
-        whole = part if whole is None else F.try_add(whole, part)
-    return _scaled(whole.cast("double"), F.lit(LOWEST) + F.lit(BAND_BITS) * entry["band"])
+        whole = f"try_add({whole}, try_multiply({_decimal(f'e.parts[{i}]')}, {_digit_value(i)}))"
+    return _scaled(f"cast({whole} as double)", f"{LOWEST} + {BAND_BITS} * e.band")
 
 
-def _all_bands(acc: Column) -> Column:
+def _all_bands(acc: str) -> str:
     """Parts of all bands in one row of digits to the base 2^21, from the lowest up; its first
     85 bits or more and whether anything stands below them decide the nearest double."""
-    zero = F.lit(0).cast("long")
-    laid = F.transform(F.sequence(F.lit(0), F.lit(ALL_PARTS - 1)), lambda i: F.aggregate(
-        acc, zero, lambda s, e: s + F.coalesce(
-            F.when(i - 2 * e["band"] >= 0, F.get(e["parts"], i - 2 * e["band"])), zero)))
-
-    def signed(digits: Column, row: Column) -> Column:
-        # a negative sum leaves a negative last digit: take the digits of its opposite
-        opposite = _carried(F.transform(row, lambda x: -x))
-        return F.when(F.get(digits, F.lit(ALL_PARTS - 1)) < 0, -_let(opposite, _nearest)).otherwise(_nearest(digits))
-
-    return _let(laid, lambda row: _let(_carried(row), lambda digits: signed(digits, row)))
-
-
-def _carried(parts: Column) -> Column:
-    """Digits 0 <= d < 2^21, all but the last."""
-    start = F.struct(F.lit(0).cast("long").alias("carry"), F.array().cast("array<bigint>").alias("out"))
-    low = F.lit((1 << PART_BITS) - 1).cast("long")
-
-    def step(s: Column, x: Column) -> Column:
-        t = s["carry"] + x
-        return F.struct(F.shiftright(t, PART_BITS).alias("carry"),
-                        F.concat(s["out"], F.array(t.bitwiseAND(low))).alias("out"))
-
-    return F.aggregate(F.slice(parts, 1, ALL_PARTS - 1), start, step, lambda s: F.concat(
-        s["out"], F.array(s["carry"] + F.get(parts, F.lit(ALL_PARTS - 1)))))
-
-
-def _nearest(digits: Column) -> Column:
-    def from_top(top: Column) -> Column:
-        whole = F.lit(0).cast("decimal(38,0)")
-        for k in range(PARTS):
-            digit = F.when(top >= k, F.get(digits, top - k)).otherwise(F.lit(0))
-            whole = whole + digit.cast("decimal(38,0)") * _digit_value(PARTS - 1 - k)
-        below = F.exists(F.slice(digits, 1, F.greatest(top - (PARTS - 1), F.lit(0))), lambda d: d != 0)
-        return _scaled((whole * 2 + F.when(below, 1).otherwise(0)).cast("double"),
-                       F.lit(LOWEST - 1) + F.lit(PART_BITS) * (top - (PARTS - 1)))
-
-    top = F.array_max(F.transform(digits, lambda d, i: F.when(d != 0, i)))
-    return _let(F.coalesce(top, F.lit(0)), from_top)
+    last = ALL_PARTS - 1
+    laid = (f"transform(sequence(0, {last}), i -> aggregate({acc}, 0L, (t, e) -> t + coalesce("
+            f"CASE WHEN i >= 2 * e.band THEN get(e.parts, i - 2 * e.band) END, 0L)))")
+    # a negative sum leaves a negative last digit: take the digits of its opposite
+    digits = f"CASE WHEN c[{last}] < 0 THEN {_carried('transform(r, x -> -x)')} ELSE c END"
+    top = "coalesce(array_max(transform(d, (v, i) -> CASE WHEN v <> 0 THEN i END)), 0)"
+    number = f"(CASE WHEN c[{last}] < 0 THEN -1.0D ELSE 1.0D END) * {_NEAREST}"
+    return _let("r", laid, _let("c", _carried("r"), _let("d", digits, _let("h", top, number))))
+
+
+def _carried(parts: str) -> str:
+    """Digits 0 <= x < 2^21, all but the last."""
+    last, mask = ALL_PARTS - 1, (1 << PART_BITS) - 1
+    return (f"aggregate(slice({parts}, 1, {last}), named_struct('carry', 0L, 'out', cast(array() as array<bigint>)), "
+            f"(s, x) -> named_struct('carry', shiftright(s.carry + x, {PART_BITS}), "
+            f"'out', concat(s.out, array((s.carry + x) & {mask}L))), "
+            f"s -> concat(s.out, array(s.carry + get({parts}, {last}))))")
+
+
+def _nearest() -> str:
+    """Of the digits d, the highest of which is h."""
+    whole = " + ".join(f"{_decimal(f'CASE WHEN h >= {k} THEN get(d, h - {k}) ELSE 0L END')} * "
+                       f"{_digit_value(PARTS - 1 - k)}" for k in range(PARTS))
+    below = f"exists(slice(d, 1, greatest(h - {PARTS - 1}, 0)), x -> x <> 0)"
+    return _scaled(f"cast(({whole}) * 2 + CASE WHEN {below} THEN 1 ELSE 0 END as double)",
+                   f"{LOWEST - 1} + {PART_BITS} * (h - {PARTS - 1})")
+
+
+_ONE_BAND, _NEAREST = _one_band(), _nearest()
