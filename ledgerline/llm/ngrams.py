@@ -3,9 +3,10 @@
 Features of a text: its byte trigrams (case kept), its words and its word
 pairs, each hashed into a fixed number of buckets and divided by how many the
 text has. A pair of equal words has a bucket of its own, so that stuttering is
-seen whatever the word. A text of any length is taken in pieces of at most
-``PIECE`` bytes, cut at a blank where there is one; n-grams over a cut between
-pieces are not counted.
+seen whatever the word. Texts are taken in pieces of at most ``PIECE`` bytes, so
+that memory doesn't grow with them. What a cut goes through is carried over: the
+last two bytes, the word that is open and the word before it. So the features of
+a text don't depend on where it is cut.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ CHAR_BUCKETS = 1 << 11
 WORD_BUCKETS = 1 << 11
 REPEATED_PAIR = CHAR_BUCKETS + WORD_BUCKETS       # the pair of equal words
 WIDTH = REPEATED_PAIR + 1
-PIECE = 2 << 20
+PIECE = 256 << 10
 
 _BLANK = np.zeros(256, dtype=bool)
 _BLANK[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -41,62 +42,105 @@ def _bucket(codes: np.ndarray, buckets: int) -> np.ndarray:
     return (mixed >> np.uint64(64 - (buckets.bit_length() - 1))).astype(np.int64)
 
 
+@dataclass
+class Carry:
+    """What stands before the rest of a row that was cut."""
+
+    tail: bytes = b""                       # its last two bytes
+    open: tuple[int, int] | None = None     # hash and length of a word without an end so far
+    word: int | None = None                 # the last whole word
+
+
 def pieces(texts: list[str | None]):
-    """Lists of (row, bytes) of at most PIECE bytes, over all texts in order."""
+    """Lists of (row, bytes) of at most PIECE bytes, over all texts in order, and whether
+    the last row of the list goes on in the next one."""
     held, size = [], 0
     for row, text in enumerate(texts):
         raw = (text or "").encode("utf-8", "surrogatepass")
         at = 0
         while at < len(raw):
-            end = min(len(raw), at + PIECE)
-            if end < len(raw):
-                cut = raw.rfind(b" ", at + PIECE // 2, end)
-                end = cut if cut > 0 else end
-            if held and size + end - at > PIECE:
-                yield held
-                held, size = [], 0
+            end = min(len(raw), at + PIECE - size)
             held.append((row, raw[at:end]))
             size += end - at
             at = end
+            if size >= PIECE:
+                yield held, at < len(raw)
+                held, size = [], 0
     if held:
-        yield held
+        yield held, False
 
 
-def hashed(held: list[tuple[int, bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(row, bucket) of each byte trigram and (row, bucket) of each word and pair."""
-    data = np.frombuffer(b"".join(x for _, x in held), dtype=np.uint8)
-    sizes = [len(x) for _, x in held]
-    piece = np.repeat(np.arange(len(held)), sizes)
-    row = np.array([r for r, _ in held])
-    wide = data.astype(np.uint64)
-    inside = piece[:-2] == piece[2:]
-    codes = wide[:-2] | (wide[1:-1] << np.uint64(8)) | (wide[2:] << np.uint64(16))
-    chars = _bucket((codes[inside] + np.uint64(1)) * _STEP, CHAR_BUCKETS)
-    char_row = row[piece[:-2][inside]]
+_ALL = (1 << 64) - 1
+
+
+def _joined(begun: tuple[int, int], rest: int, length: int) -> tuple[int, int]:
+    """Hash and length of a word from those of its two parts."""
+    h, n = begun
+    return (h + pow(int(_STEP), n, 1 << 64) * rest) & _ALL, n + length
 
+
+def _words(data: np.ndarray, piece: np.ndarray, carry: Carry, goes_on: bool) -> tuple[np.ndarray, np.ndarray, Carry]:
+    """Hash and piece of each whole word in order, and what is left for the next list."""
     solid = ~_BLANK[data]
-    edge = np.ones(len(data), dtype=bool)
-    edge[1:] = (piece[1:] != piece[:-1]) | ~solid[:-1]
-    starts = np.flatnonzero(solid & edge)
-    edge[:-1] = (piece[1:] != piece[:-1]) | ~solid[1:]
-    edge[-1:] = True
-    ends = np.flatnonzero(solid & edge) + 1
+    new = np.ones(len(data), dtype=bool)
+    new[1:] = piece[1:] != piece[:-1]
+    starts = np.flatnonzero(solid & (new | np.append(True, ~solid[:-1])))
+    ends = np.flatnonzero(solid & (np.append(new[1:], True) | np.append(~solid[1:], True))) + 1
     up, down = _powers(len(data) + 1)
     sums = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum((wide + np.uint64(1)) * up[:len(data)], out=sums[1:])
-    words = (sums[ends] - sums[starts]) * down[starts]
-    word_piece = piece[starts]
-    next_to = word_piece[:-1] == word_piece[1:]
-    first, second = words[:-1][next_to], words[1:][next_to]
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:len(data)], out=sums[1:])
+    words, of = (sums[ends] - sums[starts]) * down[starts], piece[starts]
+    last = int(ends[-1] - starts[-1]) if len(words) else 0
+    if carry.open:
+        if solid[0]:
+            h, n = _joined(carry.open, int(words[0]), int(ends[0] - starts[0]))
+            words[0] = h
+            last = n if len(words) == 1 else last
+        else:
+            words, of = np.append(np.uint64(carry.open[0]), words), np.append(piece[:1], of)
+    left = Carry()
+    if goes_on:
+        if solid[-1]:
+            left.open = (int(words[-1]), last)
+            words, of = words[:-1], of[:-1]
+        same = of == piece[-1]
+        left.word = int(words[-1]) if same.any() else carry.word if piece[-1] == piece[0] else None
+    return words, of, left
+
+
+def hashed(held: list[tuple[int, bytes]], carry: Carry, goes_on: bool
+           ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, Carry]:
+    """(row, bucket) of each byte trigram and (row, bucket) of each word and pair; what
+    is carried over to the next list."""
+    data = np.frombuffer(b"".join(x for _, x in held), dtype=np.uint8)
+    piece = np.repeat(np.arange(len(held)), [len(x) for _, x in held])
+    row = np.array([r for r, _ in held])
+
+    before = np.frombuffer(carry.tail, dtype=np.uint8)
+    wide = np.concatenate([before, data]).astype(np.uint64)
+    place = np.concatenate([np.zeros(len(before), dtype=piece.dtype), piece])
+    inside = place[:-2] == place[2:]
+    codes = wide[:-2] | (wide[1:-1] << np.uint64(8)) | (wide[2:] << np.uint64(16))
+    chars = _bucket((codes[inside] + np.uint64(1)) * _STEP, CHAR_BUCKETS)
+    char_row = row[place[:-2][inside]]
+
+    words, of, left = _words(data, piece, carry, goes_on)
+    if goes_on:
+        left.tail = (carry.tail * (len(held) == 1) + held[-1][1])[-2:]
+    known = words if carry.word is None else np.append(np.uint64(carry.word), words)
+    known_of = of if carry.word is None else np.append(piece[:1], of)
+    next_to = known_of[:-1] == known_of[1:]
+    first, second = known[:-1][next_to], known[1:][next_to]
     pair = _bucket(first * np.uint64(31) + (second ^ (second >> np.uint64(31))) * _STEP, WORD_BUCKETS)
     pair = np.where(first == second, WORD_BUCKETS, pair)
     buckets = CHAR_BUCKETS + np.concatenate([_bucket(words, WORD_BUCKETS), pair])
-    return (char_row, chars, row[np.concatenate([word_piece, word_piece[:-1][next_to]])], buckets)
+    return char_row, chars, row[np.concatenate([of, known_of[:-1][next_to]])], buckets, left
 
 
 def _kinds(texts: list[str | None]):
-    for held in pieces(texts):
-        char_row, chars, word_row, words = hashed(held)
+    carry = Carry()
+    for held, goes_on in pieces(texts):
+        char_row, chars, word_row, words, carry = hashed(held, carry, goes_on)
         yield char_row, chars, 0
         yield word_row, words, 1
 

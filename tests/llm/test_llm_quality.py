@@ -67,14 +67,14 @@ def test_long_texts_are_cut_into_pieces(monkeypatch):
     whole = NG.vectors([text])
     monkeypatch.setattr(NG, "PIECE", 1000)
     assert np.abs(NG.vectors([text]) - whole).sum() < 0.1
-    assert sum(len(x) for held in NG.pieces([text, "é" * 900]) for _, x in held) == len(text) + 1800
+    assert sum(len(x) for held, _ in NG.pieces([text, "é" * 900]) for _, x in held) == len(text) + 1800
 
 
 def test_word_hash_is_the_same_at_every_place():
-    _, _, _, one = NG.hashed([(0, b"alpha beta alpha beta")])
+    _, _, _, one, _ = NG.hashed([(0, b"alpha beta alpha beta")], NG.Carry(), False)
     words, pairs = one[:4], one[4:]
     assert words[0] == words[2] and words[1] == words[3] and pairs[0] == pairs[2] != pairs[1]
-    _, _, _, two = NG.hashed([(0, b"beta beta")])
+    _, _, _, two, _ = NG.hashed([(0, b"beta beta")], NG.Carry(), False)
     assert two.tolist() == [words[1], words[1], NG.REPEATED_PAIR]
 
 
@@ -133,3 +133,17 @@ def test_risk_is_held_at_zero():
     low = np.logaddexp(0, z)
     # an unbounded risk would run far below zero here
     assert low[30:].mean() - 0.6 * low[:30].mean() > -0.25
+
+
+@pytest.mark.parametrize("piece", [1, 2, 3, 7, 64, 1000])
+def test_features_do_not_depend_on_where_a_text_is_cut(monkeypatch, piece):
+    rng = random.Random(piece)
+    texts = ["".join(rng.choice("ab \n\té") for _ in range(rng.randint(0, 90))) for _ in range(40)]
+    texts += ["", None, " ", "x", "a" * 300, "a b", "  a  a ", " ".join(rng.choices(["aa", "b", "ccc"], k=300))]
+    whole = NG.vectors(texts)
+    monkeypatch.setattr(NG, "PIECE", piece)
+    assert np.array_equal(NG.vectors(texts), whole)
+    model = NG.LinearModel(np.random.default_rng(0).normal(size=NG.WIDTH), 0.3)
+    cut = model.logits(texts)
+    monkeypatch.setattr(NG, "PIECE", 1 << 20)
+    assert np.allclose(cut, model.logits(texts), rtol=0, atol=1e-9)
