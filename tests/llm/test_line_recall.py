@@ -2,8 +2,8 @@
 
 import random
 
-import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerline.llm import line_dedup as LD
 
@@ -18,47 +18,45 @@ def pairs(shingles, similarity, count, seed=5):
     return ([x + letters(own) for x in starts], [x + letters(shingles - common - own) for x in starts])
 
 
-def found(left, right):
-    """Which pairs share a band and have sketches as near as allowed."""
-    (bands, sketch, allowed), (bands_b, sketch_b, allowed_b) = LD._signature(left), LD._signature(right)
-    differ = np.bitwise_count((sketch ^ sketch_b).view(np.uint64)).sum(axis=1)
-    return (bands == bands_b).any(axis=1) & (differ <= np.maximum(allowed, allowed_b))
+def found(spark, left, right, threshold=0.8):
+    """The share of pairs that share a band and whose signatures leave a chance."""
+    rows = spark.createDataFrame(list(zip(range(len(left)), left, right)), "id long, left string, right string")
+    sides = {}
+    for x, name in (("a", "left"), ("b", "right")):
+        lines = rows.select("id", F.col(name).alias("line"))
+        signed = LD.signatures(lines).drop("k2").join(
+            lines.select("id", F.xxhash64("line").alias("k")), "k")
+        sides[x] = LD._side(signed, x, "id")
+    shared = " OR ".join("(" + (" AND ".join(f"m{i}_a = m{i}_b" for i in band) or "true") + ")" for band in LD.BANDS)
+    got = sides["a"].join(sides["b"], "id").agg(
+        F.avg((F.expr(shared) & LD._near(threshold)).cast("double"))).first()[0]
+    return got
 
 
 @pytest.mark.parametrize("shingles", [10, 20, 40, 80, 200])
-def test_recall(shingles):
-    assert found(*pairs(shingles, 0.8, 2000)).mean() >= 0.95
-    assert found(*pairs(shingles, 0.9, 2000)).mean() >= 0.99
+def test_recall(spark, shingles):
+    assert found(spark, *pairs(shingles, 0.8, 2000)) >= 0.95
+    assert found(spark, *pairs(shingles, 0.9, 2000)) >= 0.99
 
 
-def test_unlike_pairs_of_long_lines_are_given_up():
-    assert found(*pairs(200, 0.6, 1000)).mean() <= 0.06
+def test_unlike_pairs_are_given_up(spark):
+    assert found(spark, *pairs(100, 0.6, 1000)) <= 0.1
 
 
-def least(line):
-    """A plain version of one line's minima."""
-    line = line.ljust(LD.SHINGLE, "\0")
-    out = np.full((LD.FUNCTIONS, LD.BINS), 2**32 - 1, dtype=np.uint32)
-    for i in range(len(line) - LD.SHINGLE + 1):
-        number = 0
-        for c in line[i:i + LD.SHINGLE]:
-            number = (number * int(LD._BASE) + ord(c)) % 2**64
-        for f, seed in enumerate(LD._SEEDS):
-            mixed = int(LD._mixed(np.array([number], dtype=np.uint64) ^ seed)[0])
-            for g, half in ((2 * f, mixed & 0xFFFFFFFF), (2 * f + 1, mixed >> 32)):
-                out[g, half % LD.BINS] = min(out[g, half % LD.BINS], half // LD.BINS)
-    return out
-
-
-@pytest.mark.parametrize("piece", [7, 100, 1 << 18])
-def test_minima_do_not_depend_on_pieces(monkeypatch, piece):
-    monkeypatch.setattr(LD, "PIECE", piece)
-    rng = random.Random(3)
-    lines = ["".join(rng.choices("abcdé漢😀 ", k=n)) for n in (1, 8, 9, 10, 40, 300, 2, 99, 100, 101)]
-    got = LD._minima(lines)
-    assert all((got[i] == least(x)).all() for i, x in enumerate(lines))
+def test_bitmaps_give_up_no_similar_pair(spark, monkeypatch):
+    """The bitmap's bound alone, on pairs at the threshold, repeated shingles included."""
+    monkeypatch.setattr(LD, "AGREE", 0)
+    monkeypatch.setattr(LD, "BANDS", [()])
+    rng = random.Random(8)
+    for shingles in (5, 50, 400, 3000):
+        left, right = pairs(shingles, 0.81, 300)
+        assert found(spark, left, right) == 1.0
+        again = [x * rng.randint(2, 3) for x in left]
+        assert found(spark, again, [x + x[:9] for x in again]) == 1.0
 
 
 if __name__ == "__main__":
+    from ledgerline.session import local_session
+    session = local_session()
     for n in (10, 20, 40, 80, 200, 500):
-        print(n, {s: float(found(*pairs(n, s, 5000)).mean().round(3)) for s in (0.6, 0.7, 0.8, 0.85, 0.9)})
+        print(n, {s: round(found(session, *pairs(n, s, 5000)), 3) for s in (0.6, 0.7, 0.8, 0.85, 0.9)})
