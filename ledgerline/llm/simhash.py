@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline.llm.components import connected_components
-from ledgerline.llm.staging import stage
+from ledgerline.llm.staging import free_name, stage
 
 SEED = 42
 SAMPLE = 65_536        # fingerprints that the trees are fitted on, at most
@@ -248,9 +248,10 @@ def keep_one_per_group(docs: DataFrame, shingle: int = 4, max_bits: int = 4) ->
     single = real.join(gone, "doc_id", "left_anti").join(twice, "doc_id", "left_anti")
     winners = (groups.where("doc_id <=> component_id").groupBy("component")
                .agg(F.min("doc_id").alias("doc_id"), F.min("fp").alias("fp")))
+    own = free_name(docs, "fp")
     unclear = (docs.where(F.col("doc_id").isNull()).select(docs.columns)
                .unionByName(real.join(twice, "doc_id", "left_semi").select(docs.columns))
-               .withColumn("__fp", fingerprint_column("text", shingle)))
-    chosen = (unclear.alias("d").join(winners.alias("w"), F.expr("d.__fp = w.fp AND d.doc_id <=> w.doc_id"),
-                                      "left_semi").dropDuplicates(["doc_id", "__fp"]))
+               .withColumn(own, fingerprint_column("text", shingle)))
+    chosen = (unclear.alias("d").join(winners.alias("w"), F.expr(f"d.{own} = w.fp AND d.doc_id <=> w.doc_id"),
+                                      "left_semi").dropDuplicates(["doc_id", own]))
     return single.select(docs.columns).unionByName(chosen.select(docs.columns))

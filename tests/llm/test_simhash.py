@@ -101,6 +101,12 @@ def test_an_id_on_two_texts(spark):
     assert sorted((r.doc_id, r.name) for r in kept.collect()) == [(3, "b"), (5, "a"), (8, "c")]
 
 
+def test_columns_named_like_its_own_pass_through(spark):
+    rows = [(5, "a b c d e", "x", "y"), (5, "one two three four five", "z", "w"), (None, "some other text here", "u", "v")]
+    kept = SH.keep_one_per_group(spark.createDataFrame(rows, "doc_id long, text string, __fp string, fp string"))
+    assert sorted(kept.collect(), key=str) == sorted(rows, key=str)
+
+
 def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(50)] + [(100, i) for i in range(101, 140)] + [(7, 7), (None, 3)]
     got = {r.node: r.component for r in connected_components(
