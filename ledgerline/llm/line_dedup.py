@@ -2,22 +2,20 @@
 
 1. Lines are trimmed; equal ones are one line (two 64-bit hashes).
 2. Every code-point shingle of a line is hashed once; the signature is, for each
-   of VALUES constants, the least of hash XOR constant, and a bitmap of the hashes
-   (pre-aggregated in the tasks: a line's shingles are never shuffled).
-3. Three of the values make a band's bucket. Lines that share a bucket are compared
-   in the bucket's join itself: a pair goes on if its signatures agree well enough
-   and its bitmaps differ in no more bits than the sets of a similar pair could
-   (no link is lost by the bitmaps: two sets differ in at least as many shingles).
-4. In a bucket of up to SMALL lines all pairs are compared. A larger one is
-   worked off in rounds: all its lines are compared with PICKED of them, and
-   only these leave it, as their links are complete. Lines that verified links
-   connect already needn't be compared, so a bucket is done when its lines are
-   one component, and its remaining pairs are compared when few lines are
-   outside its largest component. From the second round on the lines with the
-   most links are picked, so that an original whose copies aren't similar to
-   one another ties them. Nothing is capped; SMALL grows from round to round, so
-   that a bucket that doesn't fall together ends as all comparisons between
-   lines of different components.
+   of VALUES constants, the least of hash XOR constant (pre-aggregated in the tasks:
+   a line's shingles are never shuffled).
+3. Three of the values make a band's bucket. Lines that share a bucket with others get
+   an odd sketch of their shingle set (Mitzenmacher, Pagh and Pham, 2014): a bit says
+   whether the number of shingles hashed to it is odd. Two sketches differ in no more
+   bits than the sets differ in shingles, whatever they share, so the bound, applied in
+   the bucket's join itself, loses no link. A pair goes on if its signatures agree well
+   enough and its sketches differ in no more bits than the sets of a similar pair could.
+4. In a bucket of up to SMALL lines all pairs are compared. All lines of a larger one
+   are compared with PICKED of them. That ties most groups of near copies. What verified
+   links don't connect in a bucket yet is compared through rare shingles: lines are
+   joined on their rarest ones only, as many as any similar pair must share one of
+   (prefix filter, no link is lost). So lines that have much in common, yet aren't
+   similar, don't meet, and no bucket ends as all its pairs. Nothing is capped.
 5. Pairs that are left are verified by the exact Jaccard similarity of their shingle sets.
 6. Distributed union-find over the verified links; of each component the line
    that comes first (by doc_id, then place) stays, all others go.
@@ -30,7 +28,7 @@ from __future__ import annotations
 
 import random
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.llm.components import connected_components
@@ -39,7 +37,7 @@ from ledgerline.llm.staging import free_name, stage
 SHINGLE = 9          # code points
 PER_ROW = 4          # shingles that are hashed in one row
 VALUES = 12          # signature values of a line
-WORDS = 8            # LONGs of its bitmap
+WORDS = 16           # LONGs of its odd sketch
 #: Three values make a band, every value is in three bands. The values come from one hash and
 #: aren't independent. Simulated (20,000 random pairs each), AGREE included: a pair of similarity
 #: 0.8 becomes a candidate in 0.970 of cases with 10 shingles in the union, 0.977 with 20, 0.985
@@ -48,14 +46,13 @@ BANDS = [(3, 5, 9), (2, 10, 11), (4, 7, 8), (0, 1, 6), (0, 7, 9), (1, 2, 3), (5,
          (1, 4, 9), (0, 4, 5), (2, 6, 7), (0, 8, 11)]
 THRESHOLD = 0.8
 AGREE = 5            # values in which candidates must agree; at 0.8 a pair has 0.999 of doing so
-SMALL = 8            # lines in a bucket that are all compared; in each round 4 times as many,
-                     # not counting all but one line of the bucket's largest component
-PICKED = 4           # lines that a larger bucket's lines are compared with in a round
+SMALL = 8            # lines in a bucket that are all compared
+PICKED = 4           # lines that a larger bucket's lines are compared with
 PREFILTER = 1 << 20  # hash classes of the broadcast prefilter: its size bound
 
 _VALUES = [f"m{i}" for i in range(VALUES)]
-_BITMAP = [f"s{i}" for i in range(WORDS)]
-_OWN = ["k", *_VALUES, *_BITMAP, "size"]
+_SKETCH = [f"s{i}" for i in range(WORDS)]
+_OWN = ["k", *_VALUES, *_SKETCH, "n"]
 
 _random = random.Random(42)
 _CONSTANTS = [_random.getrandbits(64) - 2**63 for _ in range(VALUES)]
@@ -94,8 +91,7 @@ def _shingles(line: str) -> Column:
 
 
 def signatures(lines: DataFrame) -> DataFrame:
-    """(k, k2, m0, ..., s0, ..., size): one row per distinct line; ``size`` counts
-    shingles with their repeats."""
+    """(k, k2, m0, ...): one row per distinct line."""
     # keys and points are made below the explode, once a line; a row then has the
     # hashes of PER_ROW shingles, the last one repeated where the line is over
     rows = (lines.select(*_keys(), F.encode("line", "UTF-32").alias("points"), _last("line").alias("last"))
@@ -107,11 +103,20 @@ def signatures(lines: DataFrame) -> DataFrame:
         for j, h in enumerate(hashes)])
     least = [F.min(F.shiftright(F.least(*[F.col(h).bitwiseXOR(F.lit(c)) for h in hashes]), 32)
                    .cast("int")).alias(m) for m, c in zip(_VALUES, _CONSTANTS)]
-    # the last bits of a hash say which bit it sets, those before in which word
-    bits = [F.bit_or(F.expr(" | ".join(
-        f"if(({h} & {64 * WORDS - 64}) = {64 * w}, shiftleft(1L, cast({h} & 63 AS int)), 0L)" for h in hashes)))
-        .alias(s) for w, s in enumerate(_BITMAP)]
-    return points.groupBy("k", "k2").agg(*least, *bits, F.max("last").alias("size"))
+    return points.groupBy("k", "k2").agg(*least)
+
+
+def odd_sketches(texts: DataFrame) -> DataFrame:
+    """(k, s0, ..., n) of ``texts(k, line)``: the odd sketch and the size of the shingle set."""
+    # the last bits of a hash say which bit it turns over, those before in which word
+    rows = texts.select("k", F.explode(_shingles("line")).alias("h")).select(
+        "k", F.expr(f"cast(shiftright(h, 6) & {WORDS - 1} AS int)").alias("w"),
+        F.expr("shiftleft(1L, cast(h & 63 AS int))").alias("bit"))
+    words = rows.groupBy("k", "w").agg(F.bit_xor("bit").alias("x"), F.count(F.lit(1)).alias("n"))
+    sketch = words.groupBy("k").agg(F.map_from_entries(F.collect_list(F.struct("w", "x"))).alias("x"),
+                                    F.sum("n").alias("n"))
+    return sketch.select("k", *[F.coalesce(F.try_element_at("x", F.lit(w)), F.lit(0)).cast("long").alias(s)
+                                for w, s in enumerate(_SKETCH)], "n")
 
 
 def _side(members: DataFrame, x: str, *columns) -> DataFrame:
@@ -122,10 +127,10 @@ def _side(members: DataFrame, x: str, *columns) -> DataFrame:
 def _near(threshold: float) -> Column:
     """Whether the signatures of a and b leave them a chance of the threshold."""
     agree = " + ".join(f"cast({m}_a = {m}_b AS int)" for m in _VALUES)
-    differ = " + ".join(f"bit_count({s}_a ^ {s}_b)" for s in _BITMAP)
+    differ = " + ".join(f"bit_count({s}_a ^ {s}_b)" for s in _SKETCH)
     # |x - y| + |y - x| <= (1 - t) / (1 + t) * (|x| + |y|) for sets of similarity t
     most = (1 - threshold) / (1 + threshold)
-    return F.expr(f"{agree} >= {AGREE} AND {differ} <= {most + 1e-9!r}D * (size_a + size_b)")
+    return F.expr(f"{agree} >= {AGREE} AND {differ} <= {most + 1e-9!r}D * (n_a + n_b)")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
@@ -140,29 +145,29 @@ def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame
         "a", "b").distinct()
 
 
-def _buckets(members: DataFrame, alone: bool) -> DataFrame:
-    """(band, main, others, picked) of the buckets of ``members(band, k, c, degree)``
-    whose lines aren't one component ``c`` yet: the component with the most lines,
-    how many lines are in others, and the lines (k, c) to compare all with. While
-    every line is ``alone``, a component is a line."""
-    if alone:
-        picked = [F.min(F.col("k").bitwiseXOR(F.lit(x))).bitwiseXOR(F.lit(x)) for x in _CONSTANTS[:PICKED]]
-        return (members.groupBy("band").agg(
-            F.count(F.lit(1)).alias("n"), F.array_distinct(F.array(
-                *[F.struct(x.alias("k"), x.alias("c")) for x in picked])).alias("picked"))
-            .where("n > 1").select("band", F.col("picked")[0]["c"].alias("main"),
-                                   (F.col("n") - 1).alias("others"), "picked"))
-    parts = members.groupBy("band", "c").agg(F.count(F.lit(1)).alias("n"), F.max("degree").alias("degree"),
-                                             F.max_by("k", "degree").alias("hub"))
-    # the line with the most links, and that of components under different orders
-    picked = [F.struct(F.max_by("hub", "degree").alias("k"), F.max_by("c", "degree").alias("c")),
-              *[F.struct(F.min_by("hub", F.col("c").bitwiseXOR(F.lit(x))).alias("k"),
-                         F.min_by("c", F.col("c").bitwiseXOR(F.lit(x))).alias("c"))
-                for x in _CONSTANTS[1:PICKED]]]
-    return (parts.groupBy("band").agg(F.sum("n").alias("n"), F.max("n").alias("most"),
-                                      F.max_by("c", "n").alias("main"),
-                                      F.array_distinct(F.array(*picked)).alias("picked"))
-            .where("n > most").select("band", "main", (F.col("n") - F.col("most")).alias("others"), "picked"))
+def _edges(links: DataFrame) -> DataFrame:
+    return links.select(F.col("a").alias("src"), F.col("b").alias("dst"))
+
+
+def _rare_shingle_pairs(rest: DataFrame, sketches: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """Candidates ``(a, b)`` among the lines ``rest(k, c)`` that are of different components
+    ``c``. Of two similar lines the larger set x shares a shingle of its first |x| - t |x| + 1
+    with the first |y| - 2 t / (1 + t) |y| + 1 of the smaller set y, in any order that both
+    keep; here rare shingles come first, and those of one line only meet nobody."""
+    sets = stage(rest.join(texts, "k").select("k", "c", _shingles("line").alias("hs"))
+                 .select("k", "c", F.size("hs").alias("n"), F.explode("hs").alias("h")), "line-shingles")
+    shared = sets.groupBy("h").agg(F.count(F.lit(1)).alias("f")).where("f > 1")
+    alone = F.col("n") - F.count(F.lit(1)).over(Window.partitionBy("k"))
+    place = F.row_number().over(Window.partitionBy("k").orderBy("f", "h"))
+    ranked = sets.join(shared, "h").withColumn("place", place + alone)
+    first = lambda share: F.col("n") - F.ceil(share * F.col("n") - 1e-9) + 1
+    ranked = (ranked.where(F.col("place") <= first(threshold))
+              .withColumn("short", F.col("place") <= first(2 * threshold / (1 + threshold))))
+    ranked = stage(ranked.select("k", "c", "h", "short").join(sketches, "k"), "rare-shingles")
+    side = lambda rows, x: _side(rows, x, "h", F.col("c").alias(f"c_{x}"))
+    return (side(ranked, "a").join(side(ranked.where("short"), "b"), "h")
+            .where(F.expr(f"c_a <> c_b AND struct(n_b, b) < struct(n_a, a) AND n_b >= {threshold - 1e-9!r}D * n_a")
+                   & _near(threshold)).select("a", "b").distinct())
 
 
 def similar_lines(lines: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -171,46 +176,39 @@ def similar_lines(lines: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     signed = stage(signatures(lines), "line-signatures")
     bands = [F.xxhash64(F.lit(b), *[f"m{i}" for i in values]) for b, values in enumerate(BANDS)]
     rows = signed.select("k", F.explode(F.array(*bands)).alias("band"))
-    shared = rows.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("band")
+    shared = rows.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     left = stage(rows.join(shared, "band"), "bucket-members")
+    members = left.select("k").distinct()
     classes = left.select(F.pmod("k", F.lit(PREFILTER)).alias("class")).distinct()
-    sketches = stage(signed.select(_OWN).join(left.select("k").distinct(), "k", "left_semi"), "bucket-lines")
     texts = (lines.select(F.xxhash64("line").alias("k"), "line")
              .withColumn("class", F.pmod("k", F.lit(PREFILTER)))
              .join(F.broadcast(classes), "class", "left_semi")     # at most PREFILTER rows
-             .join(sketches.select("k"), "k", "left_semi").select("k", "line").distinct())
+             .join(members, "k", "left_semi").select("k", "line").distinct())
     texts = stage(texts, "candidate-lines")
-
-    links, labels, small = None, None, SMALL
-    left = left.withColumn("c", F.col("k")).withColumn("degree", F.lit(0).cast("long"))
-    while links is None or not left.isEmpty():
-        left = left.join(_buckets(left, labels is None), "band")
-        few = left.where(F.col("others") < small).join(sketches, "k")
-        one = _side(few.where("c <> main"), "a", "band", F.col("c").alias("c_a"))
-        pairs = (_side(few, "b", "band", "main", F.col("c").alias("c_b")).join(one, "band")
-                 .where(F.expr("c_a <> c_b AND (c_b = main OR a < b)") & _near(threshold)).select("a", "b"))
-        large = stage(left.where(F.col("others") >= small), "large-buckets")
-        met = large.select("k", "c", F.explode("picked").alias("p")).where("c <> p.c").select(
-            "k", F.col("p.k").alias("b")).distinct()
-        met = (_side(met.join(sketches, "k"), "a", "b").join(_side(sketches, "b"), "b")
-               .where(_near(threshold)).select("a", "b"))
-        pairs = pairs.unionByName(met).select(
-            F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        found = stage(_verified(pairs, texts, threshold), "links")
-        links = found if links is None else links.unionByName(found)
-        left = large.where(~F.array_contains("picked.k", F.col("k"))).select("band", "k")
-        if not left.isEmpty():
-            edges = found.select(F.col("a").alias("src"), F.col("b").alias("dst"))
-            edges = edges if labels is None else edges.unionByName(
-                labels.select(F.col("node").alias("src"), F.col("component").alias("dst")))
-            labels = stage(connected_components(edges), "labels")
-            degrees = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(
-                F.count(F.lit(1)).alias("degree"))
-            left = stage(left.join(labels.join(degrees, "node").withColumnRenamed("node", "k"), "k", "left")
-                         .select("band", "k", F.coalesce("component", "k").alias("c"),
-                                 F.coalesce("degree", F.lit(0)).alias("degree")), "bucket-members")
-        small *= 4
-    return links.select(F.col("a").alias("src"), F.col("b").alias("dst"))
+    sketches = stage(signed.join(odd_sketches(texts), "k").select(_OWN), "line-sketches")
+
+    few = left.where(F.col("n") <= SMALL).select("band", "k").join(sketches, "k")
+    pairs = (_side(few, "a", "band").join(_side(few, "b", "band"), "band")
+             .where(F.expr("a < b") & _near(threshold)).select("a", "b"))
+    large = left.where(F.col("n") > SMALL)
+    picked = [F.min(F.col("k").bitwiseXOR(F.lit(x))).bitwiseXOR(F.lit(x)) for x in _CONSTANTS[:PICKED]]
+    large = large.join(large.groupBy("band").agg(F.array_distinct(F.array(*picked)).alias("picked")), "band")
+    met = large.select("k", F.explode("picked").alias("b")).where("k <> b").distinct()
+    met = (_side(met.join(sketches, "k"), "a", "b").join(_side(sketches, "b"), "b")
+           .where(_near(threshold)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
+    links = stage(_verified(pairs.unionByName(met).distinct(), texts, threshold), "links")
+
+    # lines of large buckets that aren't one component; those picked have all their links
+    labels = connected_components(_edges(links)).withColumnRenamed("node", "k")
+    open_ = stage(large.where(~F.array_contains("picked", F.col("k"))).select("band", "k")
+                  .join(labels, "k", "left").select("band", "k", F.coalesce("component", "k").alias("c")),
+                  "open-buckets")
+    apart = open_.groupBy("band").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high")
+    rest = stage(open_.join(apart.select("band"), "band", "left_semi").select("k", "c").distinct(), "open-lines")
+    if not rest.isEmpty():
+        more = _rare_shingle_pairs(rest, sketches, texts, threshold)
+        links = links.unionByName(stage(_verified(more, texts, threshold), "links"))
+    return _edges(links)
 
 
 def line_groups(docs: DataFrame, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:

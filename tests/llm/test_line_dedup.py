@@ -104,6 +104,39 @@ def test_copies_similar_to_their_original_only(spark):
     assert {0, 1000, 2000} <= kept and len(kept) <= 15, sorted(kept)
 
 
+def test_unlike_lines_of_a_large_bucket_do_not_all_meet(spark, monkeypatch):
+    """Lines of similarity 0.7 with one passage in common: the rare shingles leave few pairs."""
+    rng = random.Random(9)
+    letters = lambda n: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=n))      # noqa: E731
+    passage = letters(200)
+    lines = [passage + letters(43) for _ in range(1500)]
+    lines += [x[:-1] for x in lines[:3]]                # and three that do link
+    met = []
+    verified = LD._verified
+    monkeypatch.setattr(LD, "_verified", lambda pairs, *a: met.append(pairs.count()) or verified(pairs, *a))
+    rows = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    got = LD.dedup_lines(rows).where("n_dropped > 0").collect()
+    assert sorted(r.doc_id for r in got) == [1500, 1501, 1502]
+    assert sum(met) <= 20 * len(lines), met
+
+
+@pytest.mark.parametrize("threshold", [0.8])
+def test_rare_shingles_lose_no_link(spark, monkeypatch, threshold):
+    """The prefix join alone against all pairs."""
+    monkeypatch.setattr(LD, "AGREE", 0)
+    lines = sorted({normal(x) for _, t in make(4) for x in (t or "").split("\n") if normal(x)})
+    lines += [x for g in (1, 2) for x in edited(g, 40)]
+    sets = [shingles(x) for x in lines]
+    want = {frozenset((lines[a], lines[b])) for a in range(len(lines)) for b in range(a)
+            if len(sets[a] & sets[b]) >= threshold * len(sets[a] | sets[b])}
+    texts = spark.createDataFrame([(x,) for x in lines], "line string").selectExpr("xxhash64(line) AS k", "line")
+    sketches = LD.signatures(texts.select("line")).join(LD.odd_sketches(texts), "k").select(LD._OWN)
+    pairs = LD._rare_shingle_pairs(texts.selectExpr("k", "k AS c"), sketches, texts, threshold)
+    found = LD._verified(pairs, texts, threshold)
+    name = {r.k: r.line for r in texts.collect()}
+    assert {frozenset((name[r.a], name[r.b])) for r in found.collect()} == want and len(want) > 60
+
+
 def test_stage_drops_emptied_documents_only(spark):
     rows = [(1, "same line of text here", "en", 22, "z"), (2, "same line of text here", "en", 22, "z"),
             (3, "same line of text here\nand one of its own", "en", 41, "z"), (4, "", "en", 0, "z"),

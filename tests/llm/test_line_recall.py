@@ -23,9 +23,9 @@ def found(spark, left, right, threshold=0.8):
     rows = spark.createDataFrame(list(zip(range(len(left)), left, right)), "id long, left string, right string")
     sides = {}
     for x, name in (("a", "left"), ("b", "right")):
-        lines = rows.select("id", F.col(name).alias("line"))
-        signed = LD.signatures(lines).drop("k2").join(
-            lines.select("id", F.xxhash64("line").alias("k")), "k")
+        lines = rows.select("id", F.col(name).alias("line"), F.xxhash64(name).alias("k"))
+        signed = (LD.signatures(lines).drop("k2").join(LD.odd_sketches(lines.select("k", "line").distinct()), "k")
+                  .join(lines.select("id", "k"), "k"))
         sides[x] = LD._side(signed, x, "id")
     shared = " OR ".join("(" + (" AND ".join(f"m{i}_a = m{i}_b" for i in band) or "true") + ")" for band in LD.BANDS)
     got = sides["a"].join(sides["b"], "id").agg(
@@ -43,8 +43,8 @@ def test_unlike_pairs_are_given_up(spark):
     assert found(spark, *pairs(100, 0.6, 1000)) <= 0.1
 
 
-def test_bitmaps_give_up_no_similar_pair(spark, monkeypatch):
-    """The bitmap's bound alone, on pairs at the threshold, repeated shingles included."""
+def test_sketches_give_up_no_similar_pair(spark, monkeypatch):
+    """The odd sketch's bound alone, on pairs at the threshold, repeated shingles included."""
     monkeypatch.setattr(LD, "AGREE", 0)
     monkeypatch.setattr(LD, "BANDS", [()])
     rng = random.Random(8)
