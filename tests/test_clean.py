@@ -208,3 +208,27 @@ def test_rows_that_become_equal_are_all_accounted_for(spark):
         assert sorted(map(str, given.collect())) == sorted(map(str, split.rejected.select(given.columns).collect()))
     assert {r.reject_reason for r in C.clean_accounts(accounts).rejected.collect()} == {
         "duplicate_account_id", "invalid_account_type"}
+
+
+def test_re_sends_are_rejected_once_and_never_win_twice(spark):
+    """Exact re-sends, hot ones too, among winners, losers and invalid rows."""
+    t = lambda i, amount, kind="Deposit": (i, "A1", "2024-01-05", amount, kind, "Success", "ATM")
+    raw = txns(spark, [t("T1", "5")] * 40 + [t("T2", "9")] * 3 + [t("T2", "7")] * 3 + [t("T2", "7.0")] + [t("T2", "6")]
+               + [t("T3", "1", "Nope")] * 5 + [t(None, "1")] * 2)
+    split = C.clean_transactions(raw)
+    assert sorted((r.transaction_id, r.transaction_amount) for r in split.valid.collect()) == [("T1", 5.0), ("T2", 9.0)]
+    expected = sorted([("T2", 7.0, "duplicate_id_conflict"), ("T2", 6.0, "duplicate_id_conflict"),
+                       ("T3", 1.0, "invalid_transaction_type"), ("None", 1.0, "missing_transaction_id")])
+    for rejected in (split.rejected, split.rejects_given(split.valid)):
+        assert sorted((str(r.transaction_id), r.transaction_amount, r.reject_reason)
+                      for r in rejected.collect()) == expected
+
+
+def test_orphans_of_written_transactions(spark):
+    rows = txns(spark, [(f"T{i}", a, "2024-01-05", "1", "Deposit", "Success", "ATM")
+                        for i, a in enumerate(["A1", "A2", "A9", "A9", None])])
+    accounts = spark.createDataFrame([("A1",), ("A2",), (None,)], "account_id string")
+    found = C.orphans(rows, accounts)
+    old = C.split_orphans(rows, accounts).rejected
+    assert sorted(map(str, found.select(old.columns).collect())) == sorted(map(str, old.collect()))
+    assert found.count() == 3
