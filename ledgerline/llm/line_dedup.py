@@ -4,18 +4,18 @@
 2. Every code-point shingle of a line is hashed once; the signature is, for each
    of VALUES constants, the least of hash XOR constant (pre-aggregated in the tasks:
    a line's shingles are never shuffled).
-3. Three of the values make a band's bucket. Lines that share a bucket with others get
-   an odd sketch of their shingle set (Mitzenmacher, Pagh and Pham, 2014): a bit says
-   whether the number of shingles hashed to it is odd. Two sketches differ in no more
-   bits than the sets differ in shingles, whatever they share, so the bound, applied in
-   the bucket's join itself, loses no link. A pair goes on if its signatures agree well
-   enough and its sketches differ in no more bits than the sets of a similar pair could.
-4. In a bucket of up to SMALL lines all pairs are compared. All lines of a larger one
-   are compared with PICKED of them. That ties most groups of near copies. What verified
-   links don't connect in a bucket yet is compared through rare shingles: lines are
-   joined on their rarest ones only, as many as any similar pair must share one of
-   (prefix filter, no link is lost). So lines that have much in common, yet aren't
-   similar, don't meet, and no bucket ends as all its pairs. Nothing is capped.
+3. Two of the values make a band's bucket. In a bucket of up to SMALL lines all pairs
+   whose signatures agree well enough go on.
+4. Lines of larger buckets get an odd sketch of their shingle set (Mitzenmacher, Pagh and
+   Pham, 2014): a bit says whether the number of shingles hashed to it is odd. Two
+   sketches differ in no more bits than the sets differ in shingles, whatever they share,
+   so the bound, applied in the bucket's join itself, loses no link. All lines of such a
+   bucket are compared with some of them, picked by hash. That ties most groups of near
+   copies. Of what verified links don't connect in a bucket yet, all pairs are compared
+   if the bucket has up to MIDDLE lines. Lines of larger ones are joined on their rarest
+   shingles only, as many as any similar pair must share one of (prefix filter, no link
+   is lost). So lines that have much in common, yet aren't similar, don't meet, and no
+   bucket of any size ends as all its pairs. Nothing is capped.
 5. Pairs that are left are verified by the exact Jaccard similarity of their shingle sets.
 6. Distributed union-find over the verified links; of each component the line
    that comes first (by doc_id, then place) stays, all others go.
@@ -27,6 +27,7 @@ combines before the shuffle, and sent back by plain joins that AQE splits.
 from __future__ import annotations
 
 import random
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -36,18 +37,20 @@ from ledgerline.llm.staging import free_name, stage
 
 SHINGLE = 9          # code points
 PER_ROW = 4          # shingles that are hashed in one row
-VALUES = 12          # signature values of a line
-WORDS = 16           # LONGs of its odd sketch
-#: Three values make a band, every value is in three bands. The values come from one hash and
-#: aren't independent. Simulated (20,000 random pairs each), AGREE included: a pair of similarity
-#: 0.8 becomes a candidate in 0.970 of cases with 10 shingles in the union, 0.977 with 20, 0.985
-#: with 40, 0.987 with 200; of 0.85 in 0.991 with 20, 0.996 with 200; of 0.9 in 0.998 with 20.
-BANDS = [(3, 5, 9), (2, 10, 11), (4, 7, 8), (0, 1, 6), (0, 7, 9), (1, 2, 3), (5, 6, 11), (3, 8, 10),
-         (1, 4, 9), (0, 4, 5), (2, 6, 7), (0, 8, 11)]
+VALUES = 10          # signature values of a line
+WORDS = 16           # LONGs of the odd sketch of a line of a large bucket
+#: Two values make a band. The values come from one hash and aren't independent. Measured by
+#: tests/llm/test_line_recall.py (6,000 random pairs each), AGREE and sketches included: a pair
+#: of similarity 0.8 becomes a candidate in 0.981 of cases with 10 shingles in the union, 0.985
+#: with 20, 0.987 with 40, 0.989 with 200.
+BANDS = [(0, 1), (2, 3), (4, 5), (6, 7), (8, 9)]
 THRESHOLD = 0.8
-AGREE = 5            # values in which candidates must agree; at 0.8 a pair has 0.999 of doing so
-SMALL = 8            # lines in a bucket that are all compared
-PICKED = 4           # lines that a larger bucket's lines are compared with
+AGREE = 4            # values in which candidates must agree; at 0.8 a pair has 0.999 of doing so
+SMALL = 8            # lines in a bucket that are all compared by their signatures
+MIDDLE = 128         # lines in a bucket that are all compared by their sketches, if links leave them apart
+PICKED = 4           # lines that a larger bucket's lines are compared with first
+PICKED_MORE = 16     # the same for more than MIDDLE lines
+FIRSTS = 24          # rare shingles of a line that are looked at, so that a pair comes out once
 PREFILTER = 1 << 20  # hash classes of the broadcast prefilter: its size bound
 
 _VALUES = [f"m{i}" for i in range(VALUES)]
@@ -55,11 +58,16 @@ _SKETCH = [f"s{i}" for i in range(WORDS)]
 _OWN = ["k", *_VALUES, *_SKETCH, "n"]
 
 _random = random.Random(42)
-_CONSTANTS = [_random.getrandbits(64) - 2**63 for _ in range(VALUES)]
+_CONSTANTS = [_random.getrandbits(64) - 2**63 for _ in range(max(VALUES, PICKED_MORE))]
+
+
+_BLANKS = " \t\r\u000b\f"
 
 
 def normal(line: Column) -> Column:
-    return F.trim(line, F.lit(" \t\r\u000b\f"))
+    # most lines have no blank at their ends, and to trim is dear
+    ends = [end(line, F.lit(x)) for end in (F.startswith, F.endswith) for x in _BLANKS]
+    return F.when(reduce(Column.__or__, ends), F.trim(line, F.lit(_BLANKS))).otherwise(line)
 
 
 def _lines(docs: DataFrame, text: str) -> DataFrame:
@@ -119,18 +127,22 @@ def odd_sketches(texts: DataFrame) -> DataFrame:
                                 for w, s in enumerate(_SKETCH)], "n")
 
 
-def _side(members: DataFrame, x: str, *columns) -> DataFrame:
-    """``members`` with the key and the signature named for one side of a pair."""
-    return members.select(*columns, F.col("k").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in _OWN[1:]])
+def _side(members: DataFrame, x: str, *columns, own: list[str] = _OWN[1:]) -> DataFrame:
+    """``members`` with the key and the columns ``own`` named for one side of a pair."""
+    return members.select(*columns, F.col("k").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in own])
+
+
+def _agree() -> Column:
+    """Whether the signatures of a and b agree well enough."""
+    return F.expr(" + ".join(f"cast({m}_a = {m}_b AS int)" for m in _VALUES) + f" >= {AGREE}")
 
 
 def _near(threshold: float) -> Column:
-    """Whether the signatures of a and b leave them a chance of the threshold."""
-    agree = " + ".join(f"cast({m}_a = {m}_b AS int)" for m in _VALUES)
+    """Whether the signatures and sketches of a and b leave them a chance of the threshold."""
     differ = " + ".join(f"bit_count({s}_a ^ {s}_b)" for s in _SKETCH)
     # |x - y| + |y - x| <= (1 - t) / (1 + t) * (|x| + |y|) for sets of similarity t
     most = (1 - threshold) / (1 + threshold)
-    return F.expr(f"{agree} >= {AGREE} AND {differ} <= {most + 1e-9!r}D * (n_a + n_b)")
+    return _agree() & F.expr(f"{differ} <= {most + 1e-9!r}D * (n_a + n_b)")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
@@ -153,46 +165,62 @@ def _rare_shingle_pairs(rest: DataFrame, sketches: DataFrame, texts: DataFrame,
     """Candidates ``(a, b)`` among the lines ``rest(k, c)`` that are of different components
     ``c``. Of two similar lines the larger set x shares a shingle of its first |x| - t |x| + 1
     with the first |y| - 2 t / (1 + t) |y| + 1 of the smaller set y, in any order that both
-    keep; here rare shingles come first, and those of one line only meet nobody."""
+    keep; here rare shingles come first, and those of one line only meet nobody. Two lines
+    with common shingles among their FIRSTS come out at the least of these only."""
     sets = stage(rest.join(texts, "k").select("k", "c", _shingles("line").alias("hs"))
                  .select("k", "c", F.size("hs").alias("n"), F.explode("hs").alias("h")), "line-shingles")
     shared = sets.groupBy("h").agg(F.count(F.lit(1)).alias("f")).where("f > 1")
-    alone = F.col("n") - F.count(F.lit(1)).over(Window.partitionBy("k"))
-    place = F.row_number().over(Window.partitionBy("k").orderBy("f", "h"))
-    ranked = sets.join(shared, "h").withColumn("place", place + alone)
+    own = Window.partitionBy("k")
+    alone = F.col("n") - F.count(F.lit(1)).over(own)
+    ranked = (sets.join(shared, "h").withColumn("rank", F.row_number().over(own.orderBy("f", "h")))
+              .withColumn("place", F.col("rank") + alone))
     first = lambda share: F.col("n") - F.ceil(share * F.col("n") - 1e-9) + 1
     ranked = (ranked.where(F.col("place") <= first(threshold))
-              .withColumn("short", F.col("place") <= first(2 * threshold / (1 + threshold))))
-    ranked = stage(ranked.select("k", "c", "h", "short").join(sketches, "k"), "rare-shingles")
-    side = lambda rows, x: _side(rows, x, "h", F.col("c").alias(f"c_{x}"))
+              .withColumn("short", F.col("place") <= first(2 * threshold / (1 + threshold)))
+              .withColumn("firsts", F.collect_list(F.when(F.col("short") & (F.col("rank") <= FIRSTS), F.col("h")))
+                          .over(own)))
+    ranked = stage(ranked.select("k", "c", "h", "short", "firsts").join(sketches, "k"), "rare-shingles")
+    side = lambda rows, x: _side(rows, x, "h", *[F.col(c).alias(f"{c}_{x}") for c in ("c", "firsts")])
+    # all elements of firsts have a row on both sides
+    once = F.expr("coalesce(array_min(array_intersect(firsts_a, firsts_b)) = h, true)")
     return (side(ranked, "a").join(side(ranked.where("short"), "b"), "h")
             .where(F.expr(f"c_a <> c_b AND struct(n_b, b) < struct(n_a, a) AND n_b >= {threshold - 1e-9!r}D * n_a")
-                   & _near(threshold)).select("a", "b").distinct())
+                   & _near(threshold) & once).select("a", "b").distinct())
 
 
 def similar_lines(lines: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """Verified links ``(src, dst)`` between keys of different lines that connect
-    what the bands brought together."""
-    signed = stage(signatures(lines), "line-signatures")
+    """Edges ``(src, dst)`` that connect the keys of different lines which verified links
+    connect, of those that the bands brought together."""
+    signed = stage(signatures(lines).drop("k2"), "line-signatures")
     bands = [F.xxhash64(F.lit(b), *[f"m{i}" for i in values]) for b, values in enumerate(BANDS)]
     rows = signed.select("k", F.explode(F.array(*bands)).alias("band"))
     shared = rows.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     left = stage(rows.join(shared, "band"), "bucket-members")
-    members = left.select("k").distinct()
-    classes = left.select(F.pmod("k", F.lit(PREFILTER)).alias("class")).distinct()
+    few, large = left.where(F.col("n") <= SMALL), left.where(F.col("n") > SMALL)
+    signed = stage(signed.join(left.select("k").distinct(), "k"), "member-signatures")
+
+    few = few.select("band", "k").join(signed, "k")
+    pairs = (_side(few, "a", "band", own=_VALUES).join(_side(few, "b", "band", own=_VALUES), "band")
+             .where(F.expr("a < b") & _agree()).select("a", "b").distinct())
+    pairs = stage(pairs, "bucket-pairs")
+
+    wanted = (pairs.select(F.explode(F.array("a", "b")).alias("k")).withColumn("large", F.lit(False))
+              .unionByName(large.select("k", F.lit(True).alias("large")))
+              .groupBy("k").agg(F.max("large").alias("large")))
+    wanted = stage(wanted, "candidates")
+    classes = wanted.select(F.pmod("k", F.lit(PREFILTER)).alias("class")).distinct()
     texts = (lines.select(F.xxhash64("line").alias("k"), "line")
              .withColumn("class", F.pmod("k", F.lit(PREFILTER)))
              .join(F.broadcast(classes), "class", "left_semi")     # at most PREFILTER rows
-             .join(members, "k", "left_semi").select("k", "line").distinct())
+             .join(wanted, "k").select("k", "line", "large").distinct())
     texts = stage(texts, "candidate-lines")
-    sketches = stage(signed.join(odd_sketches(texts), "k").select(_OWN), "line-sketches")
-
-    few = left.where(F.col("n") <= SMALL).select("band", "k").join(sketches, "k")
-    pairs = (_side(few, "a", "band").join(_side(few, "b", "band"), "band")
-             .where(F.expr("a < b") & _near(threshold)).select("a", "b"))
-    large = left.where(F.col("n") > SMALL)
-    picked = [F.min(F.col("k").bitwiseXOR(F.lit(x))).bitwiseXOR(F.lit(x)) for x in _CONSTANTS[:PICKED]]
-    large = large.join(large.groupBy("band").agg(F.array_distinct(F.array(*picked)).alias("picked")), "band")
+    sketches = stage(signed.join(odd_sketches(texts.where("large")), "k").select(_OWN), "line-sketches")
+
+    picked = [F.min(F.col("k").bitwiseXOR(F.lit(x))).bitwiseXOR(F.lit(x)) for x in _CONSTANTS[:PICKED_MORE]]
+    picks = large.groupBy("band").agg(F.max("n").alias("lines"), F.array(*picked).alias("picked")).select(
+        "band", F.array_distinct(F.when(F.col("lines") > MIDDLE, F.col("picked"))
+                                 .otherwise(F.slice("picked", 1, PICKED))).alias("picked"))
+    large = large.join(picks, "band")
     met = large.select("k", F.explode("picked").alias("b")).where("k <> b").distinct()
     met = (_side(met.join(sketches, "k"), "a", "b").join(_side(sketches, "b"), "b")
            .where(_near(threshold)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
@@ -200,15 +228,21 @@ def similar_lines(lines: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
     # lines of large buckets that aren't one component; those picked have all their links
     labels = connected_components(_edges(links)).withColumnRenamed("node", "k")
-    open_ = stage(large.where(~F.array_contains("picked", F.col("k"))).select("band", "k")
-                  .join(labels, "k", "left").select("band", "k", F.coalesce("component", "k").alias("c")),
+    open_ = stage(large.where(~F.array_contains("picked", F.col("k"))).select("band", "k", "n")
+                  .join(labels, "k", "left").select("band", "k", "n", F.coalesce("component", "k").alias("c")),
                   "open-buckets")
     apart = open_.groupBy("band").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high")
-    rest = stage(open_.join(apart.select("band"), "band", "left_semi").select("k", "c").distinct(), "open-lines")
+    rest = stage(open_.join(apart.select("band"), "band", "left_semi"), "open-lines")
+    edges = labels.select(F.col("k").alias("src"), F.col("component").alias("dst"))
     if not rest.isEmpty():
-        more = _rare_shingle_pairs(rest, sketches, texts, threshold)
-        links = links.unionByName(stage(_verified(more, texts, threshold), "links"))
-    return _edges(links)
+        middle = rest.where(F.col("n") <= MIDDLE).select("band", "k", "c").join(sketches, "k")
+        side = lambda x: _side(middle, x, "band", F.col("c").alias(f"c_{x}"))
+        more = (side("a").join(side("b"), "band")
+                .where(F.expr("a < b AND c_a <> c_b") & _near(threshold)).select("a", "b"))
+        beyond = rest.where(F.col("n") > MIDDLE).select("k", "c").distinct()
+        more = more.unionByName(_rare_shingle_pairs(beyond, sketches, texts, threshold)).distinct()
+        edges = edges.unionByName(_edges(stage(_verified(more, texts, threshold), "links")))
+    return edges
 
 
 def line_groups(docs: DataFrame, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
@@ -250,11 +284,12 @@ def dedup_lines(docs: DataFrame, text: str = "text", threshold: float = THRESHOL
     cut = (docs.alias("d").join(gone.alias("g"), F.expr(
         f"xxhash64(d.{text}) = g.text_hash AND d.doc_id <=> g.doc_id"), "left")
         .select("d.*", F.col("g.gone").alias(own)))
-    # a line's places are whole numbers from 0; array_except keeps their order
-    lines = F.split(text, "\n")
-    places = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(own))
-    whole = F.when(F.col(own).isNull(), F.col(text)).otherwise(
-        F.array_join(F.transform(places, lambda i: F.get(lines, i)), "\n"))
+    # a line's places are whole numbers from 0; array_except keeps their order.
+    # The outer transform cuts the text once, not for every line
+    places = lambda lines: F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(own))
+    whole = F.when(F.col(own).isNull(), F.col(text)).otherwise(F.element_at(F.transform(
+        F.array(F.split(text, "\n")), lambda lines: F.array_join(
+            F.transform(places(lines), lambda i: F.get(lines, i)), "\n")), 1))
     out = cut.select(*[whole.alias(c) if c == text else F.col(c) for c in docs.columns
                        if c != dropped_col],
                      F.coalesce(F.size(own), F.lit(0)).cast("long").alias(dropped_col))

@@ -148,3 +148,41 @@ def test_stage_drops_emptied_documents_only(spark):
         (1, "same line of text here", 22), (3, "and one of its own", 18), (4, "", 0), (5, None, None),
         (6, " \n", 2)}
     assert LD.keep_first_lines(df.limit(0)).count() == 0
+
+
+def test_lines_of_small_buckets_need_no_sketch(spark, monkeypatch):
+    """Only lines of pairs that agree are looked up again, only those of large buckets are sketched."""
+    rng = random.Random(12)
+    letters = lambda n: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=n))      # noqa: E731
+    lines = [letters(120) for _ in range(200)]
+    lines += [x + "z" for x in lines[:20]]
+    near = [letters(60)]
+    near += [near[0] + c for c in "abcdefghijklmno"]    # one large bucket
+    sizes = {}
+    stage = LD.stage
+
+    def counted(df, name):
+        out = stage(df, name)
+        sizes[name] = out.count()
+        return out
+    monkeypatch.setattr(LD, "stage", counted)
+    rows = spark.createDataFrame(list(enumerate(lines + near)), "doc_id long, text string")
+    got = {r.doc_id for r in LD.dedup_lines(rows).where("text = ''").collect()}
+    assert got == {*range(200, 220), *range(221, 236)}
+    assert sizes["line-sketches"] == 16 and sizes["candidate-lines"] <= 40 + 16, sizes
+
+
+def test_rare_shingle_pairs_come_out_once(spark, monkeypatch):
+    """Before, a pair came out of the join once for each rare shingle that both lines have."""
+    rng = random.Random(13)
+    base = "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=150))
+    lines = [base + "".join(rng.choices("ABCDEFGH", k=4)) for _ in range(12)]
+    texts = spark.createDataFrame([(x,) for x in sorted(set(lines))], "line string").selectExpr("xxhash64(line) AS k", "line")
+    sketches = LD.signatures(texts.select("line")).join(LD.odd_sketches(texts), "k").select(LD._OWN)
+    came = []
+    frame = type(texts)
+    distinct = frame.distinct
+    monkeypatch.setattr(frame, "distinct", lambda self: came.append(self) or distinct(self))
+    n = LD._rare_shingle_pairs(texts.selectExpr("k", "k AS c"), sketches, texts, 0.8).count()
+    monkeypatch.undo()
+    assert n == 66 and came[-1].count() <= 2 * n
