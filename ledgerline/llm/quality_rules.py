@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline.llm import ngrams as NG
-from ledgerline.llm.samples import collect_features, first_by_hash
+from ledgerline.llm.samples import collect_packed, first_by_hash, unpacked
 from ledgerline.llm.staging import free_name
 from ledgerline.llm.words import slices
 
@@ -56,11 +56,11 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", rows: int =
              .select("doc_id", F.col(label).cast("int").alias("label")).distinct())
     chosen = first_by_hash(known, "doc_id", rows)        # at most ``rows`` rows: can be broadcast
     texts = docs.where("text IS NOT NULL").select("doc_id", "text")
-    x, y = collect_features(texts.join(F.broadcast(chosen), "doc_id"), "label")
+    packed, y = collect_packed(texts.join(F.broadcast(chosen), "doc_id"), "label")
     order = np.random.default_rng(11).permutation(len(y))
     apart, own = order[:len(y) // 5], order[len(y) // 5:]
-    model = NG.fit_logistic(x[own], y[own])
-    logits = x[apart] @ model.weights.astype(np.float32) + model.bias
+    model = NG.fit_logistic(unpacked(packed, own), y[own])
+    logits = unpacked(packed, apart) @ model.weights.astype(np.float32) + model.bias
     return QualityModel(model, *NG.fit_platt(logits, y[apart]))
 
 
