@@ -4,18 +4,19 @@
 2. Every code-point shingle of a line is hashed once; the signature is, for each
    of VALUES constants, the least of hash XOR constant (pre-aggregated in the tasks:
    a line's shingles are never shuffled).
-3. Two of the values make a band's bucket. In a bucket of up to SMALL lines all pairs
+3. Three of the values make a band's bucket: unlike lines rarely meet. In a bucket of up to SMALL lines all pairs
    whose signatures agree well enough go on.
 4. Lines of larger buckets get an odd sketch of their shingle set (Mitzenmacher, Pagh and
    Pham, 2014): a bit says whether the number of shingles hashed to it is odd. Two
    sketches differ in no more bits than the sets differ in shingles, whatever they share,
    so the bound, applied in the bucket's join itself, loses no link. All lines of such a
-   bucket are compared with some of them, picked by hash. That ties most groups of near
-   copies. Of what verified links don't connect in a bucket yet, all pairs are compared
-   if the bucket has up to MIDDLE lines. Lines of larger ones are joined on their rarest
-   shingles only, as many as any similar pair must share one of (prefix filter, no link
-   is lost). So lines that have much in common, yet aren't similar, don't meet, and no
-   bucket of any size ends as all its pairs. Nothing is capped.
+   bucket are compared with some of them, picked by hash, and with the one whose buckets are
+   the largest. That ties most groups of near copies, originals to their edited copies too.
+   Of a bucket that verified links leave in more than one component, the lines outside of the
+   largest one are compared with all others, up to OUTSIDE of them. Lines of buckets with more
+   are joined on their rarest shingles only, as many as any similar pair must share one of
+   (prefix filter, no link is lost). So lines that have much in common, yet aren't similar,
+   don't meet, and no bucket of any size ends as all its pairs. Nothing is capped.
 5. Pairs that are left are verified by the exact Jaccard similarity of their shingle sets.
 6. Distributed union-find over the verified links; of each component the line
    that comes first (by doc_id, then place) stays, all others go.
@@ -36,18 +37,17 @@ from ledgerline.llm.components import connected_components
 from ledgerline.llm.staging import free_name, stage
 
 SHINGLE = 9          # code points
-PER_ROW = 4          # shingles that are hashed in one row
-VALUES = 10          # signature values of a line
+PER_ROW = 8          # shingles that are hashed in one row
+VALUES = 21          # signature values of a line
 WORDS = 16           # LONGs of the odd sketch of a line of a large bucket
-#: Two values make a band. The values come from one hash and aren't independent. Measured by
-#: tests/llm/test_line_recall.py (6,000 random pairs each), AGREE and sketches included: a pair
-#: of similarity 0.8 becomes a candidate in 0.981 of cases with 10 shingles in the union, 0.985
-#: with 20, 0.987 with 40, 0.989 with 200.
-BANDS = [(0, 1), (2, 3), (4, 5), (6, 7), (8, 9)]
+#: Three values make a band. The values come from one hash and aren't independent; the recall
+#: is measured by tests/llm/test_line_recall.py, AGREE and sketches included.
+BANDS = [tuple(range(i, i + 3)) for i in range(0, VALUES, 3)]
 THRESHOLD = 0.8
-AGREE = 4            # values in which candidates must agree; at 0.8 a pair has 0.999 of doing so
+AGREE = 11           # values in which candidates must agree; at 0.8 a pair has 0.999 of doing so
 SMALL = 8            # lines in a bucket that are all compared by their signatures
-MIDDLE = 128         # lines in a bucket that are all compared by their sketches, if links leave them apart
+MIDDLE = 128         # lines in a bucket beyond which more lines are picked
+OUTSIDE = 1024       # lines outside of a bucket's largest component that are compared by their sketches
 PICKED = 4           # lines that a larger bucket's lines are compared with first
 PICKED_MORE = 16     # the same for more than MIDDLE lines
 FIRSTS = 24          # rare shingles of a line that are looked at, so that a pair comes out once
@@ -55,7 +55,9 @@ PREFILTER = 1 << 20  # hash classes of the broadcast prefilter: its size bound
 
 _VALUES = [f"m{i}" for i in range(VALUES)]
 _SKETCH = [f"s{i}" for i in range(WORDS)]
+_PACKED = [f"p{i}" for i in range(-(-VALUES // 16))]
 _OWN = ["k", *_VALUES, *_SKETCH, "n"]
+_SHORT = ["k", *_PACKED, *_SKETCH, "n"]
 
 _random = random.Random(42)
 _CONSTANTS = [_random.getrandbits(64) - 2**63 for _ in range(max(VALUES, PICKED_MORE))]
@@ -101,10 +103,11 @@ def _shingles(line: str) -> Column:
 def signatures(lines: DataFrame) -> DataFrame:
     """(k, k2, m0, ...): one row per distinct line."""
     # keys and points are made below the explode, once a line; a row then has the
-    # hashes of PER_ROW shingles, the last one repeated where the line is over
+    # hashes of PER_ROW shingles, the last one repeated where the line is over. Nothing explodes
+    # to nothing here; explode alone would make Spark filter by size and make the arrays twice
     rows = (lines.select(*_keys(), F.encode("line", "UTF-32").alias("points"), _last("line").alias("last"))
             .withColumn("starts", F.sequence(F.lit(1), F.col("last"), F.lit(PER_ROW)))
-            .select("k", "k2", "points", "last", F.explode("starts").alias("i")))
+            .select("k", "k2", "points", "last", F.explode_outer("starts").alias("i")))
     hashes = [f"h{j}" for j in range(PER_ROW)]
     points = rows.select("k", "k2", "last", *[
         _shingle_hash(F.col("points"), F.least(F.col("i") + j, F.col("last"))).alias(h)
@@ -117,7 +120,7 @@ def signatures(lines: DataFrame) -> DataFrame:
 def odd_sketches(texts: DataFrame) -> DataFrame:
     """(k, s0, ..., n) of ``texts(k, line)``: the odd sketch and the size of the shingle set."""
     # the last bits of a hash say which bit it turns over, those before in which word
-    rows = texts.select("k", F.explode(_shingles("line")).alias("h")).select(
+    rows = texts.select("k", F.explode_outer(_shingles("line")).alias("h")).select(
         "k", F.expr(f"cast(shiftright(h, 6) & {WORDS - 1} AS int)").alias("w"),
         F.expr("shiftleft(1L, cast(h & 63 AS int))").alias("bit"))
     words = rows.groupBy("k", "w").agg(F.bit_xor("bit").alias("x"), F.count(F.lit(1)).alias("n"))
@@ -132,17 +135,29 @@ def _side(members: DataFrame, x: str, *columns, own: list[str] = _OWN[1:]) -> Da
     return members.select(*columns, F.col("k").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in own])
 
 
-def _agree() -> Column:
+def _packed() -> list[Column]:
+    """The last 4 bits of every signature value, 16 of them in a LONG: a join compares these
+    much faster than VALUES columns. Values that differ may agree in them, not the reverse."""
+    return [F.expr(" | ".join(f"shiftleft(cast({m} & 15 AS bigint), {4 * i})"
+                              for i, m in enumerate(_VALUES[16 * j:16 * j + 16]))).alias(p)
+            for j, p in enumerate(_PACKED)]
+
+
+def _agree(packed: bool = False) -> Column:
     """Whether the signatures of a and b agree well enough."""
+    if packed:
+        # of every 4 bits the last one is set if any of them differs; 0x1111111111111111
+        differ = [" | ".join(f"shiftrightunsigned({p}_a ^ {p}_b, {i})" for i in range(4)) for p in _PACKED]
+        return F.expr(" + ".join(f"bit_count(({x}) & 1229782938247303441L)" for x in differ) + f" <= {VALUES - AGREE}")
     return F.expr(" + ".join(f"cast({m}_a = {m}_b AS int)" for m in _VALUES) + f" >= {AGREE}")
 
 
-def _near(threshold: float) -> Column:
+def _near(threshold: float, packed: bool = False) -> Column:
     """Whether the signatures and sketches of a and b leave them a chance of the threshold."""
     differ = " + ".join(f"bit_count({s}_a ^ {s}_b)" for s in _SKETCH)
     # |x - y| + |y - x| <= (1 - t) / (1 + t) * (|x| + |y|) for sets of similarity t
     most = (1 - threshold) / (1 + threshold)
-    return _agree() & F.expr(f"{differ} <= {most + 1e-9!r}D * (n_a + n_b)")
+    return _agree(packed) & F.expr(f"{differ} <= {most + 1e-9!r}D * (n_a + n_b)")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
@@ -168,7 +183,7 @@ def _rare_shingle_pairs(rest: DataFrame, sketches: DataFrame, texts: DataFrame,
     keep; here rare shingles come first, and those of one line only meet nobody. Two lines
     with common shingles among their FIRSTS come out at the least of these only."""
     sets = stage(rest.join(texts, "k").select("k", "c", _shingles("line").alias("hs"))
-                 .select("k", "c", F.size("hs").alias("n"), F.explode("hs").alias("h")), "line-shingles")
+                 .select("k", "c", F.size("hs").alias("n"), F.explode_outer("hs").alias("h")), "line-shingles")
     shared = sets.groupBy("h").agg(F.count(F.lit(1)).alias("f")).where("f > 1")
     own = Window.partitionBy("k")
     alone = F.col("n") - F.count(F.lit(1)).over(own)
@@ -179,29 +194,34 @@ def _rare_shingle_pairs(rest: DataFrame, sketches: DataFrame, texts: DataFrame,
               .withColumn("short", F.col("place") <= first(2 * threshold / (1 + threshold)))
               .withColumn("firsts", F.collect_list(F.when(F.col("short") & (F.col("rank") <= FIRSTS), F.col("h")))
                           .over(own)))
+    if _VALUES[0] in sketches.columns:
+        sketches = sketches.select("k", *_packed(), *_SKETCH, "n")
     ranked = stage(ranked.select("k", "c", "h", "short", "firsts").join(sketches, "k"), "rare-shingles")
-    side = lambda rows, x: _side(rows, x, "h", *[F.col(c).alias(f"{c}_{x}") for c in ("c", "firsts")])
+    side = lambda rows, x: _side(rows, x, "h", *[F.col(c).alias(f"{c}_{x}") for c in ("c", "firsts")],
+                                 own=_SHORT[1:])
     # all elements of firsts have a row on both sides
     once = F.expr("coalesce(array_min(array_intersect(firsts_a, firsts_b)) = h, true)")
     return (side(ranked, "a").join(side(ranked.where("short"), "b"), "h")
             .where(F.expr(f"c_a <> c_b AND struct(n_b, b) < struct(n_a, a) AND n_b >= {threshold - 1e-9!r}D * n_a")
-                   & _near(threshold) & once).select("a", "b").distinct())
+                   & _near(threshold, packed=True) & once).select("a", "b").distinct())
 
 
 def similar_lines(lines: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Edges ``(src, dst)`` that connect the keys of different lines which verified links
     connect, of those that the bands brought together."""
-    signed = stage(signatures(lines).drop("k2"), "line-signatures")
-    bands = [F.xxhash64(F.lit(b), *[f"m{i}" for i in values]) for b, values in enumerate(BANDS)]
-    rows = signed.select("k", F.explode(F.array(*bands)).alias("band"))
+    bands = [F.xxhash64(F.lit(b), *[f"m{i}" for i in values]).alias(f"b{b}") for b, values in enumerate(BANDS)]
+    signed = stage(signatures(lines).select("k", *bands, *_packed()), "line-signatures")
+    rows = signed.select("k", F.explode(F.array(*[f"b{b}" for b in range(len(BANDS))])).alias("band"))
     shared = rows.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     left = stage(rows.join(shared, "band"), "bucket-members")
     few, large = left.where(F.col("n") <= SMALL), left.where(F.col("n") > SMALL)
-    signed = stage(signed.join(left.select("k").distinct(), "k"), "member-signatures")
+    # a line of many large buckets is like many others, as the original of edited copies is
+    members = left.groupBy("k").agg(F.sum("n").alias("total"))
+    signed = stage(signed.select("k", *_PACKED).join(members, "k"), "member-signatures")
 
     few = few.select("band", "k").join(signed, "k")
-    pairs = (_side(few, "a", "band", own=_VALUES).join(_side(few, "b", "band", own=_VALUES), "band")
-             .where(F.expr("a < b") & _agree()).select("a", "b").distinct())
+    pairs = (_side(few, "a", "band", own=_PACKED).join(_side(few, "b", "band", own=_PACKED), "band")
+             .where(F.expr("a < b") & _agree(packed=True)).select("a", "b").distinct())
     pairs = stage(pairs, "bucket-pairs")
 
     wanted = (pairs.select(F.explode(F.array("a", "b")).alias("k")).withColumn("large", F.lit(False))
@@ -214,16 +234,20 @@ def similar_lines(lines: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
              .join(F.broadcast(classes), "class", "left_semi")     # at most PREFILTER rows
              .join(wanted, "k").select("k", "line", "large").distinct())
     texts = stage(texts, "candidate-lines")
-    sketches = stage(signed.join(odd_sketches(texts.where("large")), "k").select(_OWN), "line-sketches")
+    sketches = stage(signed.join(odd_sketches(texts.where("large")), "k").select(_SHORT), "line-sketches")
+    side = lambda rows, x, *columns: _side(rows, x, *columns, own=_SHORT[1:])
+
 
     picked = [F.min(F.col("k").bitwiseXOR(F.lit(x))).bitwiseXOR(F.lit(x)) for x in _CONSTANTS[:PICKED_MORE]]
-    picks = large.groupBy("band").agg(F.max("n").alias("lines"), F.array(*picked).alias("picked")).select(
-        "band", F.array_distinct(F.when(F.col("lines") > MIDDLE, F.col("picked"))
-                                 .otherwise(F.slice("picked", 1, PICKED))).alias("picked"))
+    central = F.max_by("k", F.struct("total", "k"))
+    picks = (large.join(signed.select("k", "total"), "k").groupBy("band")
+             .agg(F.max("n").alias("lines"), F.array(*picked).alias("picked"), central.alias("central")).select(
+        "band", F.array_union(F.when(F.col("lines") > MIDDLE, F.col("picked"))
+                              .otherwise(F.slice("picked", 1, PICKED)), F.array("central")).alias("picked")))
     large = large.join(picks, "band")
     met = large.select("k", F.explode("picked").alias("b")).where("k <> b").distinct()
-    met = (_side(met.join(sketches, "k"), "a", "b").join(_side(sketches, "b"), "b")
-           .where(_near(threshold)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
+    met = (side(met.join(sketches, "k"), "a", "b").join(side(sketches, "b"), "b")
+           .where(_near(threshold, packed=True)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
     links = stage(_verified(pairs.unionByName(met).distinct(), texts, threshold), "links")
 
     # lines of large buckets that aren't one component; those picked have all their links
@@ -231,17 +255,23 @@ def similar_lines(lines: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     open_ = stage(large.where(~F.array_contains("picked", F.col("k"))).select("band", "k", "n")
                   .join(labels, "k", "left").select("band", "k", "n", F.coalesce("component", "k").alias("c")),
                   "open-buckets")
-    apart = open_.groupBy("band").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high")
-    rest = stage(open_.join(apart.select("band"), "band", "left_semi"), "open-lines")
+    # in an open bucket all pairs that are left have a line outside of its largest component
+    parts = open_.groupBy("band", "c").agg(F.count(F.lit(1)).alias("lines"))
+    apart = (parts.groupBy("band").agg(F.max_by("c", F.struct("lines", "c")).alias("main"),
+                                       (F.sum("lines") - F.max("lines")).alias("outside")).where("outside > 0"))
+    rest = stage(open_.join(apart, "band"), "open-lines")
     edges = labels.select(F.col("k").alias("src"), F.col("component").alias("dst"))
     if not rest.isEmpty():
-        middle = rest.where(F.col("n") <= MIDDLE).select("band", "k", "c").join(sketches, "k")
-        side = lambda x: _side(middle, x, "band", F.col("c").alias(f"c_{x}"))
-        more = (side("a").join(side("b"), "band")
-                .where(F.expr("a < b AND c_a <> c_b") & _near(threshold)).select("a", "b"))
-        beyond = rest.where(F.col("n") > MIDDLE).select("k", "c").distinct()
-        more = more.unionByName(_rare_shingle_pairs(beyond, sketches, texts, threshold)).distinct()
-        edges = edges.unionByName(_edges(stage(_verified(more, texts, threshold), "links")))
+        few = rest.where(F.col("outside") <= OUTSIDE).select("band", "k", "c", "main").join(sketches, "k")
+        more = (side(few.where("c <> main"), "a", "band", F.col("c").alias("c_a"))
+                .join(side(few, "b", "band", F.col("c").alias("c_b"), "main"), "band")
+                .where(F.expr("c_a <> c_b AND (c_b = main OR a < b)") & _near(threshold, packed=True))
+                .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
+        beyond = rest.where(F.col("outside") > OUTSIDE).select("k", "c").distinct()
+        if not beyond.isEmpty():
+            rare = _rare_shingle_pairs(beyond, sketches, texts, threshold)
+            more = more.unionByName(rare.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
+        edges = edges.unionByName(_edges(stage(_verified(more.distinct(), texts, threshold), "links")))
     return edges
 
 

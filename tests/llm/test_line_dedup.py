@@ -186,3 +186,31 @@ def test_rare_shingle_pairs_come_out_once(spark, monkeypatch):
     n = LD._rare_shingle_pairs(texts.selectExpr("k", "k AS c"), sketches, texts, 0.8).count()
     monkeypatch.undo()
     assert n == 66 and came[-1].count() <= 2 * n
+
+
+def test_copies_of_an_original_need_no_rare_shingles(spark, monkeypatch):
+    """Before, a large bucket that picked lines did not tie had all its shingles shuffled."""
+    rows = list(enumerate(edited(5, 400)))
+    staged = []
+    stage = LD.stage
+    monkeypatch.setattr(LD, "stage", lambda df, name: staged.append(name) or stage(df, name))
+    got = LD.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    kept = {r.doc_id for r in got if r.text}
+    assert 0 in kept and len(kept) <= 20, sorted(kept)
+    assert "line-sketches" in staged and "line-shingles" not in staged
+
+
+def test_packed_values_lose_no_agreement(spark):
+    rng = random.Random(3)
+    rows = []
+    for agree in range(LD.VALUES + 1):
+        left = [rng.getrandbits(32) - 2**31 for _ in range(LD.VALUES)]
+        same = set(rng.sample(range(LD.VALUES), agree))
+        rows.append((agree, *left, *[x if i in same else (x ^ (1 << rng.randrange(4))) for i, x in enumerate(left)]))
+    df = spark.createDataFrame(rows, ", ".join(["n int", *[f"{m}_{x} int" for x in "ab" for m in LD._VALUES]]))
+    for x in "ab":
+        own = df.select("n", *[df[f"{m}_{x}"].alias(m) for m in LD._VALUES]).select(
+            "n", *[p.alias(f"{name}_{x}") for p, name in zip(LD._packed(), LD._PACKED)])
+        df = df.join(own, "n")
+    got = df.select("n", LD._agree().alias("whole"), LD._agree(packed=True).alias("packed")).collect()
+    assert {r.n: (r.whole, r.packed) for r in got} == {n: (n >= LD.AGREE,) * 2 for n in range(LD.VALUES + 1)}
