@@ -131,6 +131,16 @@ def test_the_number_of_jobs_does_not_follow_the_number_of_files(spark, scratch):
     assert many <= few + 2, (few, many)
 
 
+def test_few_and_many_files_take_the_same_number_of_jobs(spark, scratch):
+    """Both callables live through both counts, so their job groups differ."""
+    for n in (3, 60):
+        for i in range(n):
+            write(f"{scratch}/{n}/part-{i}.csv", f"{BRANCH}\n{i},n{i},c,d\n")
+    looks = [lambda n=n: I.read_csv_text(spark, f"{scratch}/{n}").collect() for n in (3, 60)]
+    few, many = [jobs_of(spark, look) for look in looks]
+    assert 0 < few and many <= few + 2, (few, many)
+
+
 def partitions_with_rows(df):
     from pyspark.sql import functions as F
     return df.select(F.spark_partition_id().alias("p")).distinct().count()
